@@ -98,37 +98,37 @@ def transaction_features(transactions: DataFrame, customers: DataFrame,
 _TIME_ORDER = ["__us", "transaction_id"]
 
 
-def _customer_window(*extra: str):
-    return W.partitionBy("customer_id", *extra).orderBy(*_TIME_ORDER)
+def _windowed(wanted: list[str]) -> list[Column]:
+    """The wanted columns as windows over one customer's timeline.
 
-
-def _earlier(window):
-    return window.rowsBetween(W.unboundedPreceding, -1)
-
-
-def _trailing_counts() -> dict[str, Column]:
-    """Transactions in [t - width, t): the left edge counts, the same instant does not."""
-    timeline = W.partitionBy("customer_id").orderBy("__us")
-    return {
-        name: F.count("*").over(timeline.rangeBetween(-width, -1))
-        for name, width in (("txn_count_1h", HOUR_US), ("txn_count_24h", DAY_US))
+    They share one partitioning and one sort order. The growing sets hold a
+    customer's countries and devices, which are few against its rows.
+    """
+    timeline = W.partitionBy("customer_id")
+    before = timeline.orderBy(*_TIME_ORDER).rowsBetween(W.unboundedPreceding, -1)
+    p95 = F.when(F.count("amount").over(before) >= MIN_AMOUNT_HISTORY,
+                 F.percentile("amount", AMOUNT_QUANTILE).over(before))
+    seen_here = F.array_contains(F.collect_set("country").over(before), F.col("country"))
+
+    def trailing(width: int) -> Column:
+        # [t - width, t): the left edge counts, the transaction's own instant does not.
+        return F.count("*").over(timeline.orderBy("__us").rangeBetween(-width, -1))
+
+    columns = {
+        "amount_vs_customer_p95": lambda: _amount_ratio(p95),
+        "is_new_country_for_customer": lambda: (~seen_here).cast("int"),
+        "customer_device_count_so_far": lambda: F.size(
+            F.collect_set("device_id").over(before)).cast("bigint"),
+        "txn_count_1h": lambda: trailing(HOUR_US),
+        "txn_count_24h": lambda: trailing(DAY_US),
     }
+    return [columns[name]().alias(name) for name in wanted]
 
 
 def _amount_ratio(p95: Column) -> Column:
     return F.coalesce(F.col("amount") / (p95 + AMOUNT_EPSILON), F.lit(DEFAULT_AMOUNT_RATIO))
 
 
-def _windowed_amount_ratio() -> Column:
-    before = _earlier(_customer_window())
-    p95 = F.percentile("amount", AMOUNT_QUANTILE).over(before)
-    return _amount_ratio(F.when(F.count("amount").over(before) >= MIN_AMOUNT_HISTORY, p95))
-
-
-def _first_use(*key: str) -> Column:
-    return (F.row_number().over(_customer_window(*key)) == 1).cast("int")
-
-
 def _heavy_trailing_counts(rows: DataFrame, limits: Limits) -> DataFrame:
     """Trailing counts as differences of running counts, for customers of any size.
 
@@ -180,25 +180,8 @@ def _heavy_first_uses(positioned: DataFrame, limits: Limits) -> DataFrame:
 def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
                       heavy: DataFrame | None) -> DataFrame:
     """Add the ``wanted`` per-customer columns to ``rows`` (which carry ``__us``)."""
-    windowed = {
-        **_trailing_counts(),
-        "amount_vs_customer_p95": _windowed_amount_ratio(),
-        "is_new_country_for_customer": _first_use("country"),
-    }
-
-    def by_window(df: DataFrame) -> DataFrame:
-        kept = [windowed[c].alias(c) for c in wanted if c in windowed]
-        if "customer_device_count_so_far" not in wanted:
-            return df.select("*", *kept)
-        # The window over the flag needs the flag as a column of an inner select.
-        so_far = F.sum("__first_device").over(_earlier(_customer_window()))
-        return df.select("*", *kept, _first_use("device_id").alias("__first_device")).select(
-            *df.columns, *[c for c in wanted if c in windowed],
-            F.coalesce(so_far, F.lit(0)).cast("bigint").alias("customer_device_count_so_far"),
-        )
-
     if heavy is None:
-        return by_window(rows)
+        return rows.select("*", *_windowed(wanted))
     ordinary, large = skew.split(rows, heavy, ["customer_id"])
     parts = []
     if {"txn_count_1h", "txn_count_24h"} & set(wanted):
@@ -220,7 +203,7 @@ def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
             ))
     for part in parts:
         large = large.join(part, "transaction_id")
-    return by_window(ordinary).select(*rows.columns, *wanted).unionByName(
+    return ordinary.select("*", *_windowed(wanted)).unionByName(
         large.select(*rows.columns, *wanted)
     )
 
