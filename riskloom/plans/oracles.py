@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.plans.workspace import COEFFICIENTS, MODEL_RUN_ID, T_BLOCK, T_REVIEW
+from riskloom.plans.workspace import COEFFICIENTS, INTERCEPT, MODEL_RUN_ID, T_BLOCK, T_REVIEW
 
 _ROUNDED = """* replace (round(amount_vs_customer_p95, 6) as amount_vs_customer_p95,
   round(device_age_days, 6) as device_age_days,
@@ -564,7 +564,7 @@ _oracle("explain_top5", ["contrib"], """select transaction_id,
   select *, row_number() over (partition by transaction_id order by abs(value) desc, place) as r
   from contrib) where r <= 5 group by transaction_id""")
 _oracle("global_importance", ["contrib"], """select feature,
-  round(avg(abs(value)), 6) as mean_abs_contribution from contrib group by feature""")
+  round(avg(abs(value)), 9) as mean_abs_contribution from contrib group by feature""")
 
 # ---------------------------------------------------------------- drift and risk
 
@@ -656,3 +656,42 @@ _oracle("exact_quantiles", ["f"], """select payment_method, p as probability,
   round(case p when 0.05 then quantile_cont(amount, 0.05) when 0.5 then quantile_cont(amount, 0.5)
     else quantile_cont(amount, 0.95) end, 6) as quantile
   from f, (values (0.05::double), (0.5::double), (0.95::double)) v(p) group by payment_method, p""")
+
+# ---------------------------------------------------------------- models, sinks and streams
+
+_LINEAR = " + ".join([f"cast({INTERCEPT} as double)"] + [
+    f"{c} * cast({w} as double)" for c, w in COEFFICIENTS.items()])
+_BASE["ls"] = f"select *, 1 / (1 + exp(-({_LINEAR}))) as score from mx"
+_NEEDS["ls"] = ["mx"]
+_oracle("linear_scores", ["ls"],
+        "select transaction_id, round(score, 6) as model_score from ls")
+_oracle("parquet_round_trip", ["fr"], "select * from fr")
+_oracle("csv_round_trip", ["t"],
+        "select transaction_id, round(model_score, 6) as model_score from t")
+_oracle("json_round_trip", ["fr"], """select transaction_id, txn_count_24h, device_age_days,
+  case when cast(substr(transaction_id, 4, 10) as bigint) % 97 <> 0 then amount end as amount
+  from fr""")
+_oracle("policy_document", ["curve"], """select t_review, t_block, total_cost,
+  'run-demo' as model_run_id, (select count(*) from curve) as points,
+  (select arg_min(cost, t_review) from curve) as first_cost from best""")
+_BASE["sd"] = f"""select *, case when fired and rlev >= mlev then list_extract(['approve', 'review',
+    'block'], rlev + 1) else list_extract(['approve', 'review', 'block'], mlev + 1) end as decision,
+  case when fired and rlev >= mlev then 'rule' else 'model' end as decision_source
+  from (select transaction_id, score, r1 or r2 or r3 or r4 as fired,
+    case when r1 or r2 then 2 when r3 or r4 then 1 else 0 end as rlev,
+    case when score >= {T_BLOCK} then 2 when score >= {T_REVIEW} then 1 else 0 end as mlev,
+    concat_ws(',', case when r1 then 'device_location_takeover' end,
+      case when r2 then 'velocity_spike' end, case when r3 then 'high_risk_merchant' end,
+      case when r4 then 'outsized_amount_new_device' end) as triggered_rules
+    from rl join (select transaction_id, score from ls) using (transaction_id)
+    where event_id % 97 <> 0)"""
+_NEEDS["sd"] = ["rl", "ls"]
+_oracle("stream_decisions", ["sd"], """select transaction_id, round(score, 6) as model_score, decision,
+  decision_source, triggered_rules from sd""")
+_oracle("stream_rejected", ["f_vel", "t"], """select transaction_id, txn_count_24h from f_vel
+  join (select transaction_id, event_id from t) using (transaction_id) where event_id % 97 = 0""")
+_oracle("stream_log_stats", ["sd"], """select count(*) as total,
+  count(*) filter (where decision = 'approve') as approve_count,
+  count(*) filter (where decision = 'review') as review_count,
+  count(*) filter (where decision = 'block') as block_count,
+  round(coalesce(avg(score), 0), 6) as avg_score from sd""")

@@ -15,10 +15,13 @@ from pyspark.sql import types as T
 from riskloom import schemas as S
 from riskloom.functions import rules
 from riskloom.operators import (
-    attribution, decisions, drift, eda, features, metrics, ordered, policy, quality, registry,
-    risk, splits,
+    anomaly, attribution, decisions, drift, eda, features, metrics, model, ordered, policy,
+    quality, registry, risk, splits,
 )
+from riskloom.plans import training
 from riskloom.plans.workspace import T_BLOCK, T_REVIEW, Workspace, workspace
+from riskloom.session import durable, new_shared_path
+from riskloom.sources import sinks, tables
 
 AS_OF = "2024-01-30 12:00:00"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,10 +34,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     ])
 
 
-def query(fn: Callable[[Workspace], DataFrame]):
+def query(fn: Callable[[Workspace], DataFrame], digits: int = 6):
     """Register a query written against a workspace under its function name."""
     def run(spark: SparkSession, data_dir: str) -> DataFrame:
-        return rounded(fn(workspace(spark, data_dir)))
+        return rounded(fn(workspace(spark, data_dir)), digits)
 
     QUERIES[fn.__name__] = run
     return fn
@@ -518,11 +521,14 @@ def explain_top5(w):
         F.transform(top, lambda x: x["feature"]), ",").alias("top_features"))
 
 
-@query
 def global_importance(w):
     return attribution.global_importance(w.contributions())
 
 
+# One of the means lies halfway between two six-digit values.
+query(global_importance, digits=9)
+
+
 # ---------------------------------------------------------------- drift and risk
 
 def _drift_sides(w) -> tuple[DataFrame, DataFrame]:
@@ -598,3 +604,133 @@ def exact_quantiles(w):
     return ordered.exact_quantiles(
         w.features.select("payment_method", "amount"), ["payment_method"], "amount",
         [0.05, 0.5, 0.95])
+
+
+# ---------------------------------------------------------------- models
+
+@query
+def linear_scores(w):
+    """Batch scoring with a linear model as a plain column."""
+    return w.linear_scored(w.features).select("transaction_id", "model_score")
+
+
+@query
+def baseline_validation(w):
+    """Baseline classifier trained on the train split, judged on validation."""
+    return w.training_run.validation_metrics
+
+
+@query
+def baseline_test_report(w):
+    """The calibrated baseline's metrics on the test split."""
+    return w.training_run.test_metrics
+
+
+@query
+def baseline_calibration(w):
+    return w.training_run.calibration_curve
+
+
+@query
+def baseline_importances(w):
+    return w.training_run.importances
+
+
+@query
+def baseline_policy(w):
+    """Thresholds chosen for the stored, reloaded baseline on validation."""
+    path = new_shared_path(w.spark, "model")
+    w.training_run.deployed.save(path)
+    amounts = w.features.select("transaction_id", "amount")
+    document = training.choose_policy(path, w.matrix(), amounts, "run-baseline")
+    return document.select("t_review", "t_block", "total_cost", "model_run_id",
+                           F.size("cost_curve").alias("points"))
+
+
+@query
+def random_forest_scores(w):
+    rows = durable(w.matrix())
+    inputs = training.inputs_of(rows)
+    forest = model.train_random_forest(rows.where("split = 'train'"), inputs)
+    return model.with_probability(forest, rows.where("split = 'test'")).select(
+        "transaction_id", "model_score")
+
+
+@query
+def boosted_scores(w):
+    """Boosted trees with 20 rounds; the training run itself uses 200."""
+    rows = durable(w.matrix())
+    inputs = training.inputs_of(rows)
+    boosted = model.train_boosted(rows.where("split = 'train'"), inputs, rounds=20)
+    return model.with_probability(boosted, rows.where("split = 'test'")).select(
+        "transaction_id", "model_score")
+
+
+@query
+def anomaly_score(w):
+    rows = w.matrix()
+    inputs = training.inputs_of(rows)
+    forest = durable(anomaly.train(rows.where("split = 'train'"), inputs))
+    return anomaly.score(rows, forest, inputs).select("transaction_id", "anomaly_score")
+
+
+# ---------------------------------------------------------------- sinks and streams
+
+@query
+def parquet_round_trip(w):
+    path = new_shared_path(w.spark, "table")
+    sinks.write_parquet(w.features, f"{path}/features.parquet")
+    return tables.read_entity(w.spark, path, "features")
+
+
+@query
+def csv_round_trip(w):
+    rows = w.scored().select("transaction_id", "model_score")
+    path = new_shared_path(w.spark, "csv")
+    sinks.write_csv(rows, path)
+    return tables.read_csv(w.spark, path, rows.schema)
+
+
+@query
+def json_round_trip(w):
+    """Feature rows as JSON messages and back to typed rows."""
+    path = new_shared_path(w.spark, "messages")
+    sinks.publish_files(w.wire_rows(), path)
+    parsed = tables.parse_feature_rows(w.spark.read.text(path))
+    return parsed.select("transaction_id", "amount", "txn_count_24h", "device_age_days")
+
+
+@query
+def policy_document(w):
+    """The policy written as a JSON document and read back."""
+    path = new_shared_path(w.spark, "policy")
+    document = policy.policy_document(w.labelled_scores("val"), "run-demo")
+    sinks.write_json(document, path)
+    stored = w.spark.read.schema(
+        "t_review double, t_block double, total_cost double, model_run_id string,"
+        " cost_curve array<struct<t_review: double, cost: double>>").json(path)
+    return stored.select("t_review", "t_block", "total_cost", "model_run_id",
+                         F.size("cost_curve").alias("points"),
+                         F.element_at("cost_curve", 1)["cost"].alias("first_cost"))
+
+
+@query
+def stream_decisions(w):
+    """The decision log written by the stream."""
+    log, _, _ = w.stream_paths
+    return w.spark.read.parquet(log).select(
+        "transaction_id", "model_score", "decision", "decision_source",
+        F.array_join("triggered_rules", ",").alias("triggered_rules"))
+
+
+@query
+def stream_rejected(w):
+    _, rejected, _ = w.stream_paths
+    return w.spark.read.parquet(rejected).select("transaction_id", "txn_count_24h")
+
+
+@query
+def stream_log_stats(w):
+    """Monitoring figures over the streamed log."""
+    log, _, _ = w.stream_paths
+    return decisions.stats(w.spark.read.parquet(log))

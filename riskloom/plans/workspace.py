@@ -11,10 +11,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import attribution, decisions, features, splits
+from riskloom.operators import attribution, decisions, features, model, splits
+from riskloom.plans import training
 from riskloom.session import new_shared_path
 from riskloom.sources.canonical import Tables
-from riskloom.sources.sinks import write_parquet
+from riskloom.sources.sinks import publish_files, write_parquet
+from riskloom.sources.tables import read_file_stream
+from riskloom.streaming import scoring
 
 # Parameters of the demonstration policy and linear model used on the given tables.
 T_REVIEW, T_BLOCK = 0.30, 0.70
@@ -37,6 +40,7 @@ COEFFICIENTS = {
     "payment_method_card": -0.1,
     "payment_method_wallet": 0.05,
 }
+INTERCEPT = -3.0
 BACKGROUND_ROWS = 100
 
 _open: dict[tuple[str, str], "Workspace"] = {}
@@ -109,4 +113,33 @@ class Workspace(Tables):
             return rows
         return splits.with_split(rows).where(F.col("split") == split)
 
+    def linear_scored(self, rows: DataFrame) -> DataFrame:
+        """Feature rows with the demonstration model's probability as ``model_score``."""
+        encoded = rows.select("*", *splits.one_hot())
+        return encoded.select(
+            *rows.columns, model.linear_score(COEFFICIENTS, INTERCEPT).alias("model_score"))
 
+    def wire_rows(self) -> DataFrame:
+        """The feature table as it is published. Every 97th row has lost its amount."""
+        number = F.substring("transaction_id", 4, 10).cast("bigint")
+        return self.features.withColumn(
+            "amount", F.when(number % 97 != 0, F.col("amount"))
+        ).withColumn("timestamp", F.col("timestamp").cast("string"))
+
+    @cached_property
+    def stream_paths(self) -> tuple[str, str, list[tuple[int, int, int]]]:
+        """Publish the feature table as messages, drain them through the stream, and return
+        (decision log, rejected rows, counts per batch)."""
+        topic, log, rejected, checkpoint = (
+            new_shared_path(self.spark, n) for n in ("topic", "log", "rejected", "stream"))
+        publish_files(self.wire_rows(), topic, files=4)
+        query = scoring.score_stream(
+            read_file_stream(self.spark, topic, files_per_batch=2), self.linear_scored, T_REVIEW,
+            T_BLOCK, MODEL_RUN_ID, log, rejected, checkpoint)
+        query.awaitTermination()
+        return log, rejected, scoring.batch_counts(query)
+
+    @cached_property
+    def training_run(self) -> training.TrainingRun:
+        """The baseline candidate, trained and calibrated on the feature table."""
+        return training.run(self.matrix(), candidates=["baseline"])
