@@ -42,16 +42,16 @@ def numeric_distances(reference: DataFrame, current: DataFrame,
     values = _long(reference, current, columns)
     steps = running_totals(values, ["column"], ["value"], ["ref", "cur"], previous="value",
                            rows_bound=rows_bound, **limits)
-    mean = F.sum(F.col("value") * F.col("ref")) / F.sum("ref")
+    mean = F.try_divide(F.sum(F.col("value") * F.col("ref")), F.sum("ref"))
+    square = F.try_divide(F.sum(F.col("value") * F.col("value") * F.col("ref")), F.sum("ref"))
     totals = values.groupBy("column").agg(
         F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"),
-        F.sqrt(F.greatest(
-            F.sum(F.col("value") * F.col("value") * F.col("ref")) / F.sum("ref") - mean * mean,
-            F.lit(0.0))).alias("sd"),
+        F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("sd"),
     )
-    gap = F.abs(F.col("ref_before") / F.col("n_ref") - F.col("cur_before") / F.col("n_cur"))
-    here = F.abs((F.col("ref_before") + F.col("ref")) / F.col("n_ref")
-                 - (F.col("cur_before") + F.col("cur")) / F.col("n_cur"))
+    # An empty side has no shares: its distances are null.
+    gap = F.abs(F.try_divide("ref_before", "n_ref") - F.try_divide("cur_before", "n_cur"))
+    here = F.abs(F.try_divide(F.col("ref_before") + F.col("ref"), F.col("n_ref"))
+                 - F.try_divide(F.col("cur_before") + F.col("cur"), F.col("n_cur")))
     width = F.coalesce(F.col("value") - F.col("previous_value"), F.lit(0.0))
     sized = steps.join(F.broadcast(totals), "column")  # one row per feature column
     return sized.groupBy("column").agg(
@@ -73,7 +73,7 @@ def categorical_distance(reference: DataFrame, current: DataFrame, column: str)
     totals = counts.agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     sized = counts.withColumn("n_ref", totals.select("n_ref").scalar()).withColumn(
         "n_cur", totals.select("n_cur").scalar())
-    p, q = F.col("ref") / F.col("n_ref"), F.col("cur") / F.col("n_cur")
+    p, q = F.try_divide("ref", "n_ref"), F.try_divide("cur", "n_cur")
     middle = (p + q) / 2
 
     def part(x):

@@ -156,25 +156,12 @@ def _heavy_trailing_counts(rows: DataFrame, limits: Limits) -> DataFrame:
     )
 
 
-def _heavy_first_uses(positioned: DataFrame, limits: Limits) -> DataFrame:
-    """First-use flags and distinct devices so far, from positions within the customer."""
-    def firsts(column: str, flag: str) -> DataFrame:
-        return positioned.groupBy("customer_id", column).agg(F.min("pos").alias("pos")).select(
-            "customer_id", "pos", F.lit(1).alias(flag)
-        )
-
-    flagged = (
-        positioned.select("transaction_id", "customer_id", "pos")
-        .join(firsts("country", "new_country"), ["customer_id", "pos"], "left")
-        .join(firsts("device_id", "new_device"), ["customer_id", "pos"], "left")
-        .fillna(0, ["new_country", "new_device"])
-    )
-    return running_totals(flagged, ["customer_id"], ["pos"], ["new_device"],
-                          one_task_rows=limits.one_task_rows).select(
-        "transaction_id",
-        F.col("new_country").alias("is_new_country_for_customer"),
-        F.col("new_device_before").cast("bigint").alias("customer_device_count_so_far"),
-    )
+def _heavy_first_uses(positioned: DataFrame, column: str) -> DataFrame:
+    """Rows with ``first``: 1 on the customer's first row with this value of ``column``."""
+    firsts = positioned.groupBy("customer_id", column).agg(F.min("pos").alias("pos")).select(
+        "customer_id", "pos", F.lit(1).alias("first"))
+    return positioned.select("transaction_id", "customer_id", "pos").join(
+        firsts, ["customer_id", "pos"], "left").fillna(0, ["first"])
 
 
 def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
@@ -186,21 +173,24 @@ def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
     parts = []
     if {"txn_count_1h", "txn_count_24h"} & set(wanted):
         parts.append(_heavy_trailing_counts(large, limits))
-    needs_order = {"amount_vs_customer_p95", "is_new_country_for_customer",
-                   "customer_device_count_so_far"} & set(wanted)
-    if needs_order:
+    ordered = set(wanted) - {"txn_count_1h", "txn_count_24h"}
+    if ordered:
         positioned = row_positions(large, ["customer_id"], _TIME_ORDER)
-        if needs_order - {"amount_vs_customer_p95"}:
-            parts.append(_heavy_first_uses(positioned, limits))
-        if "amount_vs_customer_p95" in needs_order:
-            p95 = expanding_quantile(
-                positioned, "customer_id", "transaction_id", "amount", AMOUNT_QUANTILE,
-                MIN_AMOUNT_HISTORY, block_rows=limits.quantile_block_rows,
-            )
-            parts.append(p95.select(
-                "transaction_id",
-                _amount_ratio(F.col("quantile")).alias("amount_vs_customer_p95"),
-            ))
+    if "is_new_country_for_customer" in ordered:
+        parts.append(_heavy_first_uses(positioned, "country").select(
+            "transaction_id", F.col("first").alias("is_new_country_for_customer")))
+    if "customer_device_count_so_far" in ordered:
+        uses = _heavy_first_uses(positioned, "device_id")
+        parts.append(running_totals(
+            uses, ["customer_id"], ["pos"], ["first"], one_task_rows=limits.one_task_rows
+        ).select("transaction_id",
+                 F.col("first_before").cast("bigint").alias("customer_device_count_so_far")))
+    if "amount_vs_customer_p95" in ordered:
+        p95 = expanding_quantile(
+            positioned, "customer_id", "transaction_id", "amount", AMOUNT_QUANTILE,
+            MIN_AMOUNT_HISTORY, block_rows=limits.quantile_block_rows)
+        parts.append(p95.select(
+            "transaction_id", _amount_ratio(F.col("quantile")).alias("amount_vs_customer_p95")))
     for part in parts:
         large = large.join(part, "transaction_id")
     return ordinary.select("*", *_windowed(wanted)).unionByName(

@@ -71,9 +71,9 @@ def running_totals(df: DataFrame, keys: list[str], order: list[str], measures: l
     however its values cluster. The block of a row depends on the sampled range
     bounds, so the partitioned rows are made durable before they are used twice.
     """
-    if rows_bound is None:
+    if rows_bound is None and one_task_rows > 0:
         rows_bound = largest_group(df, keys)
-    if rows_bound <= one_task_rows:
+    if one_task_rows > 0 and rows_bound <= one_task_rows:
         one = df.withColumn(_BLOCK, F.lit(0))
         inside = W.partitionBy(*keys, _BLOCK).orderBy(*order)
         before = inside.rowsBetween(W.unboundedPreceding, -1)

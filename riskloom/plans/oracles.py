@@ -695,3 +695,5 @@ _oracle("stream_log_stats", ["sd"], """select count(*) as total,
   count(*) filter (where decision = 'review') as review_count,
   count(*) filter (where decision = 'block') as block_count,
   round(coalesce(avg(score), 0), 6) as avg_score from sd""")
+_oracle("stream_batch_counts", ["t"], """select count(*) filter (where event_id % 97 <> 0) as scored,
+  count(*) filter (where event_id % 97 = 0) as skipped from t""")

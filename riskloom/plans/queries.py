@@ -22,6 +22,7 @@ from riskloom.plans import training
 from riskloom.plans.workspace import T_BLOCK, T_REVIEW, Workspace, workspace
 from riskloom.session import durable, new_shared_path
 from riskloom.sources import sinks, tables
+from riskloom.streaming import scoring
 
 AS_OF = "2024-01-30 12:00:00"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -717,7 +718,7 @@ def policy_document(w):
 @query
 def stream_decisions(w):
     """The decision log written by the stream."""
-    log, _, _ = w.stream_paths
+    log, _ = w.stream_paths
     return w.spark.read.parquet(log).select(
         "transaction_id", "model_score", "decision", "decision_source",
         F.array_join("triggered_rules", ",").alias("triggered_rules"))
@@ -725,12 +726,20 @@ def stream_decisions(w):
 
 @query
 def stream_rejected(w):
-    _, rejected, _ = w.stream_paths
+    _, rejected = w.stream_paths
     return w.spark.read.parquet(rejected).select("transaction_id", "txn_count_24h")
 
 
+@query
+def stream_batch_counts(w):
+    """Scored and skipped rows over all batches of the stream."""
+    log, rejected = (w.spark.read.parquet(p) for p in w.stream_paths)
+    return scoring.batch_counts(log, rejected).agg(
+        F.sum("scored").alias("scored"), F.sum("skipped").alias("skipped"))
+
+
 @query
 def stream_log_stats(w):
     """Monitoring figures over the streamed log."""
-    log, _, _ = w.stream_paths
+    log, _ = w.stream_paths
     return decisions.stats(w.spark.read.parquet(log))

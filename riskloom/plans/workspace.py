@@ -127,9 +127,9 @@ class Workspace(Tables):
         ).withColumn("timestamp", F.col("timestamp").cast("string"))
 
     @cached_property
-    def stream_paths(self) -> tuple[str, str, list[tuple[int, int, int]]]:
+    def stream_paths(self) -> tuple[str, str]:
         """Publish the feature table as messages, drain them through the stream, and return
-        (decision log, rejected rows, counts per batch)."""
+        the paths of the decision log and of the rejected rows."""
         topic, log, rejected, checkpoint = (
             new_shared_path(self.spark, n) for n in ("topic", "log", "rejected", "stream"))
         publish_files(self.wire_rows(), topic, files=4)
@@ -137,7 +137,7 @@ class Workspace(Tables):
             read_file_stream(self.spark, topic, files_per_batch=2), self.linear_scored, T_REVIEW,
             T_BLOCK, MODEL_RUN_ID, log, rejected, checkpoint)
         query.awaitTermination()
-        return log, rejected, scoring.batch_counts(query)
+        return log, rejected
 
     @cached_property
     def training_run(self) -> training.TrainingRun:

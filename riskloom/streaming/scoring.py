@@ -72,33 +72,28 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 
     A row that cannot be scored goes to ``rejected_path`` and does not stop the batch. Any
     other error fails the batch, which the next start repeats from the checkpoint; each
-    batch writes its own partition, so a repeated batch replaces its earlier rows. The
-    counts of scored and skipped rows appear in the query's progress as ``batch``.
+    batch writes its own partition, so a repeated batch replaces its earlier rows.
     """
     def process(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()  # two tables are written, the source is read once
         records, rejected = score_batch(rows, scorer, t_review, t_block, model_run_id, batch_id)
         append_batch(records, log_path, batch_id)
         append_batch(rejected, rejected_path, batch_id)
+        rows.unpersist()
 
-    counted = parse_feature_rows(messages).observe(
-        "batch", F.count_if(is_valid()).alias("scored"),
-        F.count_if(~is_valid()).alias("skipped"))
     return (
-        counted.writeStream.trigger(availableNow=True)
+        parse_feature_rows(messages).writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint_path)
         .foreachBatch(process)
         .start()
     )
 
 
-def batch_counts(query: StreamingQuery) -> list[tuple[int, int, int]]:
-    """(batch, scored, skipped) of the batches the query has run recently."""
-    out = []
-    for progress in query.recentProgress:
-        seen = progress["observedMetrics"].get("batch")
-        if seen is not None and progress["numInputRows"]:
-            out.append((progress["batchId"], seen["scored"], seen["skipped"]))
-    return out
+def batch_counts(log: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Scored and skipped rows of every batch, read off the two written tables."""
+    scored = log.groupBy("batch_id").agg(F.count("*").alias("scored"))
+    skipped = rejected.groupBy("batch_id").agg(F.count("*").alias("skipped"))
+    return scored.join(skipped, "batch_id", "full_outer").fillna(0, ["scored", "skipped"])
 
 
 def minute_counts(decisions: DataFrame, late: str = "10 minutes") -> DataFrame:
