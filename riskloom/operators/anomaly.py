@@ -35,13 +35,19 @@ def samples(rows: DataFrame, key: str, trees: int = TREES, size: int = SAMPLE_RO
             seed: int = SEED) -> DataFrame:
     """``size`` rows for each tree, chosen by hash, so the same ones on every run.
 
-    One pass picks a pool of at most trees x size rows; each tree draws from the pool.
+    One pass picks a pool of at most trees x size rows in hash order, which is random with
+    respect to the data. Tree t takes a run of ``size`` neighbours of the pool, starting
+    t / trees of the way round; runs overlap only when the pool is smaller than that.
     """
-    pool = rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(trees * size)
-    spread = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    draw = W.partitionBy("tree").orderBy(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), key)
-    return spread.withColumn("__draw", F.row_number().over(draw)).where(
-        F.col("__draw") <= size).drop("__draw")
+    order = [F.xxhash64(F.col(key), F.lit(seed)), F.col(key)]
+    pool = rows.orderBy(*order).limit(trees * size)
+    ranked = pool.select(  # the windows run over the bounded pool
+        "*", (F.row_number().over(W.orderBy(*order)) - 1).alias("__rank"),
+        F.count("*").over(W.partitionBy(F.lit(0))).alias("__pool"))
+    start = lambda t: F.floor(t * F.col("__pool") / trees)
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                    lambda t: F.pmod(F.col("__rank") - start(t), F.col("__pool")) < size)
+    return ranked.withColumn("tree", F.explode(mine)).drop("__rank", "__pool")
 
 
 def train(rows: DataFrame, inputs: list[str], key: str = "transaction_id", trees: int = TREES,

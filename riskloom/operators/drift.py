@@ -70,10 +70,9 @@ def categorical_distance(reference: DataFrame, current: DataFrame, column: str)
         F.count("*").alias("ref")).join(
         current.groupBy(F.col(column).cast("string").alias("value")).agg(
             F.count("*").alias("cur")), "value", "full_outer").fillna(0, ["ref", "cur"])
-    totals = counts.agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    sized = counts.withColumn("n_ref", totals.select("n_ref").scalar()).withColumn(
-        "n_cur", totals.select("n_cur").scalar())
-    p, q = F.try_divide("ref", "n_ref"), F.try_divide("cur", "n_cur")
+    totals = counts.agg(F.struct(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
+    sized = counts.withColumn("n", totals.scalar())
+    p, q = F.try_divide("ref", "n.ref"), F.try_divide("cur", "n.cur")
     middle = (p + q) / 2
 
     def part(x):

@@ -83,8 +83,9 @@ def calibration_curve(scored: DataFrame, bins: int = 10, score: str = "model_sco
     # Equal scores share a bin, so the rows collapse before the edges are compared.
     per_score = scored.groupBy(F.col(score).alias("s")).agg(
         F.count("*").alias("n"), F.sum(label).alias("pos"))
+    below = [(F.get("edges", F.lit(i)) < F.col("s")).cast("int") for i in range(bins - 1)]
     binned = per_score.withColumn("edges", edges.scalar()).withColumn(
-        "bin", F.size(F.filter("edges", lambda e: e < F.col("s"))))
+        "bin", sum(below, F.lit(0)))
     return binned.groupBy("bin").agg(
         (F.sum(F.col("s") * F.col("n")) / F.sum("n")).alias("mean_predicted"),
         (F.sum("pos") / F.sum("n")).alias("fraction_positive"),

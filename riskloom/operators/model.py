@@ -34,16 +34,16 @@ CANDIDATES = ["baseline", "random_forest", "xgboost", "lightgbm"]
 
 def _weighted(train: DataFrame, balanced: bool) -> DataFrame:
     """Add ``__weight``: n / (2 n_c) per class, or the negative/positive ratio on positives."""
-    counts = train.agg(
-        F.count_if(F.col(LABEL) == 1).alias("p"), F.count_if(F.col(LABEL) == 0).alias("n"))
-    p, n = counts.select("p").scalar(), counts.select("n").scalar()
+    counts = train.agg(F.struct(
+        F.count_if(F.col(LABEL) == 1).alias("p"), F.count_if(F.col(LABEL) == 0).alias("n")))
+    p, n = F.col("__counts.p"), F.col("__counts.n")
     if balanced:
-        both = p + n
-        weight = F.when(F.col(LABEL) == 1, both / (2 * F.greatest(p, F.lit(1)))).otherwise(
-            both / (2 * F.greatest(n, F.lit(1))))
+        weight = F.when(F.col(LABEL) == 1, (p + n) / (2 * F.greatest(p, F.lit(1)))).otherwise(
+            (p + n) / (2 * F.greatest(n, F.lit(1))))
     else:
         weight = F.when(F.col(LABEL) == 1, n / F.greatest(p, F.lit(1))).otherwise(1.0)
-    return train.withColumn("__weight", weight.cast("double"))
+    return train.withColumn("__counts", counts.scalar()).withColumn(
+        "__weight", weight.cast("double")).drop("__counts")
 
 
 def _fit(train: DataFrame, inputs: list[str], classifier) -> PipelineModel:

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import money
+from riskloom.session import durable
 
 # The cost matrix. A missed fraud costs its own amount.
 REVIEW_COST = "3.50"
@@ -71,11 +73,12 @@ def score_histogram(scored: DataFrame, step: float = 0.01) -> DataFrame:
     """Rows, legitimate rows and fraud amount per grid cell (at most a few hundred rows).
 
     ``b`` counts grid thresholds reached; ``b4`` the same after rounding them to 4 digits,
-    which is how a chosen block threshold is stored.
+    which is how a chosen block threshold is stored. The result is written once: it is read
+    several times, and the scored rows only here.
     """
     n = grid_size(step)
     s = F.col("model_score").cast("double")
-    return scored.groupBy(
+    counted = scored.groupBy(
         _reached(s, step, n, False).alias("b"), _reached(s, step, n, True).alias("b4")
     ).agg(
         F.count("*").alias("n"),
@@ -83,40 +86,56 @@ def score_histogram(scored: DataFrame, step: float = 0.01) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("fraud_label") == 1, money("amount"))), F.lit(0))
         .alias("fraud_amount"),
     )
-
-
-def _grid(scored: DataFrame, step: float) -> DataFrame:
-    return scored.sparkSession.range(grid_size(step)).select(F.col("id").cast("int").alias("i"))
+    return durable(counted.coalesce(1))
 
 
 def best_thresholds(scored: DataFrame, step: float = 0.01,
                     review_cost: str = REVIEW_COST,
                     false_positive_cost: str = FALSE_POSITIVE_COST) -> DataFrame:
     """The cheapest pair t_review < t_block; ties go to the smaller t_review, then t_block."""
-    return _search(score_histogram(scored, step), _grid(scored, step), step, review_cost,
-                   false_positive_cost).select(
+    return _best(score_histogram(scored, step), step, review_cost, false_positive_cost)
+
+
+def _best(cells: DataFrame, step: float, review_cost: str = REVIEW_COST,
+          false_positive_cost: str = FALSE_POSITIVE_COST) -> DataFrame:
+    return _search(cells, step, review_cost, false_positive_cost).select(
         F.round(F.col("i") * F.lit(step), 4).alias("t_review"),
         F.round(F.col("j") * F.lit(step), 4).alias("t_block"),
         F.col("cost").cast("double").alias("total_cost"),
     )
 
 
-def _search(cells: DataFrame, grid: DataFrame, step: float, review_cost: str,
+def _per_threshold(cells: DataFrame, step: float) -> DataFrame:
+    """``cells`` summed per ``b`` with every ``b`` from 0 to the grid size present, as ``i``.
+
+    Cell i holds the scores that reach i thresholds, so those below threshold i are the
+    cells up to and including i.
+    """
+    n = grid_size(step)
+    every = cells.sparkSession.range(0, n + 1, 1, 1).select(F.col("id").cast("int").alias("i"))
+    columns = [c for c in cells.columns if c not in ("b", "b4")]
+    sums = cells.groupBy("b").agg(*[F.sum(c).alias(c) for c in columns])
+    return every.join(sums, F.col("i") == F.col("b"), "left").drop("b").fillna(0)
+
+
+def _up_to(column: str) -> Column:
+    """Total up to and including cell i. The window runs over one row per threshold."""
+    return F.sum(column).over(W.orderBy("i").rowsBetween(W.unboundedPreceding, 0))
+
+
+def _above(column: str) -> Column:
+    after = W.orderBy("i").rowsBetween(1, W.unboundedFollowing)
+    return F.coalesce(F.sum(column).over(after), F.lit(0))
+
+
+def _search(cells: DataFrame, step: float, review_cost: str,
             false_positive_cost: str) -> DataFrame:
     n = grid_size(step)
-    per_cell = cells.groupBy("b").agg(
-        F.sum("n").alias("n"), F.sum("legit").alias("legit"),
-        F.sum("fraud_amount").alias("fraud_amount"))
-    # b <= i exactly when the score is below threshold i. The windows run over the grid.
-    upto = W.orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-    above = W.orderBy("i").rowsBetween(1, W.unboundedFollowing)
-    dense = grid.unionByName(
-        grid.agg(F.lit(n).alias("i"))  # cell n: scores that reach every threshold
-    ).join(per_cell, F.col("i") == F.col("b"), "left").select(
+    dense = _per_threshold(cells, step).select(
         "i",
-        F.coalesce(F.sum("fraud_amount").over(upto), F.lit(0)).alias("missed"),
-        F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("below"),
-        F.coalesce(F.sum("legit").over(above), F.lit(0)).alias("legit_above"),
+        _up_to("fraud_amount").alias("missed"),
+        _up_to("n").alias("below"),
+        _above("legit").alias("legit_above"),
     ).where(F.col("i") < n)
     low = dense.where(F.col("i") < n - 1).select(
         "i", "missed", F.col("below").alias("below_i"),
@@ -133,41 +152,39 @@ def _search(cells: DataFrame, grid: DataFrame, step: float, review_cost: str,
 def cost_curve(scored: DataFrame, step: float = 0.01, review_cost: str = REVIEW_COST,
                false_positive_cost: str = FALSE_POSITIVE_COST) -> DataFrame:
     """Cost at every t_review below the chosen (rounded) t_block: t_review, cost, t_block."""
-    cells, grid = score_histogram(scored, step), _grid(scored, step)
-    best = _search(cells, grid, step, review_cost, false_positive_cost)
-    # Collapse the table to one row per grid threshold, with the chosen j alongside.
-    j = best.select("j").scalar()
-    marked = cells.withColumn("j", j).withColumn("blocked", F.col("b4") > F.col("j"))
-    blocked_legit = marked.agg(
-        F.coalesce(F.sum(F.when(F.col("blocked"), F.col("legit"))), F.lit(0))).scalar()
-    per_cell = marked.groupBy("b").agg(
-        F.sum("fraud_amount").alias("fraud_amount"),
-        F.sum(F.when(~F.col("blocked"), F.col("n"))).alias("open"))
-    upto = W.orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-    above = W.orderBy("i").rowsBetween(1, W.unboundedFollowing)
-    n = grid_size(step)
-    curve = grid.unionByName(grid.agg(F.lit(n).alias("i"))).join(
-        per_cell, F.col("i") == F.col("b"), "left").select(
-        "i",
-        (
-            F.coalesce(F.sum("fraud_amount").over(upto), F.lit(0))
-            + F.coalesce(F.sum("open").over(above), F.lit(0)) * _cost(review_cost)
-        ).alias("part"),
+    return _curve(score_histogram(scored, step), step, review_cost, false_positive_cost)
+
+
+def _curve(cells: DataFrame, step: float, review_cost: str = REVIEW_COST,
+           false_positive_cost: str = FALSE_POSITIVE_COST) -> DataFrame:
+    j = _search(cells, step, review_cost, false_positive_cost).select("j").scalar()
+    blocked = F.col("b4") > j
+    split = cells.select(
+        "b", "fraud_amount",
+        F.when(blocked, 0).otherwise(F.col("n")).alias("open"),
+        F.when(blocked, F.col("legit")).otherwise(0).alias("blocked_legit"))
+    everywhere = W.partitionBy(F.lit(0))
+    curve = _per_threshold(split, step).select(
+        "i", j.alias("j"),
+        _up_to("fraud_amount").alias("missed"),
+        _above("open").alias("reviewed"),
+        F.sum("blocked_legit").over(everywhere).alias("blocked_legit"),
     )
     t_review, t_block = F.col("i") * F.lit(step), F.round(F.col("j") * F.lit(step), 4)
-    return curve.withColumn("j", j).withColumn("fp", blocked_legit).where(
-        (F.col("i") < n) & (t_review < t_block)
-    ).select(
-        F.round(t_review, 4).alias("t_review"),
-        (F.col("part") + F.col("fp") * _cost(false_positive_cost)).cast("double").alias("cost"),
-        t_block.alias("t_block"),
+    cost = (
+        F.col("missed") + F.col("reviewed") * _cost(review_cost)
+        + F.col("blocked_legit") * _cost(false_positive_cost)
     )
+    return curve.where((F.col("i") < grid_size(step)) & (t_review < t_block)).select(
+        F.round(t_review, 4).alias("t_review"), cost.cast("double").alias("cost"),
+        t_block.alias("t_block"))
 
 
 def policy_document(scored: DataFrame, model_run_id: str, step: float = 0.01) -> DataFrame:
     """The chosen policy as one nested row, ready to be written as a JSON document."""
-    best = best_thresholds(scored, step)
-    curve = cost_curve(scored, step).agg(
+    cells = score_histogram(scored, step)
+    best = _best(cells, step)
+    curve = _curve(cells, step).agg(
         F.array_sort(F.collect_list(F.struct("t_review", "cost"))))  # one entry per threshold
     return best.select(
         "t_review", "t_block", "total_cost", curve.scalar().alias("cost_curve"),
@@ -183,21 +200,24 @@ def policy_document(scored: DataFrame, model_run_id: str, step: float = 0.01) ->
 def cost_at(requests: DataFrame, curve: DataFrame, at: str = "t") -> DataFrame:
     """Add ``cost``: the curve read at ``at``, linear between points, flat beyond its ends.
 
-    The curve has one row per grid threshold and travels as one array, so requests need
-    no join. Without points the cost is 0.
+    Without points the cost is 0. The curve has one row per grid threshold; its points become
+    the split values of a Bucketizer, so each request is placed by a binary search, not a join.
     """
-    points = curve.agg(F.array_sort(F.collect_list(F.struct(
-        F.col("t_review").alias("t"), F.col("cost").alias("c")))))
-    p = F.col("__points")
-    x = F.col(at)
-    # The first point at or after x closes the segment x lies in.
-    last_before = F.size(F.filter(p, lambda s: s["t"] < x))
-    lo, hi = F.get(p, last_before - 1), F.get(p, last_before)
-    inside = lo["c"] + (x - lo["t"]) / (hi["t"] - lo["t"]) * (hi["c"] - lo["c"])
-    return requests.withColumn("__points", points.scalar()).select(
-        *requests.columns,
-        F.when(F.size(p) == 0, F.lit(0.0))
-        .when(last_before == 0, F.get(p, F.lit(0))["c"])
-        .when(last_before == F.size(p), F.element_at(p, -1)["c"])
-        .otherwise(inside).alias("cost"),
-    )
+    found = dict(curve.select("t_review", "cost").orderBy("t_review").collect())
+    if not found:
+        return requests.withColumn("cost", F.lit(0.0))
+    t, c = list(found), list(found.values())
+    splits = [-float("inf"), *t, float("inf")]
+    placed = Bucketizer(splits=splits, inputCol="__x", outputCol="__bucket",
+                        handleInvalid="keep").transform(
+        requests.withColumn("__x", F.col(at).cast("double")))
+    # Bucket k lies between points k - 1 and k; the outer two are flat.
+    pick = F.col("__bucket").cast("int")
+
+    def ends(values: list[float]) -> tuple[Column, Column]:
+        padded = F.array(*[F.lit(float(v)) for v in [values[0], *values, values[-1]]])
+        return F.get(padded, pick), F.get(padded, pick + 1)
+
+    (t0, t1), (c0, c1) = ends(t), ends(c)
+    share = F.when(t1 > t0, (F.col("__x") - t0) / (t1 - t0)).otherwise(0.0)
+    return placed.select(*requests.columns, (c0 + share * (c1 - c0)).alias("cost"))

@@ -44,24 +44,30 @@ def latent_risk(components: DataFrame) -> DataFrame:
 
 
 def prior_shift(scores: DataFrame, target_rate: float, z: str = "z", low: float = -15.0,
-                high: float = 5.0, cells: int = 32, rounds: int = 10) -> DataFrame:
-    """The intercept that brings mean(sigmoid(intercept + z)) to ``target_rate``.
+                high: float = 5.0, tolerance: float = 1e-13, rounds: int = 60) -> DataFrame:
+    """The intercept in [low, high] that brings mean(sigmoid(intercept + z)) to ``target_rate``.
 
-    Every round is one aggregate that tries the inner points of the bracket at once and
-    keeps the cell holding the target; ten rounds of 32 cells equal fifty bisections.
+    The mean rises with the intercept, so a bracket always holds the answer. Each round is
+    one aggregate giving the mean and its slope: a Newton step where it stays inside the
+    bracket, halving otherwise. Some six rounds over one narrow column reach the precision
+    of fifty halvings.
     """
     values = durable(scores.select(F.col(z).cast("double").alias("z")))
+    at = (low + high) / 2
     for _ in range(rounds):
-        width = (high - low) / cells
-        tried = [low + width * i for i in range(1, cells)]
-        means = values.agg(*[F.avg(sigmoid(F.col("z") + b)).alias(f"p{i}")
-                             for i, b in enumerate(tried)]).first()
-        below = sum(1 for m in means if m is not None and m < target_rate)
-        low, high = low + width * below, low + width * (below + 1)
-    intercept = (low + high) / 2
+        p = sigmoid(F.col("z") + at)
+        mean, slope = values.agg(F.avg(p), F.avg(p * (1 - p))).first()
+        if mean is None:
+            break
+        low, high = (at, high) if mean < target_rate else (low, at)
+        step = (target_rate - mean) / slope if slope else float("inf")
+        proposal = at + step if low < at + step < high else (low + high) / 2
+        moved, at = abs(proposal - at), proposal
+        if moved < tolerance:
+            break
     return values.agg(
-        F.lit(intercept).alias("intercept"),
-        F.avg(sigmoid(F.col("z") + intercept)).alias("mean_probability"),
+        F.lit(at).alias("intercept"),
+        F.avg(sigmoid(F.col("z") + at)).alias("mean_probability"),
         F.count("*").alias("rows"),
     )
 

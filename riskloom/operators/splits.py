@@ -19,15 +19,17 @@ def with_split(df: DataFrame, ts: str = "timestamp", train: float = 0.70,
                val: float = 0.15) -> DataFrame:
     """Add ``split`` (train, val, test) by cut-off instants at shares of the time span."""
     at = micros(ts)
-    span = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-
-    def cut_off(share: float) -> DataFrame:
-        return span.select(
-            F.col("lo") + F.floor((F.col("hi") - F.col("lo")) * F.lit(share)).cast("bigint"))
-
-    train_end, val_end = cut_off(train).scalar(), cut_off(train + val).scalar()
-    return df.withColumn(
-        "split", F.when(at < train_end, "train").when(at < val_end, "val").otherwise("test"))
+    lo, span = F.min(at), F.max(at) - F.min(at)
+    cuts = df.agg(F.struct(*[
+        (lo + F.floor(span * F.lit(share)).cast("bigint")).alias(name)
+        for name, share in (("train_end", train), ("val_end", train + val))
+    ]))
+    cut = F.col("__cut")
+    return df.withColumn("__cut", cuts.scalar()).select(
+        *df.columns,
+        F.when(at < cut["train_end"], "train").when(at < cut["val_end"], "val")
+        .otherwise("test").alias("split"),
+    )
 
 
 def split_counts(split: DataFrame) -> DataFrame:

@@ -270,7 +270,8 @@ def eda_rate_by_category(w):
 
 @query
 def eda_median_amount(w):
-    return eda.median_amount(_star(w).select("fraud_label", "amount"))
+    return eda.median_amount(_star(w).select("fraud_label", "amount"),
+                             rows_bound=w.event_count)
 
 
 @query
@@ -303,12 +304,12 @@ def class_weights(w):
 
 @query
 def metric_average_precision(w):
-    return metrics.average_precision(w.labelled_scores())
+    return metrics.average_precision(w.labelled_scores(), rows_bound=w.event_count)
 
 
 @query
 def metric_roc_auc(w):
-    return metrics.roc_auc(w.labelled_scores())
+    return metrics.roc_auc(w.labelled_scores(), rows_bound=w.event_count)
 
 
 @query
@@ -318,7 +319,7 @@ def metric_prf_at_thresholds(w):
 
 @query
 def calibration_curve(w):
-    return metrics.calibration_curve(w.labelled_scores())
+    return metrics.calibration_curve(w.labelled_scores(), rows_bound=w.event_count)
 
 
 def _runs(w) -> DataFrame:
@@ -337,7 +338,8 @@ def _runs(w) -> DataFrame:
             F.struct(F.lit(n).alias("name"), c.cast("double").alias("model_score"))
             for n, c in candidates.items()])),
     )
-    judged = metrics.average_precision(scored, ["name", "start_time"])
+    judged = metrics.average_precision(
+        scored, ["name", "start_time"], rows_bound=w.event_count)
     return judged.select(
         "name", "start_time",
         F.concat_ws("-", "name", F.date_format("start_time", "yyyyMMdd")).alias("run_id"),
@@ -540,14 +542,14 @@ def _drift_sides(w) -> tuple[DataFrame, DataFrame]:
 @query
 def drift_wasserstein(w):
     a, b = _drift_sides(w)
-    return drift.numeric_distances(a, b, rows_bound=w.transaction_count).select(
+    return drift.numeric_distances(a, b, rows_bound=w.event_count).select(
         "column", "wasserstein")
 
 
 @query
 def drift_ks(w):
     a, b = _drift_sides(w)
-    return drift.numeric_distances(a, b, rows_bound=w.transaction_count).select("column", "ks")
+    return drift.numeric_distances(a, b, rows_bound=w.event_count).select("column", "ks")
 
 
 @query
@@ -561,7 +563,7 @@ def drift_summary(w):
     """A reference sample of 2,000 rows against the newest 500 scored rows."""
     reference = rounded(decisions.sample_rows(w.features, 2000))
     current = rounded(quality.newest_payloads(w.decisions, 500))
-    report = drift.drift_report(reference, current, rows_bound=w.transaction_count)
+    report = drift.drift_report(reference, current, rows_bound=w.event_count)
     return drift.drift_summary(report, current)
 
 
@@ -604,7 +606,7 @@ def exact_quantiles(w):
     """Interpolated quantiles per payment method over the ordered-rank operator."""
     return ordered.exact_quantiles(
         w.features.select("payment_method", "amount"), ["payment_method"], "amount",
-        [0.05, 0.5, 0.95])
+        [0.05, 0.5, 0.95], rows_bound=w.event_count)
 
 
 # ---------------------------------------------------------------- models

@@ -71,6 +71,11 @@ class Workspace(Tables):
     def transaction_count(self) -> int:
         return self.features.count()
 
+    @cached_property
+    def event_count(self) -> int:
+        """An upper bound on transactions that costs no more than reading file footers."""
+        return self.raw("events").count()
+
     def labelled(self) -> DataFrame:
         return splits.labelled_rows(self.features, self.ground_truth())
 
