@@ -40,8 +40,12 @@ def minute_key(ts: str | Column) -> Column:
 
 
 def utc_text(ts: str | Column) -> Column:
-    """ISO-8601 text with an explicit UTC offset; a naive instant is taken as UTC."""
-    return F.date_format(as_column(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """ISO-8601 text with an explicit UTC offset; a naive instant is taken as UTC. The
+    fraction is left out on a whole second."""
+    at = as_column(ts).cast("timestamp")
+    whole = F.unix_micros(at) % 1_000_000 == 0
+    return F.when(whole, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssxxx")).otherwise(
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 
 def money(x: str | Column) -> Column:

@@ -19,6 +19,7 @@ from riskloom.operators import skew
 from riskloom.operators.expanding import expanding_quantile, row_positions
 from riskloom.operators.ordered import ONE_TASK_ROWS, micros, running_totals
 from riskloom.schemas import FEATURE_COLUMNS
+from riskloom.session import durable
 
 # Fixed values of the feature definitions.
 NIGHT_HOURS = [1, 2, 3, 4]
@@ -263,63 +264,105 @@ def device_features(transactions: DataFrame, devices: DataFrame,
 
 # ---------------------------------------------------------------- per merchant
 
-def _merchant_events(transactions: DataFrame, ground_truth: DataFrame) -> DataFrame:
-    """Transactions, each with its own confirmation instant (null when not a fraud)."""
+def _history_marks(transactions: DataFrame, ground_truth: DataFrame) -> DataFrame:
+    """One row per thing that enters history: a transaction, or the confirmation of a fraud.
+
+    ``own`` is 1 on a transaction confirmed by its own instant: that confirmation must not
+    count towards its own rate. A confirmation without a transaction has no merchant.
+    """
     frauds = ground_truth.where("fraud_label = 1").select(
-        "transaction_id", micros("confirmed_fraud_at").alias("__confirmed")
-    )
-    return transactions.select(
+        "transaction_id", micros("confirmed_fraud_at").alias("__confirmed"))
+    events = transactions.select(
         "transaction_id", "merchant_id", micros("timestamp").alias("__us")
-    ).join(frauds, "transaction_id", "left").withColumn(
-        # A confirmation at the transaction's own instant must not count towards itself.
-        "__own", F.coalesce((F.col("__confirmed") <= F.col("__us")).cast("bigint"), F.lit(0)),
-    )
-
-
-def _history_marks(events: DataFrame) -> DataFrame:
-    """One row per thing that enters history: a transaction, or a confirmation."""
+    ).join(frauds, "transaction_id", "full_outer")
+    own = F.coalesce((F.col("__confirmed") <= F.col("__us")).cast("int"), F.lit(0))
     marks = F.array(
-        F.struct(F.col("__us").alias("at"), F.lit(1).alias("n_txn"), F.lit(0).alias("n_conf")),
+        F.struct(F.col("__us").alias("at"), F.lit(1).alias("n_txn"), F.lit(0).alias("n_conf"),
+                 own.alias("own")),
         F.struct(F.col("__confirmed").alias("at"), F.lit(0).alias("n_txn"),
-                 F.lit(1).alias("n_conf")),
+                 F.lit(1).alias("n_conf"), F.lit(0).alias("own")),
     )
-    return events.select("*", F.inline(F.filter(marks, lambda m: m["at"].isNotNull()))
-                         .alias("at", "n_txn", "n_conf"))
+    return events.select(
+        "transaction_id", "merchant_id",
+        F.inline(F.filter(marks, lambda m: m["at"].isNotNull()))
+        .alias("at", "n_txn", "n_conf", "own"))
+
+
+def _counts_so_far(*partition: str) -> list[Column]:
+    """Transactions strictly before the instant, confirmations up to and including it."""
+    timeline = W.partitionBy(*partition).orderBy("at")
+    return [
+        F.coalesce(F.sum("n_txn").over(timeline.rangeBetween(W.unboundedPreceding, -1)),
+                   F.lit(0)),
+        F.sum("n_conf").over(timeline.rangeBetween(W.unboundedPreceding, 0)),
+    ]
 
 
-def _instants(marks: DataFrame, keys: list[str], limits: Limits,
-              rows_bound: int | None = None) -> DataFrame:
-    """Per distinct instant: transactions strictly before it, confirmations up to it."""
+def _instants(marks: DataFrame, keys: list[str], limits: Limits) -> DataFrame:
+    """The same counts per distinct instant, for groups of any size."""
     collapsed = marks.groupBy(*keys, "at").agg(
-        F.sum("n_txn").alias("n_txn"), F.sum("n_conf").alias("n_conf")
-    )
-    return running_totals(collapsed, keys, ["at"], ["n_txn", "n_conf"], rows_bound=rows_bound,
+        F.sum("n_txn").alias("n_txn"), F.sum("n_conf").alias("n_conf"))
+    return running_totals(collapsed, keys, ["at"], ["n_txn", "n_conf"],
                           one_task_rows=limits.one_task_rows).select(
         *keys, "at", F.col("n_txn_before").alias("den"),
-        (F.col("n_conf_before") + F.col("n_conf")).alias("num"),
-    )
+        (F.col("n_conf_before") + F.col("n_conf")).alias("num"))
 
 
-def _merchant_counts(events: DataFrame, heavy: DataFrame | None, limits: Limits) -> DataFrame:
-    """events + ``den``: earlier transactions of the merchant, ``num``: its confirmations."""
-    columns = ["transaction_id", "__us", "__own", "den", "num"]
-
+def _with_merchant_counts(marks: DataFrame, heavy: DataFrame | None, limits: Limits) -> DataFrame:
+    """marks + ``den`` and ``num`` of their merchant (only meaningful on transactions)."""
     def by_window(df: DataFrame) -> DataFrame:
-        timeline = W.partitionBy("merchant_id").orderBy("at")
-        return _history_marks(df).select(
-            "transaction_id", "__us", "__own", "n_txn",
-            F.coalesce(F.sum("n_txn").over(
-                timeline.rangeBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("den"),
-            F.sum("n_conf").over(
-                timeline.rangeBetween(W.unboundedPreceding, 0)).alias("num"),
-        ).where("n_txn = 1").select(*columns)
+        den, num = _counts_so_far("merchant_id")
+        return df.select("*", den.alias("den"), num.alias("num"))
 
     if heavy is None:
-        return by_window(events)
-    ordinary, large = skew.split(events, heavy, ["merchant_id"])
-    instants = _instants(_history_marks(large), ["merchant_id"], limits)
-    counted = large.withColumn("at", F.col("__us")).join(instants, ["merchant_id", "at"])
-    return by_window(ordinary).unionByName(counted.select(*columns))
+        return by_window(marks)
+    ordinary, large = skew.split(marks, heavy, ["merchant_id"])
+    instants = _instants(large, ["merchant_id"], limits)
+    counted = large.where("n_txn = 1").join(instants, ["merchant_id", "at"])
+    rest = large.where("n_txn = 0").withColumns({"den": F.lit(0), "num": F.lit(0)})
+    out = by_window(ordinary)
+    return out.unionByName(counted.select(*out.columns)).unionByName(rest.select(*out.columns))
+
+
+def _with_global_counts(marks: DataFrame, transactions: DataFrame, ground_truth: DataFrame,
+                        rows: int, limits: Limits) -> DataFrame:
+    """marks of transactions + ``gden`` and ``gnum``: the counts over all merchants."""
+    bound = 2 * rows  # a transaction adds at most two marks
+    if bound <= limits.one_task_rows:
+        den, num = _counts_so_far()
+        return marks.select("*", den.alias("gden"), num.alias("gnum")).where("n_txn = 1")
+    # Totals per minute come from the two source tables, combined before any shuffle.
+    per_minute = durable(
+        transactions.groupBy(_minute(micros("timestamp")).alias("minute")).agg(
+            F.count("*").alias("txn")).withColumn("conf", F.lit(0).cast("bigint"))
+        .unionByName(
+            ground_truth.where("fraud_label = 1 and confirmed_fraud_at is not null")
+            .groupBy(_minute(micros("confirmed_fraud_at")).alias("minute")).agg(
+                F.lit(0).cast("bigint").alias("txn"), F.count("*").alias("conf")))
+        .groupBy("minute").agg(F.sum("txn").alias("txn"), F.sum("conf").alias("conf")))
+    busiest = per_minute.agg(F.max(F.col("txn") + F.col("conf"))).first()[0] or 0
+    if busiest > limits.one_task_rows:
+        everyone = _instants(marks, [], limits).select(
+            "at", F.col("den").alias("gden"), F.col("num").alias("gnum"))
+        return marks.where("n_txn = 1").join(everyone, "at")
+    # One row per minute of the calendar the data spans.
+    earlier = W.orderBy("minute").rowsBetween(W.unboundedPreceding, -1)
+    carry = per_minute.select(
+        "minute", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_earlier")
+                    for c in ("txn", "conf")])
+    den, num = _counts_so_far("minute")
+    return (
+        marks.withColumn("minute", _minute(F.col("at")))
+        .select("*", den.alias("den_inside"), num.alias("num_inside"))
+        .where("n_txn = 1").join(carry, "minute")
+        .select(*marks.columns,
+                (F.col("txn_earlier") + F.col("den_inside")).alias("gden"),
+                (F.col("conf_earlier") + F.col("num_inside")).alias("gnum"))
+    )
+
+
+def _minute(us: Column) -> Column:
+    return F.floor(us / 60_000_000)
 
 
 def merchant_features(transactions: DataFrame, ground_truth: DataFrame,
@@ -331,23 +374,19 @@ def merchant_features(transactions: DataFrame, ground_truth: DataFrame,
     Merchants with fewer than ``min_history`` earlier transactions take the same
     share over all merchants.
     """
-    events = _merchant_events(transactions, ground_truth)
     heavy = heavy or HeavyKeys(transactions, limits, "merchant_id")
-    counts = _merchant_counts(events, heavy["merchant_id"], limits)
-    rate = clip((F.col("num") - F.col("__own")) / F.greatest(F.col("den"), F.lit(1)), 0.0, 1.0)
-    own = counts.where(F.col("den") >= min_history).select(
-        "transaction_id", rate.alias("merchant_fraud_rate_hist"))
-    if min_history <= 0:
-        return own
-    # Each transaction adds at most two instants.
-    everyone = _instants(_history_marks(events).select("at", "n_txn", "n_conf"), [], limits,
-                         rows_bound=2 * heavy.rows)
-    young = counts.where(F.col("den") < min_history).select(
-        "transaction_id", "__own", F.col("__us").alias("at"))
-    return own.unionByName(
-        young.join(everyone, "at").select(
-            "transaction_id", rate.alias("merchant_fraud_rate_hist"))
-    )
+    marks = _with_merchant_counts(
+        _history_marks(transactions, ground_truth), heavy["merchant_id"], limits)
+    known = F.col("den") >= min_history
+    if min_history > 0:
+        marks = _with_global_counts(marks, transactions, ground_truth, heavy.rows, limits)
+        numerator = F.when(known, F.col("num")).otherwise(F.col("gnum"))
+        denominator = F.when(known, F.col("den")).otherwise(F.col("gden"))
+    else:
+        marks = marks.where("n_txn = 1")
+        numerator, denominator = F.col("num"), F.col("den")
+    rate = (numerator - F.col("own")) / F.greatest(denominator, F.lit(1))
+    return marks.select("transaction_id", clip(rate, 0.0, 1.0).alias("merchant_fraud_rate_hist"))
 
 
 # ---------------------------------------------------------------- assembled

@@ -697,3 +697,6 @@ _oracle("stream_log_stats", ["sd"], """select count(*) as total,
   round(coalesce(avg(score), 0), 6) as avg_score from sd""")
 _oracle("stream_batch_counts", ["t"], """select count(*) filter (where event_id % 97 <> 0) as scored,
   count(*) filter (where event_id % 97 = 0) as skipped from t""")
+_oracle("decision_times", ["t"], """select event_id as id, case when epoch_us(timestamp) % 1000000 = 0
+    then strftime(timestamp, '%Y-%m-%dT%H:%M:%S') else strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f')
+    end || '+00:00' as created_at from t""")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from riskloom import schemas as S
 from riskloom.functions import rules
+from riskloom.functions.scalar import utc_text
 from riskloom.operators import (
     anomaly, attribution, decisions, drift, eda, features, metrics, model, ordered, policy,
     quality, registry, risk, splits,
@@ -490,6 +491,12 @@ def latest_decision(w):
         "transaction_id", "id", "created_at", "decision")
 
 
+@query
+def decision_times(w):
+    """Log times as text with an explicit UTC offset."""
+    return w.decisions.select("id", utc_text("created_at").alias("created_at"))
+
+
 @query
 def newest_rows(w):
     return decisions.newest(w.decisions, 500).select("id", "transaction_id", "model_score")

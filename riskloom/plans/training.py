@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -15,23 +15,98 @@ EXPLAINED_ROWS = 2000
 BACKGROUND_ROWS = 100
 
 
-@dataclass
 class TrainingRun:
-    """Everything a run produces. Frames stay lazy until written or read."""
-
-    deployed_name: str
-    champion_name: str
-    deployed: model.CalibratedModel
-    classifiers: dict[str, PipelineModel]
-    validation_metrics: DataFrame
-    test_metrics: DataFrame
-    baseline_test_metrics: DataFrame
-    calibration_curve: DataFrame
-    anomaly_scores: DataFrame
-    importances: DataFrame
-    background: DataFrame
-    row_counts: DataFrame
-    inputs: list[str]
+    """Trained candidates and everything reported about them.
+
+    The candidates are trained when the run is made; reports are computed when asked for.
+    """
+
+    def __init__(self, matrix: DataFrame, candidates: list[str], rounds: int, trees: int):
+        self.inputs = inputs_of(matrix)
+        # Read by every fit and every report, so written once.
+        self.matrix = durable(matrix.where("fraud_label is not null"))
+        self.classifiers = {
+            name: model.train_candidate(name, self.part("train"), self.inputs, rounds, trees)
+            for name in candidates
+        }
+
+    def part(self, split: str) -> DataFrame:
+        return self.matrix.where(F.col("split") == split)
+
+    @cached_property
+    def validation_metrics(self) -> DataFrame:
+        """Ranking metrics of every candidate on validation, before calibration."""
+        judged = None
+        for name, classifier in self.classifiers.items():
+            scored = model.with_probability(classifier, self.part("val"))
+            line = metrics.evaluate(scored.select("model_score", "fraud_label")).select(
+                F.lit(name).alias("name"), F.col("pr_auc").alias("val_pr_auc"), "roc_auc")
+            judged = line if judged is None else judged.unionByName(line)
+        return durable(judged)  # one row per candidate
+
+    def _best(self, order: list[str]) -> str:
+        known = [n for n in order if n in self.classifiers]
+        return registry.champion(self.validation_metrics, known).first()["name"]
+
+    @cached_property
+    def deployed_name(self) -> str:
+        return self._best(model.CANDIDATES)
+
+    @cached_property
+    def champion_name(self) -> str:
+        """The better boosted candidate; the deployed one when none was trained."""
+        boosted = [n for n in ("xgboost", "lightgbm") if n in self.classifiers]
+        return self._best(boosted) if boosted else self.deployed_name
+
+    @cached_property
+    def deployed(self) -> model.CalibratedModel:
+        return model.calibrate(self.classifiers[self.deployed_name], self.part("val"))
+
+    def test_scores(self) -> DataFrame:
+        return self.deployed.score(self.part("test"))
+
+    @property
+    def test_metrics(self) -> DataFrame:
+        return model.test_report(self.test_scores())
+
+    @property
+    def baseline_test_metrics(self) -> DataFrame:
+        """The baseline after the same calibration, so that only the models differ."""
+        if self.deployed_name == "baseline":
+            return self.test_metrics
+        baseline = model.calibrate(self.classifiers["baseline"], self.part("val"))
+        return model.test_report(baseline.score(self.part("test")))
+
+    @property
+    def calibration_curve(self) -> DataFrame:
+        return metrics.calibration_curve(self.test_scores())
+
+    @cached_property
+    def forest(self) -> DataFrame:
+        return durable(anomaly.train(self.part("train"), self.inputs))
+
+    @property
+    def anomaly_scores(self) -> DataFrame:
+        return anomaly.score(self.part("test"), self.forest, self.inputs).select(
+            "transaction_id", "anomaly_score")
+
+    @property
+    def anomaly_mean(self) -> DataFrame:
+        return self.anomaly_scores.agg(F.avg("anomaly_score").alias("anomaly_mean"))
+
+    @property
+    def background(self) -> DataFrame:
+        return decisions.sample_rows(self.part("train"), BACKGROUND_ROWS)
+
+    @property
+    def importances(self) -> DataFrame:
+        explained = decisions.sample_rows(self.part("test"), EXPLAINED_ROWS)
+        return importances(self.classifiers[self.deployed_name], explained, self.background,
+                           self.inputs)
+
+    @property
+    def row_counts(self) -> DataFrame:
+        return self.matrix.groupBy("split").agg(F.count("*").alias("rows"))
 
 
 def inputs_of(matrix: DataFrame) -> list[str]:
@@ -53,51 +128,9 @@ def importances(classifier: PipelineModel, explained: DataFrame, background: Dat
 
 def run(matrix: DataFrame, candidates: list[str] = model.CANDIDATES,
         rounds: int = model.BOOSTING_ROUNDS, trees: int = model.TREES) -> TrainingRun:
-    """Train all candidates on the train split, choose on validation, report on test.
-
-    ``matrix`` carries transaction_id, fraud_label and split besides the model inputs. It
-    is read many times, so it is written once.
-    """
-    inputs = inputs_of(matrix)
-    matrix = durable(matrix.where("fraud_label is not null"))
-    part = {s: matrix.where(F.col("split") == s) for s in ("train", "val", "test")}
-
-    classifiers = {
-        name: model.train_candidate(name, part["train"], inputs, rounds, trees)
-        for name in candidates
-    }
-    judged = None
-    for name, classifier in classifiers.items():
-        line = metrics.evaluate(
-            model.with_probability(classifier, part["val"]).select("model_score", "fraud_label")
-        ).select(F.lit(name).alias("name"), F.col("pr_auc").alias("val_pr_auc"), "roc_auc")
-        judged = line if judged is None else judged.unionByName(line)
-    judged = durable(judged)  # one row per candidate
-
-    def best(order: list[str]) -> str:
-        return registry.champion(judged, [n for n in order if n in classifiers]).first()["name"]
-
-    deployed_name = best(model.CANDIDATES)
-    boosted = [n for n in ("xgboost", "lightgbm") if n in classifiers]
-    champion_name = best(boosted) if boosted else deployed_name
-    deployed = model.calibrate(classifiers[deployed_name], part["val"])
-    # The baseline is compared after the same calibration, so the two differ by model only.
-    baseline = deployed
-    if "baseline" in classifiers and deployed_name != "baseline":
-        baseline = model.calibrate(classifiers["baseline"], part["val"])
-
-    test = deployed.score(part["test"])
-    forest = durable(anomaly.train(part["train"], inputs))
-    background = decisions.sample_rows(part["train"], BACKGROUND_ROWS)
-    explained = decisions.sample_rows(part["test"], EXPLAINED_ROWS)
-    return TrainingRun(
-        deployed_name, champion_name, deployed, classifiers, judged,
-        model.test_report(test), model.test_report(baseline.score(part["test"])),
-        metrics.calibration_curve(test),
-        anomaly.score(part["test"], forest, inputs).select("transaction_id", "anomaly_score"),
-        importances(classifiers[deployed_name], explained, background, inputs),
-        background, matrix.groupBy("split").agg(F.count("*").alias("rows")), inputs,
-    )
+    """Train the candidates on the train split of a matrix that carries transaction_id,
+    fraud_label and split besides the model inputs."""
+    return TrainingRun(matrix, candidates, rounds, trees)
 
 
 def re_evaluate(path: str, matrix: DataFrame) -> dict[str, DataFrame]:

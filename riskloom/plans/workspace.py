@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import attribution, decisions, features, model, splits
 from riskloom.plans import training
-from riskloom.session import new_shared_path
+from riskloom.session import durable, new_shared_path
 from riskloom.sources.canonical import Tables
-from riskloom.sources.sinks import publish_files, write_parquet
+from riskloom.sources.sinks import publish_files
 from riskloom.sources.tables import read_file_stream
 from riskloom.streaming import scoring
 
@@ -58,14 +58,9 @@ class Workspace(Tables):
         return features.feature_table(
             self.transactions(), self.customers(), self.devices(), self.ground_truth())
 
-    def _stored(self, df: DataFrame, label: str) -> DataFrame:
-        path = new_shared_path(self.spark, label)
-        write_parquet(df, path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     @cached_property
     def features(self) -> DataFrame:
-        return self._stored(self.build_features(), "features")
+        return durable(self.build_features())
 
     @cached_property
     def transaction_count(self) -> int:
@@ -108,7 +103,7 @@ class Workspace(Tables):
 
     @cached_property
     def decisions(self) -> DataFrame:
-        return self._stored(self.build_decisions(), "decisions")
+        return durable(self.build_decisions())
 
     def labelled_scores(self, split: str | None = None) -> DataFrame:
         """model_score, fraud_label, amount of all transactions, or of one split."""

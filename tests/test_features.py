@@ -149,6 +149,23 @@ def test_heavy_plans_agree_with_windows_on_ties(spark, small):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_global_rate_carries_over_minutes(spark, small):
+    """Between the one-task and the range-split plan lies the plan by minute."""
+    a = f.merchant_features(small.transactions(), small.ground_truth())
+    b = f.merchant_features(small.transactions(), small.ground_truth(),
+                            limits=f.Limits(one_task_rows=100))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_confirmation_without_a_transaction_counts_for_all_merchants(spark):
+    rows = transactions(spark, [dict(transaction_id=k, timestamp=at(days=i))
+                                for i, k in enumerate("ABC")])
+    labels = truth(spark, [("gone", 1, at(hours=1))] + [(k, 0, None) for k in "ABC"])
+    for limits in (f.DEFAULT_LIMITS, f.Limits(one_task_rows=2), SPLIT_ALL):
+        got = by_id(f.merchant_features(rows, labels, limits=limits))
+        assert [got[k].merchant_fraud_rate_hist for k in "ABC"] == [0.0, 1.0, 0.5]
+
+
 def test_customer_windows_share_one_exchange(small):
     plan = f.velocity_features(small.transactions())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
