@@ -16,15 +16,13 @@ def with_contributions(matrix: DataFrame, coefficients: dict[str, float],
 
     ``background`` holds reference rows of the same matrix; only their means matter.
     """
-    means = background.agg(*[F.avg(c).alias(c) for c in coefficients])
-    row = means.select(F.struct(*coefficients)).scalar()  # one row
+    means = background.agg(*[F.avg(c).alias(c) for c in coefficients]).first()
     parts = [
         F.struct(F.lit(c).alias("feature"),
-                 ((F.col(c) - F.col(f"__mean.{c}")) * w).cast("double").alias("value"))
+                 ((F.col(c) - F.lit(means[c])) * w).cast("double").alias("value"))
         for c, w in coefficients.items()
     ]
-    return matrix.withColumn("__mean", row).select(
-        *matrix.columns, F.array(*parts).alias("contributions"))
+    return matrix.select(*matrix.columns, F.array(*parts).alias("contributions"))
 
 
 def top_features(contributions: str | Column = "contributions", k: int = 5) -> Column:

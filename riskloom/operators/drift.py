@@ -39,29 +39,23 @@ def numeric_distances(reference: DataFrame, current: DataFrame,
 
     A constant reference column is scaled by 1.
     """
-    values = _long(reference, current, columns)
-    steps = running_totals(values, ["column"], ["value"], ["ref", "cur"], previous="value",
-                           rows_bound=rows_bound, **limits)
-    mean = F.try_divide(F.sum(F.col("value") * F.col("ref")), F.sum("ref"))
-    square = F.try_divide(F.sum(F.col("value") * F.col("value") * F.col("ref")), F.sum("ref"))
-    totals = values.groupBy("column").agg(
-        F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"),
-        F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))).alias("sd"),
-    )
+    steps = running_totals(
+        _long(reference, current, columns), ["column"], ["value"], ["ref", "cur"],
+        previous="value", rows_bound=rows_bound, **limits)
     # An empty side has no shares: its distances are null.
-    gap = F.abs(F.try_divide("ref_before", "n_ref") - F.try_divide("cur_before", "n_cur"))
-    here = F.abs(F.try_divide(F.col("ref_before") + F.col("ref"), F.col("n_ref"))
-                 - F.try_divide(F.col("cur_before") + F.col("cur"), F.col("n_cur")))
+    gap = F.abs(F.try_divide("ref_before", "ref_total") - F.try_divide("cur_before", "cur_total"))
+    here = F.abs(F.try_divide(F.col("ref_before") + F.col("ref"), F.col("ref_total"))
+                 - F.try_divide(F.col("cur_before") + F.col("cur"), F.col("cur_total")))
     width = F.coalesce(F.col("value") - F.col("previous_value"), F.lit(0.0))
-    sized = steps.join(F.broadcast(totals), "column")  # one row per feature column
-    return sized.groupBy("column").agg(
-        F.sum(gap * width).alias("area"), F.max(here).alias("ks"), F.first("sd").alias("sd")
-    ).select(
-        "column",
-        (F.col("area") / F.when(F.col("sd") > 1e-9, F.col("sd")).otherwise(1.0))
-        .alias("wasserstein"),
-        "ks",
+    sums = steps.groupBy("column").agg(
+        F.sum(gap * width).alias("area"), F.max(here).alias("ks"),
+        F.try_divide(F.sum(F.col("value") * F.col("ref")), F.sum("ref")).alias("mean"),
+        F.try_divide(F.sum(F.col("value") * F.col("value") * F.col("ref")), F.sum("ref"))
+        .alias("square"),
     )
+    sd = F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
+    return sums.select(
+        "column", (F.col("area") / F.when(sd > 1e-9, sd).otherwise(1.0)).alias("wasserstein"), "ks")
 
 
 def categorical_distance(reference: DataFrame, current: DataFrame, column: str) -> DataFrame:

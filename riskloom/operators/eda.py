@@ -58,12 +58,11 @@ def amount_histogram(labelled: DataFrame, bins: int = 50, upper: float = 1000.0)
     ranges = ranges.select("fraud_label",
                            F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                            F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
-    counts = clipped.groupBy("fraud_label", "x").agg(F.count("*").alias("n"))
     place = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
     return (
-        counts.join(F.broadcast(ranges), "fraud_label")
+        clipped.join(F.broadcast(ranges), "fraud_label")
         .groupBy("fraud_label", F.least(place, F.lit(bins - 1)).alias("bin"))
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count("*").alias("n"))
     )
 
 

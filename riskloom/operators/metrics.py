@@ -78,19 +78,11 @@ def calibration_curve(scored: DataFrame, bins: int = 10, score: str = "model_sco
     A score belongs to the bin given by how many inner edges lie strictly below it.
     """
     inner = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(scored, [], score, inner, **options).agg(
-        F.array_sort(F.collect_list("quantile")).alias("edges"))  # bins - 1 values
-    # Equal scores share a bin, so the rows collapse before the edges are compared.
-    per_score = scored.groupBy(F.col(score).alias("s")).agg(
-        F.count("*").alias("n"), F.sum(label).alias("pos"))
-    below = [(F.get("edges", F.lit(i)) < F.col("s")).cast("int") for i in range(bins - 1)]
-    binned = per_score.withColumn("edges", edges.scalar()).withColumn(
-        "bin", sum(below, F.lit(0)))
-    return binned.groupBy("bin").agg(
-        (F.sum(F.col("s") * F.col("n")) / F.sum("n")).alias("mean_predicted"),
-        (F.sum("pos") / F.sum("n")).alias("fraction_positive"),
-        F.sum("n").alias("rows"),
-    )
+    edges = [r["quantile"] for r in exact_quantiles(scored, [], score, inner, **options).collect()]
+    below = [(F.lit(e) < F.col(score)).cast("int") for e in edges]  # bins - 1 of them
+    return scored.where(F.col(score).isNotNull()).groupBy(sum(below, F.lit(0)).alias("bin")).agg(
+        F.avg(score).alias("mean_predicted"), F.avg(label).alias("fraction_positive"),
+        F.count("*").alias("rows"))
 
 
 def evaluate(scored: DataFrame, keys: list[str] | None = None, **options) -> DataFrame:

@@ -20,7 +20,8 @@ _BLOCK = "__block"
 
 def block_prefix(df: DataFrame, keys: list[str], block: str, order: list[str],
                  measures: list[str], previous: str | None = None) -> DataFrame:
-    """Add ``<m>_before``: the sum of ``m`` over earlier rows of the same key.
+    """Add ``<m>_before``, the sum of ``m`` over earlier rows of the same key, and
+    ``<m>_total``, its sum over the key.
 
     ``block`` must not decrease along ``order`` inside a key, and keys are not null.
     With ``previous``, also add ``previous_<col>``, that column's value on the row before.
@@ -37,6 +38,7 @@ def block_prefix(df: DataFrame, keys: list[str], block: str, order: list[str],
     carry = totals.select(
         *keys, block,
         *[F.sum(f"{m}__total").over(across).alias(f"{m}__carry") for m in measures],
+        *[F.sum(f"{m}__total").over(W.partitionBy(*keys)).alias(f"{m}_total") for m in measures],
         *([F.max("__last").over(across).alias("__prior")] if previous else []),
     )
     marked = df.select(
@@ -51,6 +53,7 @@ def block_prefix(df: DataFrame, keys: list[str], block: str, order: list[str],
             .alias(f"{m}_before")
             for m in measures
         ],
+        *[f"{m}_total" for m in measures],
         *([F.coalesce("__near", "__prior").alias(f"previous_{previous}")] if previous else []),
     )
 
@@ -63,7 +66,8 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 def running_totals(df: DataFrame, keys: list[str], order: list[str], measures: list[str],
                    previous: str | None = None, rows_bound: int | None = None,
                    one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Add ``<m>_before`` for every measure; rows must be unique per (keys, order).
+    """Add ``<m>_before`` and ``<m>_total`` for every measure; rows must be unique per
+    (keys, order).
 
     ``rows_bound`` is a known upper bound on the rows of the largest group; when
     absent it is measured. Groups beyond ``one_task_rows`` are cut into blocks by
@@ -80,6 +84,7 @@ def running_totals(df: DataFrame, keys: list[str], order: list[str], measures: l
         return one.select(
             *df.columns,
             *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}_before") for m in measures],
+            *[F.sum(m).over(W.partitionBy(*keys, _BLOCK)).alias(f"{m}_total") for m in measures],
             *([F.max(previous).over(before).alias(f"previous_{previous}")] if previous else []),
         )
     cut = durable(
@@ -101,21 +106,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: l
     )
     ranked = running_totals(counted, keys, [value], ["n"], rows_bound=rows_bound,
                             one_task_rows=one_task_rows)
-    sizes = counted.groupBy(*keys).agg(F.sum("n").alias("total"))
-    if keys:
-        sized = ranked.join(sizes, keys)
-    else:
-        sized = ranked.withColumn("total", sizes.scalar())
     # Per quantile: the ranks on either side of its position, kept by the rows owning them.
     first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
     spots = F.array(*[
-        F.struct(F.lit(p).alias("probability"), (F.lit(p) * (F.col("total") - 1)).alias("position"))
+        F.struct(F.lit(p).alias("probability"), (F.lit(p) * (F.col("n_total") - 1)).alias("position"))
         for p in probabilities
     ])
     owned = F.filter(
         spots, lambda s: (F.ceil(s["position"]) >= first) & (F.floor(s["position"]) <= last)
     )
-    hits = sized.select(*keys, value, first.alias("first"), last.alias("last"),
+    hits = ranked.select(*keys, value, first.alias("first"), last.alias("last"),
                         F.inline(owned).alias("probability", "position"))
     low, high = F.floor("position"), F.ceil("position")
     return hits.groupBy(*keys, "probability", "position").agg(

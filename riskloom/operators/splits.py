@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,21 +17,25 @@ def labelled_rows(features: DataFrame, ground_truth: DataFrame) -> DataFrame:
         ground_truth.select("transaction_id", "fraud_label"), "transaction_id", "left")
 
 
-def with_split(df: DataFrame, ts: str = "timestamp", train: float = 0.70,
-               val: float = 0.15) -> DataFrame:
-    """Add ``split`` (train, val, test) by cut-off instants at shares of the time span."""
+def cut_offs(df: DataFrame, ts: str = "timestamp", train: float = 0.70,
+             val: float = 0.15) -> tuple[int, int]:
+    """Ends of the train and validation spans, in microseconds since 1970."""
+    low, high = df.agg(F.min(micros(ts)), F.max(micros(ts))).first()
+    if low is None:
+        return 0, 0
+    return tuple(low + math.floor((high - low) * share) for share in (train, train + val))
+
+
+def with_split(df: DataFrame, ts: str = "timestamp", cuts: tuple[int, int] | None = None,
+               train: float = 0.70, val: float = 0.15) -> DataFrame:
+    """Add ``split`` (train, val, test) by cut-off instants at shares of the time span.
+
+    ``cuts`` are known cut-offs; without them they are read off ``df`` itself.
+    """
+    train_end, val_end = cuts or cut_offs(df, ts, train, val)
     at = micros(ts)
-    lo, span = F.min(at), F.max(at) - F.min(at)
-    cuts = df.agg(F.struct(*[
-        (lo + F.floor(span * F.lit(share)).cast("bigint")).alias(name)
-        for name, share in (("train_end", train), ("val_end", train + val))
-    ]))
-    cut = F.col("__cut")
-    return df.withColumn("__cut", cuts.scalar()).select(
-        *df.columns,
-        F.when(at < cut["train_end"], "train").when(at < cut["val_end"], "val")
-        .otherwise("test").alias("split"),
-    )
+    return df.withColumn("split", F.when(at < train_end, "train").when(at < val_end, "val")
+                         .otherwise("test"))
 
 
 def split_counts(split: DataFrame) -> DataFrame:

@@ -142,7 +142,7 @@ _BASE = {
         from (select name, start_time, s, sum(fraud_label) as pos, count(*) as n
           from (select date_trunc('day', timestamp)::timestamp as start_time, fraud_label,
               unnest(['baseline', 'random_forest', 'xgboost', 'lightgbm']) as name,
-              unnest([model_score, merchant_raw, amount, ratio_raw]) as s
+              unnest([round(model_score, 6), merchant_raw, amount, ratio_raw]) as s
             from (select sp.*, merchant_fraud_rate_hist as merchant_raw,
               amount_vs_customer_p95 as ratio_raw from sp join fr using (transaction_id)
               where split = 'val'))

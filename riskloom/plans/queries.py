@@ -323,57 +323,27 @@ def calibration_curve(w):
     return metrics.calibration_curve(w.labelled_scores(), rows_bound=w.event_count)
 
 
-def _runs(w) -> DataFrame:
-    """Candidate runs found in the data: one score column per candidate, one run per day of
-    the validation span, each judged by its own average precision."""
-    rows = splits.with_split(rounded(w.scored_features())).where("split = 'val'")
-    candidates = {
-        "baseline": F.col("model_score"),
-        "random_forest": F.col("merchant_fraud_rate_hist"),
-        "xgboost": F.col("amount"),
-        "lightgbm": F.col("amount_vs_customer_p95"),
-    }
-    scored = rows.select(
-        F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("start_time"), "fraud_label",
-        F.inline(F.array(*[
-            F.struct(F.lit(n).alias("name"), c.cast("double").alias("model_score"))
-            for n, c in candidates.items()])),
-    )
-    judged = metrics.average_precision(
-        scored, ["name", "start_time"], rows_bound=w.event_count)
-    return judged.select(
-        "name", "start_time",
-        F.concat_ws("-", "name", F.date_format("start_time", "yyyyMMdd")).alias("run_id"),
-        F.round("average_precision", 6).alias("val_pr_auc"))
-
-
-CANDIDATE_ORDER = ["baseline", "random_forest", "xgboost", "lightgbm"]
-
-
 @query
 def candidate_runs(w):
-    return _runs(w)
+    return w.runs
 
 
 @query
 def candidate_comparison(w):
-    return registry.candidate_comparison(_runs(w), CANDIDATE_ORDER)
+    return registry.candidate_comparison(w.runs, model.CANDIDATES)
 
 
 @query
 def boosted_champion(w):
     """The better of the two boosted candidates; a tie goes to the first."""
-    latest = registry.newest_runs(_runs(w))
+    latest = registry.newest_runs(w.runs)
     return registry.champion(latest, ["xgboost", "lightgbm"]).select("name", "val_pr_auc")
 
 
 @query
 def promotion_gate(w):
-    runs = _runs(w)
-    latest = registry.newest_runs(runs)
-    current = latest.where("name = 'baseline'")
-    return registry.promotion_gate(
-        runs.select("name", "run_id", "val_pr_auc"), current)
+    current = registry.newest_runs(w.runs).where("name = 'baseline'")
+    return registry.promotion_gate(w.runs.select("name", "run_id", "val_pr_auc"), current)
 
 
 # ---------------------------------------------------------------- policy and rules

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import attribution, decisions, features, model, splits
+from riskloom.operators import attribution, decisions, features, metrics, model, splits
 from riskloom.plans import training
 from riskloom.session import durable, new_shared_path
 from riskloom.sources.canonical import Tables
@@ -74,14 +74,45 @@ class Workspace(Tables):
     def labelled(self) -> DataFrame:
         return splits.labelled_rows(self.features, self.ground_truth())
 
+    @cached_property
+    def cuts(self) -> tuple[int, int]:
+        return splits.cut_offs(self.raw("events").select("ts"), "ts")
+
     def split_rows(self) -> DataFrame:
-        return splits.with_split(self.labelled())
+        return splits.with_split(self.labelled(), cuts=self.cuts)
 
     def matrix(self) -> DataFrame:
         """Model matrix with key, label and split in front."""
         return splits.model_matrix(
             self.split_rows(), keep=["transaction_id", "fraud_label", "split"])
 
+    @cached_property
+    def runs(self) -> DataFrame:
+        """The run log: candidate runs found in the data.
+
+        Every candidate is one score column, every day of the validation span one run of
+        it, judged by its average precision on that day.
+        """
+        scores = {
+            "baseline": "model_score", "random_forest": "merchant_fraud_rate_hist",
+            "xgboost": "amount", "lightgbm": "amount_vs_customer_p95",
+        }
+        rows = splits.with_split(self.scored_features(), cuts=self.cuts).where("split = 'val'")
+        scored = rows.select(
+            F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("start_time"),
+            "fraud_label",
+            F.inline(F.array(*[
+                F.struct(F.lit(n).alias("name"),
+                         F.round(F.col(c).cast("double"), 6).alias("model_score"))
+                for n, c in scores.items()])),
+        )
+        judged = metrics.average_precision(scored, ["name", "start_time"],
+                                           rows_bound=self.event_count)
+        return durable(judged.select(
+            "name", "start_time",
+            F.concat_ws("-", "name", F.date_format("start_time", "yyyyMMdd")).alias("run_id"),
+            F.round("average_precision", 6).alias("val_pr_auc")))
+
     def contributions(self) -> DataFrame:
         matrix = self.matrix()
         background = decisions.sample_rows(matrix.where("split = 'train'"), BACKGROUND_ROWS)
@@ -111,7 +142,7 @@ class Workspace(Tables):
                                     "model_score")
         if split is None:
             return rows
-        return splits.with_split(rows).where(F.col("split") == split)
+        return splits.with_split(rows, cuts=self.cuts).where(F.col("split") == split)
 
     def linear_scored(self, rows: DataFrame) -> DataFrame:
         """Feature rows with the demonstration model's probability as ``model_score``."""
