@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators import anomaly, attribution, decisions, metrics, model, policy, registry
+from riskloom.operators import (
+    anomaly, attribution, decisions, metrics, model, policy, registry, splits,
+)
 from riskloom.session import durable
 
 EXPLAINED_ROWS = 2000
@@ -155,3 +158,23 @@ def choose_policy(path: str, matrix: DataFrame, amounts: DataFrame, model_run_id
     rows = durable(scored.select("transaction_id", "fraud_label", "model_score").join(
         amounts.select("transaction_id", F.col("amount")), "transaction_id"))
     return policy.policy_document(rows, model_run_id)
+
+
+def model_scorer(stored: model.CalibratedModel, inputs: list[str],
+                 background: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """A scorer for batches and streams: feature rows in, ``model_score`` added.
+
+    With a background and a linear model it also adds the five largest contributions as
+    ``shap_top_features``.
+    """
+    def score(rows: DataFrame) -> DataFrame:
+        encoded = rows.select("*", *splits.one_hot())
+        scored = stored.score(encoded)
+        if background is None or not model.is_linear(stored.classifier):
+            return scored.select(*rows.columns, "model_score")
+        weights = model.linear_coefficients(stored.classifier, inputs)
+        explained = attribution.with_contributions(scored, weights, background)
+        top = attribution.as_map(attribution.top_features(k=5))
+        return explained.select(*rows.columns, "model_score", top.alias("shap_top_features"))
+
+    return score
