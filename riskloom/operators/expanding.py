@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from bisect import insort
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,32 @@ from riskloom.operators.ordered import largest_group, running_totals
 from riskloom.session import durable
 
 
+def expanding_values(values: np.ndarray, q: float, min_prior: int) -> np.ndarray:
+    """Per value, the q-quantile of the values before it; NaN with fewer than ``min_prior``.
+
+    Two heaps meet at the quantile: ``low`` (negated) holds the smallest values up to its
+    lower rank, ``high`` the rest. The rank moves by at most one per value.
+    """
+    out = np.full(len(values), np.nan)
+    low, high = [], []
+    for i, v in enumerate(values):
+        if i >= max(min_prior, 1):
+            place = q * (i - 1)
+            share = place - int(place)
+            floor = -low[0]
+            out[i] = floor + (high[0] - floor) * share if share > 0 else floor
+        if low and v < -low[0]:
+            heappush(low, -v)
+        else:
+            heappush(high, v)
+        keep = int(q * i) + 1  # values at or below the lower rank among i + 1
+        while len(low) < keep:
+            heappush(low, -heappop(high))
+        while len(low) > keep:
+            heappush(high, -heappop(low))
+    return out
+
+
 def row_positions(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Add ``pos``: 0-based place of the row within its key. Splits keys of any size."""
     numbered = running_totals(rows.withColumn("__one", F.lit(1)), keys, order, ["__one"],

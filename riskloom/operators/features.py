@@ -10,15 +10,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.scalar import clip, differs
 from riskloom.operators import skew
-from riskloom.operators.expanding import expanding_quantile, row_positions
+from riskloom.operators.expanding import expanding_quantile, expanding_values, row_positions
 from riskloom.operators.ordered import ONE_TASK_ROWS, micros, running_totals
-from riskloom.schemas import FEATURE_COLUMNS
+from riskloom.schemas import FEATURE_COLUMNS, FEATURES
 from riskloom.session import durable
 
 # Fixed values of the feature definitions.
@@ -34,14 +37,16 @@ DAY_US = 24 * HOUR_US
 
 @dataclass(frozen=True)
 class Limits:
-    """Group sizes up to which the plan that keeps a group in one task is used.
+    """Group sizes up to which each plan is used.
 
-    ``customer_rows`` is low because trailing counts and expanding quantiles cost
-    more than linear time per key there; ``merchant_rows`` and ``device_rows`` are
-    bounded by what one task sorts comfortably.
+    Trailing counts and expanding quantiles as windows cost more than linear time per
+    customer, so windows serve customers up to ``window_rows``; beyond that a customer's
+    rows are worked through as one group. The other limits bound what one task sorts
+    comfortably: larger keys are split.
     """
 
-    customer_rows: int = 5_000
+    window_rows: int = 1_000
+    customer_rows: int = 1_000_000
     device_rows: int = 1_000_000
     merchant_rows: int = 1_000_000
     quantile_block_rows: int = 50_000
@@ -59,6 +64,7 @@ class HeavyKeys:
                   "merchant_id": limits.merchant_rows}
         profile = skew.key_profile(transactions, list(keys))
         self.rows = max(rows for rows, _ in profile.values())
+        self.largest = {k: largest for k, (_, largest) in profile.items()}
         self._found = {
             k: skew.heavy_keys(transactions, [k], bounds[k]) if largest > bounds[k] else None
             for k, (_, largest) in profile.items()
@@ -165,11 +171,57 @@ def _heavy_first_uses(positioned: DataFrame, column: str) -> DataFrame:
         firsts, ["customer_id", "pos"], "left").fillna(0, ["first"])
 
 
+def _grouped(rows: DataFrame, wanted: list[str]) -> DataFrame:
+    """The wanted columns for customers that fit one group but are long for windows."""
+    columns = rows.columns
+
+    def history(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(_TIME_ORDER)
+        us = group["__us"].to_numpy()
+        before = np.searchsorted(us, us, side="left")
+        for name, width in (("txn_count_1h", HOUR_US), ("txn_count_24h", DAY_US)):
+            if name in wanted:
+                group[name] = before - np.searchsorted(us, us - width, side="left")
+        if "amount_vs_customer_p95" in wanted:
+            p95 = expanding_values(group["amount"].to_numpy(), AMOUNT_QUANTILE, MIN_AMOUNT_HISTORY)
+            group["amount_vs_customer_p95"] = (
+                group["amount"] / (p95 + AMOUNT_EPSILON)).fillna(DEFAULT_AMOUNT_RATIO)
+        if "is_new_country_for_customer" in wanted:
+            group["is_new_country_for_customer"] = (~group["country"].duplicated()).astype("int32")
+        if "customer_device_count_so_far" in wanted:
+            first = (~group["device_id"].duplicated()).astype("int64")
+            group["customer_device_count_so_far"] = first.cumsum() - first
+        return group[columns + wanted]
+
+    added = _windowed_schema(wanted)
+    return rows.groupBy("customer_id").applyInPandas(
+        history, T.StructType(rows.schema.fields + added))
+
+
+def _windowed_schema(wanted: list[str]) -> list[T.StructField]:
+    return [T.StructField(c, FEATURES[c].dataType) for c in wanted]
+
+
+def _ordinary_history(rows: DataFrame, wanted: list[str], limits: Limits,
+                      largest: int) -> DataFrame:
+    """Customers that fit one task: windows for the short ones, groups for the long ones.
+
+    Which is which is a count over the customer, on the exchange both plans use.
+    """
+    if largest <= limits.window_rows:
+        return rows.select("*", *_windowed(wanted))
+    sized = rows.withColumn("__n", F.count("*").over(W.partitionBy("customer_id")))
+    short = sized.where(F.col("__n") <= limits.window_rows).drop("__n")
+    long = sized.where(F.col("__n") > limits.window_rows).drop("__n")
+    return short.select("*", *_windowed(wanted)).unionByName(_grouped(long, wanted))
+
+
 def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
-                      heavy: DataFrame | None) -> DataFrame:
+                      measured: HeavyKeys) -> DataFrame:
     """Add the ``wanted`` per-customer columns to ``rows`` (which carry ``__us``)."""
+    heavy, largest = measured["customer_id"], measured.largest["customer_id"]
     if heavy is None:
-        return rows.select("*", *_windowed(wanted))
+        return _ordinary_history(rows, wanted, limits, largest)
     ordinary, large = skew.split(rows, heavy, ["customer_id"])
     parts = []
     if {"txn_count_1h", "txn_count_24h"} & set(wanted):
@@ -194,7 +246,7 @@ def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
             "transaction_id", _amount_ratio(F.col("quantile")).alias("amount_vs_customer_p95")))
     for part in parts:
         large = large.join(part, "transaction_id")
-    return ordinary.select("*", *_windowed(wanted)).unionByName(
+    return _ordinary_history(ordinary, wanted, limits, largest).unionByName(
         large.select(*rows.columns, *wanted)
     )
 
@@ -204,7 +256,7 @@ def _customer_family(transactions: DataFrame, inputs: list[str], wanted: list[st
     heavy = HeavyKeys(transactions, limits, "customer_id")
     rows = transactions.select("transaction_id", "customer_id", *inputs,
                                micros("timestamp").alias("__us"))
-    return _customer_history(rows, wanted, limits, heavy["customer_id"])
+    return _customer_history(rows, wanted, limits, heavy)
 
 
 def velocity_features(transactions: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
@@ -258,7 +310,7 @@ def device_features(transactions: DataFrame, devices: DataFrame,
                                micros("timestamp").alias("__us"))
     aged = _with_device_columns(rows, transactions, devices, heavy["device_id"])
     wanted = ["customer_device_count_so_far"]
-    return _customer_history(aged, wanted, limits, heavy["customer_id"]).select(
+    return _customer_history(aged, wanted, limits, heavy).select(
         "transaction_id", "is_new_device", "device_age_days", *wanted)
 
 
@@ -410,7 +462,7 @@ def feature_table(transactions: DataFrame, customers: DataFrame, devices: DataFr
     history = _customer_history(homed, [
         "amount_vs_customer_p95", "txn_count_1h", "txn_count_24h",
         "customer_device_count_so_far", "is_new_country_for_customer",
-    ], limits, heavy["customer_id"])
+    ], limits, heavy)
     merchant = merchant_features(transactions, ground_truth, limits=limits, heavy=heavy)
     return history.join(merchant, "transaction_id", "left").select(
         "*", *[c.alias(n) for n, c in transaction_columns().items()],

@@ -8,10 +8,13 @@ from riskloom.operators import quality
 from riskloom.schemas import FEATURE_COLUMNS, FEATURES
 from util import at, by_id, transactions, truth
 
+# Sends every customer through the plan for long ones.
+GROUP_ALL = f.Limits(window_rows=0)
 # Sends every customer, device and merchant through the plans for heavy keys.
-SPLIT_ALL = f.Limits(customer_rows=0, device_rows=0, merchant_rows=0, quantile_block_rows=4,
+SPLIT_ALL = f.Limits(window_rows=0, customer_rows=0, device_rows=0, merchant_rows=0, quantile_block_rows=4,
                      one_task_rows=0)
-BOTH = pytest.mark.parametrize("limits", [f.DEFAULT_LIMITS, SPLIT_ALL], ids=["window", "split"])
+BOTH = pytest.mark.parametrize("limits", [f.DEFAULT_LIMITS, GROUP_ALL, SPLIT_ALL],
+                               ids=["window", "group", "split"])
 
 
 @BOTH
@@ -123,7 +126,7 @@ def test_feature_table_is_valid_complete_and_repeatable(small):
 
 def test_heavy_plans_agree_with_windows_on_real_rows(small):
     rows = small.transactions()
-    limits = f.Limits(customer_rows=60, device_rows=20, merchant_rows=8, quantile_block_rows=16,
+    limits = f.Limits(window_rows=55, customer_rows=65, device_rows=20, merchant_rows=8, quantile_block_rows=16,
                       one_task_rows=50)
     split = f.feature_table(rows, small.customers(), small.devices(), small.ground_truth(), limits)
 
@@ -139,14 +142,17 @@ def test_heavy_plans_agree_with_windows_on_ties(spark, small):
 
     rows = _orders_as_transactions(small).withColumn("customer_id", F.expr("customer_id % 3"))
     rows = rows.withColumn("customer_id", F.col("customer_id").cast("string"))
-    limits = f.Limits(customer_rows=400, quantile_block_rows=37, one_task_rows=100)
+    plans = [f.Limits(customer_rows=400, quantile_block_rows=37, one_task_rows=100), GROUP_ALL]
     for build in (f.velocity_features, f.behavioral_features):
-        a = build(rows, f.Limits(customer_rows=10**9))
-        b = build(rows, limits)
-        value = [c for c in a.columns if c != "transaction_id"]
-        a, b = (x.select("transaction_id", *[F.round(c, 9).alias(c) for c in value])
-                for x in (a, b))
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        def values(limits):
+            out = build(rows, limits)
+            return out.select("transaction_id", *[
+                F.round(c, 9).alias(c) for c in out.columns if c != "transaction_id"])
+
+        a = values(f.Limits(window_rows=10**9))
+        for limits in plans:
+            b = values(limits)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 def test_global_rate_carries_over_minutes(spark, small):

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from riskloom.operators import skew
-from riskloom.operators.expanding import expanding_quantile, row_positions
+from riskloom.operators.expanding import expanding_quantile, expanding_values, row_positions
 from riskloom.operators.ordered import exact_quantiles, running_totals
 from util import by_id
 
@@ -57,6 +57,14 @@ def test_expanding_quantile_is_exact_for_any_block_size(spark, values, block, q)
         assert got[i] == pytest.approx(np.quantile(values[:i], q))
 
 
+@given(values=st.lists(st.integers(-20, 20), max_size=80), q=st.floats(0, 1))
+def test_heaps_follow_the_quantile(values, q):
+    got = expanding_values(np.array(values, dtype=float), q, 1)
+    assert len(got) == len(values)
+    for i in range(1, len(values)):
+        assert got[i] == pytest.approx(np.quantile(values[:i], q), abs=1e-9)
+
+
 def test_heavy_keys_are_the_largest_and_bounded(spark):
     df = spark.createDataFrame([(k,) for k, n in (("a", 9), ("b", 5), ("c", 7)) for _ in range(n)],
                                "k string")
