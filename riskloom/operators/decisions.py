@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.rules import decide, evaluate_rules
-from riskloom.functions.scalar import clip, minute_key
+from riskloom.functions.scalar import minute_key
 from riskloom.operators.ordered import running_totals
 from riskloom.schemas import DECISIONS, FEATURE_COLUMNS
 
@@ -166,7 +166,3 @@ def cyclic_batch(pool: DataFrame, cursor: int, size: int, key: str = "transactio
                              F.lit(total).cast("bigint"))).alias("slot"),
         F.lit((cursor + size) % total).cast("bigint").alias("next_cursor"),
     )
-
-
-def score_share(score: str = "model_score") -> Column:
-    return clip(score, 0.0, 1.0)
