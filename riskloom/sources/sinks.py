@@ -48,10 +48,11 @@ def publish_kafka(rows: DataFrame, servers: str, topic: str,
     )
 
 
-def append_batch(decisions: DataFrame, path: str, batch_id: int) -> None:
-    """Append one micro-batch to the decision log, in its own partition.
+def append_batch(rows: DataFrame, path: str, stream: str, batch_id: int) -> None:
+    """Append one micro-batch of a stream to a table, in its own partition.
 
     A batch that is replayed overwrites its own partition, so a retry after a crash
-    leaves the log unchanged instead of adding the rows again.
+    leaves the table unchanged instead of adding the rows again. A stream that starts over
+    with a new checkpoint has a new id and so leaves earlier rows alone.
     """
-    decisions.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch_id={batch_id}")

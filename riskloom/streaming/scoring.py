@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +14,7 @@ from riskloom.operators.decisions import decision_records
 from riskloom.sources.sinks import append_batch
 from riskloom.sources.tables import parse_feature_rows
 
-# A log id packs batch, partition of the batch and row, so ids rise from batch to batch.
+# A log id packs batch number, partition of the batch and row, so ids rise from batch to batch.
 _ROW_BITS, _PARTITION_BITS = 24, 20
 
 
@@ -35,18 +36,29 @@ def typed(rows: DataFrame) -> DataFrame:
     ])
 
 
-def log_id(batch_id: int) -> Column:
+def earlier_batches(spark: SparkSession, log_path: str, stream: str) -> int:
+    """How many batches other, finished streams have put into the log."""
+    try:
+        log = spark.read.parquet(log_path)
+    except AnalysisException:  # no log yet
+        return 0
+    last = log.where(F.col("stream") != stream).groupBy("stream").agg(
+        F.max("batch_id").alias("last"))  # partition columns only
+    return last.agg(F.coalesce(F.sum(F.col("last") + 1), F.lit(0))).first()[0]
+
+
+def log_id(batch_number: int) -> Column:
     raw = F.monotonically_increasing_id()
     row = raw.bitwiseAND(F.lit((1 << 33) - 1))
     partition = F.shiftright(raw, 33)
     fits = (row < (1 << _ROW_BITS)) & (partition < (1 << _PARTITION_BITS))
-    packed = F.lit(batch_id << (_ROW_BITS + _PARTITION_BITS)) + F.shiftleft(partition, _ROW_BITS) + row
+    packed = F.lit(batch_number << (_ROW_BITS + _PARTITION_BITS)) + F.shiftleft(partition, _ROW_BITS) + row
     return F.when(fits, packed).otherwise(
         F.raise_error(F.lit("micro-batch too large for its ids; add partitions")))
 
 
 def score_batch(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], t_review: float,
-                t_block: float, model_run_id: str, batch_id: int,
+                t_block: float, model_run_id: str, batch_number: int,
                 created_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(decision records, rejected rows) of one batch of wire rows. Nothing is collected.
 
@@ -55,7 +67,7 @@ def score_batch(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], t_rev
     checked = rows.withColumn("__valid", is_valid())
     good = typed(checked.where("__valid"))
     scored = scorer(good).withColumns({
-        "id": log_id(batch_id),
+        "id": log_id(batch_number),
         "created_at": created_at if created_at is not None else F.current_timestamp(),
     })
     top = F.col("shap_top_features") if "shap_top_features" in scored.columns else None
@@ -72,14 +84,20 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 
     A row that cannot be scored goes to ``rejected_path`` and does not stop the batch. Any
     other error fails the batch, which the next start repeats from the checkpoint; each
-    batch writes its own partition, so a repeated batch replaces its earlier rows.
+    batch writes its own partition, so a repeated batch replaces its earlier rows. A log has
+    one live stream at a time; a stream with a new checkpoint continues its ids.
     """
     def process(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        number = earlier_batches(spark, log_path, stream) + batch_id
         rows.persist()  # two tables are written, the source is read once
-        records, rejected = score_batch(rows, scorer, t_review, t_block, model_run_id, batch_id)
-        append_batch(records, log_path, batch_id)
-        append_batch(rejected, rejected_path, batch_id)
-        rows.unpersist()
+        try:
+            records, rejected = score_batch(rows, scorer, t_review, t_block, model_run_id, number)
+            append_batch(records, log_path, stream, batch_id)
+            append_batch(rejected, rejected_path, stream, batch_id)
+        finally:
+            rows.unpersist()
 
     return (
         parse_feature_rows(messages).writeStream.trigger(availableNow=True)
@@ -91,9 +109,10 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 
 def batch_counts(log: DataFrame, rejected: DataFrame) -> DataFrame:
     """Scored and skipped rows of every batch, read off the two written tables."""
-    scored = log.groupBy("batch_id").agg(F.count("*").alias("scored"))
-    skipped = rejected.groupBy("batch_id").agg(F.count("*").alias("skipped"))
-    return scored.join(skipped, "batch_id", "full_outer").fillna(0, ["scored", "skipped"])
+    batch = ["stream", "batch_id"]
+    scored = log.groupBy(*batch).agg(F.count("*").alias("scored"))
+    skipped = rejected.groupBy(*batch).agg(F.count("*").alias("skipped"))
+    return scored.join(skipped, batch, "full_outer").fillna(0, ["scored", "skipped"])
 
 
 def minute_counts(decisions: DataFrame, late: str = "10 minutes") -> DataFrame:

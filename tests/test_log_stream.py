@@ -108,14 +108,15 @@ def test_stream_scores_skips_and_repeats_without_duplicates(spark, tmp_path):
         extra.write("not json\n" + json.dumps({**GOOD, "transaction_id": "TXN5",
                                                "timestamp": "whenever"}) + "\n")
 
-    def run():
+    def run(checkpoint=check):
         query = scoring.score_stream(tables.read_file_stream(spark, topic), scorer, 0.3, 0.7,
-                                     "run", out, bad, check)
+                                     "run", out, bad, checkpoint)
         query.awaitTermination()
 
     run()
     counts = scoring.batch_counts(spark.read.parquet(out), spark.read.parquet(bad))
-    assert [tuple(r) for r in counts.collect()] == [(0, 2, 4)]
+    assert [tuple(r)[1:] for r in counts.collect()] == [(0, 2, 4)]
+    stream = counts.first().stream
     got = by_id(spark.read.parquet(out))
     assert {k: (r.decision, r.decision_source) for k, r in got.items()} == {
         "TXN1": ("block", "model"), "TXN3": ("approve", "model")}
@@ -125,14 +126,20 @@ def test_stream_scores_skips_and_repeats_without_duplicates(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
     # A batch that is run again replaces what it wrote.
     records, _ = scoring.score_batch(wire(spark, rows), scorer, 0.3, 0.7, "run", 0)
-    sinks.append_batch(records, out, 0)
-    sinks.append_batch(records, out, 0)
+    sinks.append_batch(records, out, stream, 0)
+    sinks.append_batch(records, out, stream, 0)
     assert spark.read.parquet(out).count() == 2
     # New messages continue the log with higher ids.
     sinks.publish_files(wire(spark, feature_rows(spark, dict(transaction_id="TXN9"))), topic)
     run()
     ids = by_id(spark.read.parquet(out))
     assert ids["TXN9"].id > max(ids["TXN1"].id, ids["TXN3"].id)
+    # A lost checkpoint scores the topic again; the earlier log stays, ids go on rising.
+    run(str(tmp_path / "other"))
+    log_rows = spark.read.parquet(out).select("stream", "transaction_id", "id").collect()
+    old, new = ([r for r in log_rows if (r.stream == stream) is same] for same in (True, False))
+    assert len(old) == len(new) == 3
+    assert min(r.id for r in new) > max(r.id for r in old)
 
 
 def test_scorer_errors_fail_the_batch_and_write_nothing(spark, tmp_path):
