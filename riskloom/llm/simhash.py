@@ -18,6 +18,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import components, table
 from riskloom.session import durable
@@ -56,7 +57,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
 
