@@ -1,9 +1,10 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import exact_dedup, simhash
+from riskloom.llm import exact_dedup, packing, simhash
 
 QUERIES = {
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
