@@ -1,12 +1,13 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import bpe, exact_dedup, packing, simhash
+from riskloom.llm import bpe, chat, exact_dedup, packing, simhash
 
 QUERIES = {
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_chat_windows": chat.op10_chat_windows,
 }
 
 ORACLES = {
