@@ -1,9 +1,11 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import bpe, chat, exact_dedup, packing, simhash
+from riskloom.llm import bpe, chat, exact_dedup, language, licenses, packing, simhash
 
 QUERIES = {
+    "op3_license_scan": licenses.op3_license_scan,
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
+    "op5_language_id": language.op5_language_id,
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
@@ -11,5 +13,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_license_scan": licenses.OP3_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
