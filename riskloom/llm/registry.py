@@ -1,12 +1,13 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import bpe, chat, exact_dedup, language, licenses, packing, secrets, simhash
+from riskloom.llm import bpe, chat, exact_dedup, language, licenses, packing, secrets, simhash, vectors
 
 QUERIES = {
     "op2_secret_scan": secrets.op2_secret_scan,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
     "op5_language_id": language.op5_language_id,
+    "op6_embedding_near_dedup": vectors.op6_embedding_near_dedup,
     "op7_simhash_near_dedup": simhash.op7_simhash_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
