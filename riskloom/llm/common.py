@@ -64,6 +64,40 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         links.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
+def most_frequent(counts: DataFrame, size: int) -> list[str]:
+    """The most frequent words of ``counts(word, n)``, at most ``size`` of them.
+
+    A histogram of the logarithms of the counts, a few hundred rows, tells from which count on
+    words are asked for, so that no more than those come to the driver. Words of the bin that
+    no longer fits whole are ordered; words seen once only come in where there is room.
+    """
+    counts = durable(counts.withColumn("bin", F.floor(F.log2("n") * 16).cast("int")))
+    bins = {r["bin"]: r["count"] for r in counts.groupBy("bin").count().collect()}
+    total, least, rest = 0, None, None
+    for b in sorted(bins, reverse=True):
+        if total + bins[b] > size:
+            rest = b
+            break
+        total, least = total + bins[b], b
+    words = [] if least is None else [r.word for r in counts.where(F.col("bin") >= least).select("word").collect()]
+    if rest is not None and total < size // 2:
+        # One bin holds more than half: take a part of it by hash, which is as good as any.
+        share = (size - total) / bins[rest]
+        some = counts.where((F.col("bin") == rest) & (F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))))
+        words += [r.word for r in some.select("word").collect()][:size - total]
+    return sorted(words)
+
+
+def hashed_sample(rows: DataFrame, key: list[str], size: int, surplus: float = 4.0) -> DataFrame:
+    """About ``surplus * size`` rows at most, by a hash of the key: what is ordered and cut off
+    afterwards stays small however many rows there are."""
+    total = rows.count()
+    if total <= surplus * size:
+        return rows
+    share = int(surplus * size / total * (1 << 40))
+    return rows.where(F.pmod(F.xxhash64(*key, F.lit(5)), F.lit(1 << 40)) < max(1, share))
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str], buckets: int, name: str) -> DataFrame:
     """Add ``name``: rows of each ``group`` numbered from 0 without one task per group.
 

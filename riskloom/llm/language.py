@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import table
+from riskloom.llm.common import hashed_sample, table
 
 #: Labelled texts that the network is fitted on at most, and pieces taken from each.
 TRAIN_TEXTS, TRAIN_PIECES = 2_500, 6
@@ -261,7 +261,7 @@ def fit(docs: DataFrame, texts: int = TRAIN_TEXTS, pieces: int = TRAIN_PIECES) -
     cuts = [F.col("text").substr((F.pmod(F.xxhash64("doc_id", F.lit(k)), length) + 1).cast("int"), F.lit(TRAIN_BYTES))
             for k in range(pieces)]
     rows = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+        hashed_sample(docs, ["doc_id"], texts).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
         .select("lang", F.array(*cuts).alias("cuts"), F.xxhash64("doc_id").alias("_order"))
         .orderBy("_order", "lang").limit(texts).collect()
     )

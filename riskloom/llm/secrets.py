@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import hashed_sample, most_frequent, table
 from riskloom.session import durable
 
 # Words that stand before secrets, and before long strings that are none.
@@ -67,8 +67,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 def frequent_words(docs: DataFrame, size: int = DICTIONARY_WORDS) -> list[str]:
     """The most frequent words of at least three letters over all texts."""
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where(F.length("word") >= 3)
-    top = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size).collect()
-    return [r.word for r in top]
+    return most_frequent(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), size)
 
 
 def _any_word(text: Column, words: list[str]) -> Column:
@@ -112,7 +111,7 @@ def labelled_findings(docs: DataFrame, documents: int = TRAIN_DOCUMENTS) -> Data
     file hashes, running numbers, identifiers, placeholders and file names.
     """
     # A text's end is as good as any other place of it.
-    base = docs.where(F.length("text") > 0).select(
+    base = hashed_sample(docs, ["doc_id"], documents).where(F.length("text") > 0).select(
         F.xxhash64("doc_id", F.length("text")).alias("h"), F.right("text", F.lit(600)).alias("t"))
     base = base.orderBy("h", "t").limit(documents).select(
         "h", F.split(F.lower("t"), r"[^\p{L}]+").alias("w"), F.sha1("t").alias("hex"), F.sha2(F.col("t"), 256).alias("hex2"))
