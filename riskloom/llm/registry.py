@@ -1,8 +1,9 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import bpe, chat, exact_dedup, language, licenses, packing, secrets, simhash, vectors
+from riskloom.llm import bpe, chat, exact_dedup, language, licenses, packing, paragraphs, secrets, simhash, vectors
 
 QUERIES = {
+    "op1_paragraph_dedup": paragraphs.op1_paragraph_dedup,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op3_license_scan": licenses.op3_license_scan,
     "op4_bpe_transducer": bpe.op4_bpe_transducer,
