@@ -111,10 +111,25 @@ def op7_simhash_near_dedup(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Pipeline stage: of each component the document with the smallest identifier stays."""
-    found = simhash_groups(docs.select("doc_id", "text", F.struct(*docs.columns).alias("all_columns")),
-                           carry=["doc_id", "all_columns"])
-    # Rows that repeat the identifier of a kept document: one stays.
-    one = Window.partitionBy("component_id", "fingerprint").orderBy(F.lit(0))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").select("all_columns.*")
+    """Pipeline stage: of each component the document with the smallest identifier stays.
+
+    Texts stay where they are: the others are found by identifier and text, and left out.
+    """
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = durable(simhash_groups(named, carry=["doc_id", "text_hash"]))
+    # The kept row of a component: the smallest identifier, then the smallest hash.
+    best = found.groupBy("component_id").agg(F.min(F.when(
+        F.col("doc_id") == F.col("component_id"), F.struct("doc_id", "text_hash"))).alias("best"))
+    # Components of rows without an identifier have no name; all of their rows stay.
+    gone = found.where("component_id is not null").join(best, "component_id").where(
+        ~F.struct("doc_id", "text_hash").eqNullSafe(F.col("best")))
+    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text")]
+    gone = gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc"),
+                       F.col("text_hash").alias("_hash")).distinct()
+    kept = docs.join(gone, (key[0] == F.col("_doc")) & (key[1] == F.col("_hash")), "left_anti")
+    if found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        return kept
+    # Rows that repeat identifier and text: one stays.
+    again = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
+    return kept.select(F.struct(*docs.columns).alias("r"), "doc_id", "text").withColumn(
+        "n", F.row_number().over(again)).where("n = 1").select("r.*")
