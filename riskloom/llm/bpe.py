@@ -10,7 +10,10 @@ merge order says. Both ways give the same ids; the transducer only saves merging
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import hashlib
+import heapq
 import json
 import mmap
 import re
@@ -27,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm.common import table
+from riskloom.llm.common import most_frequent, table
 
 #: Words in the lexicon; bounds the compiled file to a few MB whatever the corpus.
-LEXICON_WORDS = 32_768
-#: Distinct chunks or words that a task holds before it hands them on.
-HELD = 200_000
+LEXICON_WORDS = 262_144
+#: Distinct chunks that a task remembers.
+HELD = 300_000
 #: Characters of text that a task works on at a time.
 BATCH_CHARS = 2_000_000
 #: Characters that Python's split() takes as white space and the tokenizer doesn't.
@@ -42,6 +45,10 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")
 _RARE = re.compile("[^\x00-\u024f\u0370-\u052f\u2000-\u206f]")
 
 
+_SLOTS = 1 << 18
+_SPREAD = np.int64(0x1E3779B97F4A7C15)
+
+
 def _tokenizer_path() -> str:
     import public_tokenizers
 
@@ -67,12 +74,30 @@ class Vocabulary:
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        #: Rank of a pair of ids, packed in one number, and the id that a merge of that rank makes.
+        self.pair_rank = {self.ids[a] << 20 | self.ids[b]: i for i, (a, b) in enumerate(merges)}
+        self.joined = [self.ids[a + b] for a, b in merges]
+        self.none = len(merges)
+        self.joined_table = np.array(self.joined, dtype=np.int32)
+        # The same pairs in an open hash table, for many look-ups at once.
+        self.slot_key = np.full(_SLOTS, -1, dtype=np.int64)
+        self.slot_rank = np.zeros(_SLOTS, dtype=np.int32)
+        self.probes = 1
+        for pair, i in self.pair_rank.items():
+            slot, probes = (((pair * int(_SPREAD)) & (1 << 64) - 1) >> 44) & _SLOTS - 1, 1
+            while self.slot_key[slot] >= 0:
+                slot, probes = slot + 1 & _SLOTS - 1, probes + 1
+            self.slot_key[slot], self.slot_rank[slot] = pair, i
+            self.probes = max(self.probes, probes)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.ids | self.special).items()}
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = _byte_letters()
+        self.byte_ids = [self.ids[c] for c in self.letters]
+        self.last_ids = [self.ids[c + self.end] for c in self.letters]
+        self.byte_table = np.array([self.byte_ids, self.last_ids], dtype=np.int32)
         self.bytes = {c: b for b, c in enumerate(self.letters)}
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
@@ -103,27 +128,111 @@ class Vocabulary:
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word by merging the pair of lowest rank, leftmost first, until none is left."""
-        parts = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        if not parts:
+        data = word.encode("utf-8", "surrogatepass")
+        if not data:
             return []
-        parts[-1] += self.end
-        rank = self.rank
-        none = len(rank)
-        while len(parts) > 1:
-            pairs = list(zip(parts, parts[1:]))
-            best = min(pairs, key=lambda p: rank.get(p, none))
-            if best not in rank:
+        ids = [*map(self.byte_ids.__getitem__, data[:-1]), self.last_ids[data[-1]]]
+        if len(ids) > 256:
+            return self._merge_long(ids)
+        get, joined, none = self.pair_rank.get, self.joined, self.none
+        ranks = [get(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            ids[i:i + 2] = (joined[best],)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 20 | ids[i], none)
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << 20 | ids[i + 1], none)
+        return ids
+
+    def merge_all(self, words: list[str]) -> list[list[int]]:
+        """``merge`` of many words. Words of one length are merged side by side, one merge of
+        each at a time; the lowest rank comes first, and the leftmost where it is there twice."""
+        data = [w.encode("utf-8", "surrogatepass") for w in words]
+        out: list[list[int]] = [[]] * len(words)
+        of_size: dict[int, list[int]] = {}
+        for i, d in enumerate(data):
+            of_size.setdefault(len(d), []).append(i)
+        for size, mine in of_size.items():
+            if size > 48 or len(mine) < 16:
+                for i in mine:
+                    out[i] = self.merge(words[i])
+                continue
+            raw = np.frombuffer(b"".join([data[i] for i in mine]), np.uint8).reshape(-1, size)
+            ids = self.byte_table[0][raw]
+            ids[:, -1] = self.byte_table[1][raw[:, -1]]
+            rank = self._ranks(ids[:, :-1], ids[:, 1:])
+            live, left = np.arange(len(mine)), np.full(len(mine), size)
+            done = np.zeros_like(ids)
+            for width in range(size - 1, 0, -1):
+                best = rank.min(axis=1)
+                more = best < self.none
+                if not more.all():
+                    stop = ~more
+                    done[live[stop], :width + 1] = ids[stop]
+                    left[live[stop]] = width + 1
+                    live, ids, rank, best = live[more], ids[more], rank[more], best[more]
+                    if not len(live):
+                        break
+                at = rank.argmin(axis=1)
+                rows = np.arange(len(live))
+                ids[rows, at] = self.joined_table[best]
+                # What stands after the merged pair moves one place to the left.
+                column = np.arange(width)[None, :]
+                ids = np.take_along_axis(ids, column + (column > at[:, None]), axis=1)
+                column = column[:, :width - 1]
+                rank = np.take_along_axis(rank, column + (column >= at[:, None]), axis=1) if width > 1 else rank[:, :0]
+                for side in (at - 1, at):
+                    there = (side >= 0) & (side < width - 1)
+                    r, c = rows[there], side[there]
+                    rank[r, c] = self._ranks(ids[r, c], ids[r, c + 1])
+                if width == 1:
+                    done[live, :1] = ids
+                    left[live] = 1
+                    live = live[:0]
+            if size == 1:
+                done = ids
+            for i, row, n in zip(mine, done.tolist(), left.tolist()):
+                out[i] = row[:n]
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a.astype(np.int64) << 20 | b
+        slot = (pair * _SPREAD) >> 44 & _SLOTS - 1
+        out = np.full(pair.shape, self.none, dtype=np.int32)
+        flat_pair, flat_slot, flat_out = pair.ravel(), slot.ravel(), out.ravel()
+        open_ = np.arange(len(flat_pair))
+        for _ in range(self.probes):
+            key = self.slot_key[flat_slot[open_]]
+            hit = key == flat_pair[open_]
+            flat_out[open_[hit]] = self.slot_rank[flat_slot[open_[hit]]]
+            open_ = open_[~hit & (key >= 0)]
+            if not len(open_):
                 break
-            joined, out, i = best[0] + best[1], [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == best[0] and parts[i + 1] == best[1]:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts if p in self.ids]
+            flat_slot[open_] = flat_slot[open_] + 1 & _SLOTS - 1
+        return flat_out.reshape(pair.shape)
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same for long words, with a heap of pairs and links between neighbours."""
+        get, joined, none = self.pair_rank.get, self.joined, self.none
+        after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
+        heap = [(r, i) for i in range(len(ids) - 1) if (r := get(ids[i] << 20 | ids[i + 1], none)) < none]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j < 0 or get(ids[i] << 20 | ids[j], none) != r:
+                continue  # merged otherwise meanwhile
+            ids[i], ids[j] = joined[r], -1
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+                if (new := get(ids[i] << 20 | ids[after[i]], none)) < none:
+                    heapq.heappush(heap, (new, i))
+            if before[i] >= 0 and (new := get(ids[before[i]] << 20 | ids[i], none)) < none:
+                heapq.heappush(heap, (new, before[i]))
+        return [i for i in ids if i >= 0]
 
     def text(self, ids: Iterable[int]) -> str:
         """Decoded text. The file has no decoder, so tokens are joined by one blank."""
@@ -132,7 +241,22 @@ class Vocabulary:
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    vocab = Vocabulary(path)
+    gc.freeze()
+    return vocab
+
+
+@contextlib.contextmanager
+def _no_cycles():
+    """Millions of small lists and strings, and no cycles among them, are made inside; looking
+    for such cycles would take longer than the work."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
 
 
 def compile_lexicon(words: dict[str, list[int]]) -> bytes:
@@ -288,10 +412,12 @@ def _count_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
 
     for batch in batches:
         for _, texts in _slices(batch.column(0)):
-            for text in texts:
-                chunks.update(vocab.chunks(text))
-            if len(chunks) >= HELD:
-                yield flush()
+            with _no_cycles():
+                for text in texts:
+                    chunks.update(vocab.chunks(text))
+                full = flush() if len(chunks) >= HELD else None
+            if full is not None:
+                yield full
     if chunks:
         yield flush()
 
@@ -304,59 +430,67 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
 
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_WORDS) -> bytes:
     """The compiled lexicon of the ``size`` most frequent words of the corpus."""
-    top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(size).collect()
-    vocab = vocabulary(path)
-    return compile_lexicon({r.word: vocab.merge(r.word) for r in top})
+    top = most_frequent(word_counts(docs, path), size)
+    return compile_lexicon(dict(zip(top, vocabulary(path).merge_all(top))))
 
 
 class Encoder:
-    """Encodes texts of a task by the transducer, merging what it doesn't hold."""
+    """Encodes texts of a task by the transducer, merging what it doesn't hold.
 
-    def __init__(self, data: bytes, path: str) -> None:
-        self.vocab, self.lexicon = vocabulary(path), _lexicon(data)
+    ``form`` makes of a chunk's ids what the caller needs; the chunks met last are remembered
+    in that form.
+    """
 
-    def encode_chunks(self, chunks: Iterable[str]) -> dict[str, list[int]]:
-        vocab, lex = self.vocab, self.lexicon
-        split = {c: vocab.words(c) for c in chunks if c not in vocab.special}
-        words = list({w for ws in split.values() for w in ws})
-        places = lex.find([w.encode("utf-8", "surrogatepass") for w in words])
-        starts, ends = lex.offsets[places], lex.offsets[places + 1]
-        ids = {}
-        for word, place, a, b in zip(words, places.tolist(), starts.tolist(), ends.tolist()):
-            ids[word] = lex.ids[a:b].tolist() if place >= 0 else vocab.merge(word)
-        out = {c: [i for w in ws for i in ids[w]] for c, ws in split.items()}
-        out.update({c: [vocab.special[c]] for c in chunks if c in vocab.special})
-        return out
+    def __init__(self, data: bytes, path: str, form=lambda ids: ids) -> None:
+        self.vocab, self.lexicon, self.form = vocabulary(path), _lexicon(data), form
+        self.known: dict = {}
 
-    def encode_all(self, texts: list[str]) -> Iterator[tuple[list[str], dict[str, list[int]]]]:
-        """For each run of texts: the chunks of each, and the ids of every chunk."""
+    def _learn(self, chunks: list[str]) -> None:
+        vocab, lex, form, known = self.vocab, self.lexicon, self.form, self.known
+        split = [(c, vocab.words(c)) for c in chunks if c not in vocab.special]
+        words = list({w for _, ws in split for w in ws})
+        places = lex.find([w.encode("utf-8", "surrogatepass") for w in words])
+        starts, ends = lex.offsets[places].tolist(), lex.offsets[places + 1].tolist()
+        held, place = lex.ids, places.tolist()
+        ids = {w: held[a:b].tolist() for w, p, a, b in zip(words, place, starts, ends) if p >= 0}
+        unseen = [w for w, p in zip(words, place) if p < 0]
+        ids.update(zip(unseen, vocab.merge_all(unseen)))
+        for c, ws in split:
+            known[c] = form(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]])
+        for c in chunks:
+            if c in vocab.special:
+                known[c] = form([vocab.special[c]])
+
+    def encode_all(self, texts: list[str]) -> Iterator[list]:
+        """For each text the forms of its chunks."""
         chunked = [self.vocab.chunks(t) for t in texts]
-        table_ = self.encode_chunks({c for cs in chunked for c in cs})
-        for cs in chunked:
-            yield cs, table_
+        wanted = set().union(*chunked)
+        if len(self.known) + len(wanted) > HELD:
+            self.known.clear()
+        self._learn([c for c in wanted if c not in self.known])
+        for chunks in chunked:
+            yield list(map(self.known.__getitem__, chunks))
 
     def encode(self, text: str) -> list[int]:
-        return [i for cs, ids in self.encode_all([text]) for c in cs for i in ids[c]]
+        return [i for ids in next(self.encode_all([text])) for i in ids]
 
 
 def _digests(batches: Iterator[pa.RecordBatch], data, path: str) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(data.value, path)
-    vocab = encoder.vocab
+    tokens = vocabulary(path).text
+    encoder = Encoder(data.value, path, lambda ids: (len(ids), " ".join(map(str, ids)), tokens(ids)))
     sha = hashlib.sha256
     for batch in batches:
         doc_ids = batch.column(0)
         for start, texts in _slices(batch.column(1)):
             n, of_ids, of_text = [], [], []
-            written: dict[str, tuple[int, str, str]] = {}
-            for chunks, ids in encoder.encode_all(texts):
-                if not written:
-                    written = {c: (len(i), " ".join(map(str, i)), vocab.text(i)) for c, i in ids.items()}
-                rows = [r for r in map(written.__getitem__, chunks) if r[0]]
-                n.append(sum([r[0] for r in rows]))
-                of_ids.append(sha(" ".join([r[1] for r in rows]).encode()).hexdigest())
-                of_text.append(sha(" ".join([r[2] for r in rows]).encode()).hexdigest())
+            with _no_cycles():
+                for forms in encoder.encode_all(texts):
+                    forms = [f for f in forms if f[0]]
+                    n.append(sum([f[0] for f in forms]))
+                    of_ids.append(sha(" ".join([f[1] for f in forms]).encode()).hexdigest())
+                    of_text.append(sha(" ".join([f[2] for f in forms]).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [doc_ids.slice(start, len(texts)), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)],
+                [doc_ids.slice(start, len(texts)), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
@@ -364,7 +498,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], data, path: str) -> Iterator[pa.
     encoder = Encoder(data.value, path)
     for batch in batches:
         for start, texts in _slices(batch.column(1)):
-            ids = [[i for c in cs for i in known[c]] for cs, known in encoder.encode_all(texts)]
+            with _no_cycles():
+                ids = [[i for known in forms for i in known] for forms in encoder.encode_all(texts)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
