@@ -6,7 +6,7 @@
     stream      --data-dir D --model-dir M --thresholds P --run-id R --log L --rejected R
                 --checkpoint C (--topic-dir T | --kafka SERVERS --topic NAME)
     check-log   --log L [--limit N]          exit status 1 when a check fails
-    drift       --data-dir D --log L [--reference-size N] [--limit N]
+    drift       --data-dir D --log L [--limit N]
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import decisions, drift, features, quality, splits
+from riskloom.operators import drift, features, quality, splits
 from riskloom.operators.model import BOOSTING_ROUNDS, TREES, CalibratedModel
 from riskloom.plans import training
 from riskloom.session import durable, prepare
@@ -71,8 +71,9 @@ def stream(spark: SparkSession, a: argparse.Namespace) -> None:
               file=sys.stderr)
     matrix = _matrix(spark, a.data_dir)
     inputs = training.inputs_of(matrix)
-    background = decisions.sample_rows(
-        matrix.where("split = 'train'"), training.BACKGROUND_ROWS)
+    # Only the means of the train split matter, so one row stands for it.
+    background = durable(matrix.where("split = 'train'").agg(
+        *[F.avg(c).alias(c) for c in inputs]))
     scorer = training.model_scorer(CalibratedModel.load(a.model_dir), inputs, background)
     messages = (tables.read_kafka_stream(spark, a.kafka, a.topic) if a.kafka
                 else tables.read_file_stream(spark, a.topic_dir))
@@ -93,10 +94,9 @@ def check_log(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def drift_report(spark: SparkSession, a: argparse.Namespace) -> None:
-    reference = decisions.sample_rows(
-        tables.read_entity(spark, a.data_dir, "features"), a.reference_size)
+    reference = tables.read_entity(spark, a.data_dir, "features")
     current = quality.newest_payloads(spark.read.parquet(a.log), a.limit)
-    report = drift.drift_report(reference, current, rows_bound=a.reference_size + a.limit)
+    report = drift.drift_report(reference, current)
     report.orderBy(F.desc("distance")).show(truncate=False)
     drift.drift_summary(report, current).show()
 
@@ -124,7 +124,7 @@ def parser() -> argparse.ArgumentParser:
     job("stream", "data-dir", "model-dir", "thresholds", "run-id", "log", "rejected",
         "checkpoint", topic_dir=None, kafka=None, topic="transactions")
     job("check-log", "log", limit=500)
-    job("drift", "data-dir", "log", reference_size=2000, limit=500)
+    job("drift", "data-dir", "log", limit=500)
     return top
 
 

@@ -19,7 +19,8 @@ TREES = 100
 SAMPLE_ROWS = 256
 SEED = 42
 
-_NODE = "tree int, node int, feature int, cut double, below int, above int, depth double"
+_NODE = ("tree int, node int, feature int, cut double, below int, above int, depth double,"
+         " sample int")
 
 
 def _mean_path(n: float) -> float:
@@ -70,29 +71,37 @@ def train(rows: DataFrame, inputs: list[str], key: str = "transaction_id", trees
             low, high = here.min(axis=0), here.max(axis=0)
             usable = np.flatnonzero(high > low)
             if depth >= limit or len(members) <= 1 or len(usable) == 0:
-                nodes.append((tree, node, -1, 0.0, -1, -1, depth + _mean_path(len(members))))
+                nodes.append((tree, node, -1, 0.0, -1, -1, depth + _mean_path(len(members)),
+                              len(data)))
                 continue
             feature = int(rng.choice(usable))
             cut = float(rng.uniform(low[feature], high[feature]))
             left = here[:, feature] <= cut
-            nodes.append((tree, node, feature, cut, count, count + 1, 0.0))
+            nodes.append((tree, node, feature, cut, count, count + 1, 0.0, len(data)))
             open_nodes += [(count, members[left], depth + 1), (count + 1, members[~left], depth + 1)]
             count += 2
-        return pd.DataFrame(nodes, columns=[c.split()[0] for c in _NODE.split(", ")])
+        return pd.DataFrame(nodes, columns=[c.split()[0] for c in _NODE.split(",")])
 
     return drawn.groupBy("tree").applyInPandas(grow, _NODE)
 
 
-def score(rows: DataFrame, forest: DataFrame, inputs: list[str], size: int = SAMPLE_ROWS,
+def score(rows: DataFrame, forest: DataFrame, inputs: list[str],
           output: str = "anomaly_score") -> DataFrame:
-    """Add the anomaly score 2^(-mean path length / expected path length)."""
+    """Add the anomaly score 2^(-mean path length / expected path length).
+
+    The expected length follows from the rows each tree really grew on. Trees of a single
+    row tell nothing apart, and neither does an empty forest: the score is then 0.5.
+    """
     table = forest.toPandas().sort_values(["tree", "node"])  # bounded, see train
     trees = [
         (g["feature"].to_numpy(), g["cut"].to_numpy(), g["below"].to_numpy(),
          g["above"].to_numpy(), g["depth"].to_numpy())
         for _, g in table.groupby("tree")
     ]
-    expected = _mean_path(size)
+    grown = table.groupby("tree")["sample"].first()
+    expected = float(grown.map(_mean_path).mean()) if len(grown) else 0.0
+    if expected == 0.0:
+        return rows.withColumn(output, F.lit(0.5))
 
     @F.pandas_udf("double")
     def strangeness(x: pd.Series) -> pd.Series:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskloom.functions.rules import decide, evaluate_rules
@@ -47,11 +48,13 @@ def page(decisions: DataFrame, limit: int = 50, before_id: int | None = None,
         rows = rows.where(F.col("id") < before_id)
     # One row more than the page tells whether another page follows.
     ahead = rows.orderBy(F.desc("id")).limit(limit + 1)
-    shown = ahead.orderBy(F.desc("id")).limit(limit)
-    facts = ahead.agg(F.count("*").alias("n"))
-    oldest = shown.agg(F.min("id").alias("id"))
-    return shown.withColumn(
-        "next_cursor", F.when(facts.scalar() > limit, oldest.scalar()))
+    newest_first = W.orderBy(F.desc("id"))  # over at most MAX_PAGE + 1 rows
+    everything = newest_first.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    placed = ahead.withColumns({
+        "__place": F.row_number().over(newest_first), "__found": F.count("*").over(everything)})
+    last = F.min(F.when(F.col("__place") <= limit, F.col("id"))).over(everything)
+    return placed.withColumn("next_cursor", F.when(F.col("__found") > limit, last)).where(
+        F.col("__place") <= limit).drop("__place", "__found")
 
 
 def offset_page(decisions: DataFrame, page_number: int, size: int = 10) -> DataFrame:

@@ -18,18 +18,18 @@ CATEGORICAL_THRESHOLD = 0.1
 
 
 def _long(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
-    def melt(df: DataFrame, is_ref: int) -> DataFrame:
+    """Rows of either side per column and distinct value, in one grouping."""
+    def melt(df: DataFrame, side: str) -> DataFrame:
         cells = F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
             for c in columns
         ])
-        return df.select(F.inline(cells).alias("column", "value")).where(
-            "value is not null").groupBy("column", "value").agg(F.count("*").alias("n")).select(
-            "column", "value", (F.col("n") * is_ref).alias("ref"),
-            (F.col("n") * (1 - is_ref)).alias("cur"))
+        return df.select(F.inline(cells).alias("column", "value"), F.lit(side).alias("side"))
 
-    both = melt(reference, 1).unionByName(melt(current, 0))
-    return both.groupBy("column", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    both = melt(reference, "ref").unionByName(melt(current, "cur"))
+    return both.where("value is not null").groupBy("column", "value").agg(
+        F.count_if(F.col("side") == "ref").alias("ref"),
+        F.count_if(F.col("side") == "cur").alias("cur"))
 
 
 def numeric_distances(reference: DataFrame, current: DataFrame,
@@ -37,7 +37,8 @@ def numeric_distances(reference: DataFrame, current: DataFrame,
                       **limits) -> DataFrame:
     """Per column: ``wasserstein`` (over the reference's standard deviation) and ``ks``.
 
-    A constant reference column is scaled by 1.
+    A constant reference column is scaled by 1. The deviation is taken around the mean, in
+    a pass of its own over the reference, so it holds far from zero as well.
     """
     steps = running_totals(
         _long(reference, current, columns), ["column"], ["value"], ["ref", "cur"],
@@ -47,23 +48,23 @@ def numeric_distances(reference: DataFrame, current: DataFrame,
     here = F.abs(F.try_divide(F.col("ref_before") + F.col("ref"), F.col("ref_total"))
                  - F.try_divide(F.col("cur_before") + F.col("cur"), F.col("cur_total")))
     width = F.coalesce(F.col("value") - F.col("previous_value"), F.lit(0.0))
-    sums = steps.groupBy("column").agg(
-        F.sum(gap * width).alias("area"), F.max(here).alias("ks"),
-        F.try_divide(F.sum(F.col("value") * F.col("ref")), F.sum("ref")).alias("mean"),
-        F.try_divide(F.sum(F.col("value") * F.col("value") * F.col("ref")), F.sum("ref"))
-        .alias("square"),
-    )
-    sd = F.sqrt(F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0)))
-    return sums.select(
-        "column", (F.col("area") / F.when(sd > 1e-9, sd).otherwise(1.0)).alias("wasserstein"), "ks")
+    sums = steps.groupBy("column").agg(F.sum(gap * width).alias("area"), F.max(here).alias("ks"))
+    deviations = reference.agg(*[F.stddev_pop(F.col(c).cast("double")).alias(c) for c in columns])
+    sd = F.coalesce(deviations.select(F.create_map(
+        *[x for c in columns for x in (F.lit(c), F.col(c))])).scalar()[F.col("column")], F.lit(0.0))
+    return sums.withColumn("sd", sd).select(
+        "column", (F.col("area") / F.when(F.col("sd") > 1e-9, F.col("sd")).otherwise(1.0))
+        .alias("wasserstein"), "ks")
 
 
 def categorical_distance(reference: DataFrame, current: DataFrame, column: str) -> DataFrame:
-    """Jensen-Shannon distance (natural logarithm) between the value shares of a column."""
-    counts = reference.groupBy(F.col(column).cast("string").alias("value")).agg(
-        F.count("*").alias("ref")).join(
-        current.groupBy(F.col(column).cast("string").alias("value")).agg(
-            F.count("*").alias("cur")), "value", "full_outer").fillna(0, ["ref", "cur"])
+    """Jensen-Shannon distance (natural logarithm) between the value shares of a column.
+    A missing value is a value of its own."""
+    value = F.col(column).cast("string").alias("value")
+    both = reference.select(value, F.lit(1).alias("ref")).unionByName(
+        current.select(value, F.lit(0).alias("ref")))
+    counts = both.groupBy("value").agg(
+        F.sum("ref").alias("ref"), F.count_if(F.col("ref") == 0).alias("cur"))
     totals = counts.agg(F.struct(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
     sized = counts.withColumn("n", totals.scalar())
     p, q = F.try_divide("ref", "n.ref"), F.try_divide("cur", "n.cur")

@@ -25,18 +25,24 @@ from riskloom.session import durable
 
 def expanding_values(values: np.ndarray, q: float, min_prior: int) -> np.ndarray:
     """Per value, the q-quantile of the values before it; NaN with fewer than ``min_prior``.
+    A missing value adds nothing to what comes after it.
 
     Two heaps meet at the quantile: ``low`` (negated) holds the smallest values up to its
     lower rank, ``high`` the rest. The rank moves by at most one per value.
     """
     out = np.full(len(values), np.nan)
     low, high = [], []
-    for i, v in enumerate(values):
+    i = -1  # values so far, less one
+    for row, v in enumerate(values):
+        i += 1
         if i >= max(min_prior, 1):
             place = q * (i - 1)
             share = place - int(place)
             floor = -low[0]
-            out[i] = floor + (high[0] - floor) * share if share > 0 else floor
+            out[row] = floor + (high[0] - floor) * share if share > 0 else floor
+        if v != v or v is None:
+            i -= 1
+            continue
         if low and v < -low[0]:
             heappush(low, -v)
         else:
@@ -49,12 +55,18 @@ def expanding_values(values: np.ndarray, q: float, min_prior: int) -> np.ndarray
     return out
 
 
-def row_positions(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Add ``pos``: 0-based place of the row within its key. Splits keys of any size."""
-    numbered = running_totals(rows.withColumn("__one", F.lit(1)), keys, order, ["__one"],
-                              one_task_rows=0)
+def row_positions(rows: DataFrame, keys: list[str], order: list[str],
+                  value: str | None = None) -> DataFrame:
+    """Add ``pos``: 0-based place of the row within its key, and with ``value`` also
+    ``pos_<value>``: its place among the rows that have one. Splits keys of any size."""
+    counts = {"pos": F.lit(1)}
+    if value:
+        counts[f"pos_{value}"] = F.col(value).isNotNull().cast("int")
+    marked = rows.withColumns({f"__{n}": c for n, c in counts.items()})
+    numbered = running_totals(marked, keys, order, [f"__{n}" for n in counts], one_task_rows=0)
     # Read several times below, so keep one written copy.
-    return durable(numbered.withColumnRenamed("__one_before", "pos").drop("__one"))
+    return durable(numbered.select(
+        *rows.columns, *[F.col(f"__{n}_before").alias(n) for n in counts]))
 
 
 def expanding_quantile(positioned: DataFrame, key: str, row_id: str, value: str, q: float,

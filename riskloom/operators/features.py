@@ -109,13 +109,16 @@ def _windowed(wanted: list[str]) -> list[Column]:
     """The wanted columns as windows over one customer's timeline.
 
     They share one partitioning and one sort order. The growing sets hold a
-    customer's countries and devices, which are few against its rows.
+    customer's countries and devices, which are few against its rows. In every plan a
+    missing amount adds nothing to the history, a missing country is not a new one, and a
+    missing device does not count.
     """
     timeline = W.partitionBy("customer_id")
     before = timeline.orderBy(*_TIME_ORDER).rowsBetween(W.unboundedPreceding, -1)
     p95 = F.when(F.count("amount").over(before) >= MIN_AMOUNT_HISTORY,
                  F.percentile("amount", AMOUNT_QUANTILE).over(before))
-    seen_here = F.array_contains(F.collect_set("country").over(before), F.col("country"))
+    seen_here = F.coalesce(
+        F.array_contains(F.collect_set("country").over(before), F.col("country")), F.lit(False))
 
     def trailing(width: int) -> Column:
         # [t - width, t): the left edge counts, the transaction's own instant does not.
@@ -123,7 +126,8 @@ def _windowed(wanted: list[str]) -> list[Column]:
 
     columns = {
         "amount_vs_customer_p95": lambda: _amount_ratio(p95),
-        "is_new_country_for_customer": lambda: (~seen_here).cast("int"),
+        "is_new_country_for_customer": lambda: (
+            F.col("country").isNotNull() & ~seen_here).cast("int"),
         "customer_device_count_so_far": lambda: F.size(
             F.collect_set("device_id").over(before)).cast("bigint"),
         "txn_count_1h": lambda: trailing(HOUR_US),
@@ -165,7 +169,7 @@ def _heavy_trailing_counts(rows: DataFrame, limits: Limits) -> DataFrame:
 
 def _heavy_first_uses(positioned: DataFrame, column: str) -> DataFrame:
     """Rows with ``first``: 1 on the customer's first row with this value of ``column``."""
-    firsts = positioned.groupBy("customer_id", column).agg(F.min("pos").alias("pos")).select(
+    firsts = positioned.where(F.col(column).isNotNull()).groupBy("customer_id", column).agg(F.min("pos").alias("pos")).select(
         "customer_id", "pos", F.lit(1).alias("first"))
     return positioned.select("transaction_id", "customer_id", "pos").join(
         firsts, ["customer_id", "pos"], "left").fillna(0, ["first"])
@@ -187,9 +191,10 @@ def _grouped(rows: DataFrame, wanted: list[str]) -> DataFrame:
             group["amount_vs_customer_p95"] = (
                 group["amount"] / (p95 + AMOUNT_EPSILON)).fillna(DEFAULT_AMOUNT_RATIO)
         if "is_new_country_for_customer" in wanted:
-            group["is_new_country_for_customer"] = (~group["country"].duplicated()).astype("int32")
+            first = ~group["country"].duplicated() & group["country"].notna()
+            group["is_new_country_for_customer"] = first.astype("int32")
         if "customer_device_count_so_far" in wanted:
-            first = (~group["device_id"].duplicated()).astype("int64")
+            first = (~group["device_id"].duplicated() & group["device_id"].notna()).astype("int64")
             group["customer_device_count_so_far"] = first.cumsum() - first
         return group[columns + wanted]
 
@@ -228,7 +233,8 @@ def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
         parts.append(_heavy_trailing_counts(large, limits))
     ordered = set(wanted) - {"txn_count_1h", "txn_count_24h"}
     if ordered:
-        positioned = row_positions(large, ["customer_id"], _TIME_ORDER)
+        value = "amount" if "amount_vs_customer_p95" in ordered else None
+        positioned = row_positions(large, ["customer_id"], _TIME_ORDER, value)
     if "is_new_country_for_customer" in ordered:
         parts.append(_heavy_first_uses(positioned, "country").select(
             "transaction_id", F.col("first").alias("is_new_country_for_customer")))
@@ -239,13 +245,17 @@ def _customer_history(rows: DataFrame, wanted: list[str], limits: Limits,
         ).select("transaction_id",
                  F.col("first_before").cast("bigint").alias("customer_device_count_so_far")))
     if "amount_vs_customer_p95" in ordered:
+        amounts = positioned.where("amount is not null").drop("pos").withColumnRenamed(
+            "pos_amount", "pos")
         p95 = expanding_quantile(
-            positioned, "customer_id", "transaction_id", "amount", AMOUNT_QUANTILE,
+            amounts, "customer_id", "transaction_id", "amount", AMOUNT_QUANTILE,
             MIN_AMOUNT_HISTORY, block_rows=limits.quantile_block_rows)
         parts.append(p95.select(
             "transaction_id", _amount_ratio(F.col("quantile")).alias("amount_vs_customer_p95")))
     for part in parts:
-        large = large.join(part, "transaction_id")
+        large = large.join(part, "transaction_id", "left")
+    if "amount_vs_customer_p95" in ordered:
+        large = large.fillna(DEFAULT_AMOUNT_RATIO, ["amount_vs_customer_p95"])
     return _ordinary_history(ordinary, wanted, limits, largest).unionByName(
         large.select(*rows.columns, *wanted)
     )

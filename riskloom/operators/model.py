@@ -68,7 +68,7 @@ def train_baseline(train: DataFrame, inputs: list[str]) -> PipelineModel:
 
 
 def train_random_forest(train: DataFrame, inputs: list[str], trees: int = TREES,
-                        max_depth: int = 12) -> PipelineModel:
+                        max_depth: int = 30) -> PipelineModel:
     return _fit(_weighted(train, balanced=True), inputs, RandomForestClassifier(
         **_common(), numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt",
         seed=SEED, cacheNodeIds=True, checkpointInterval=20))

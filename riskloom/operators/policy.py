@@ -86,7 +86,7 @@ def score_histogram(scored: DataFrame, step: float = 0.01) -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("fraud_label") == 1, money("amount"))), F.lit(0))
         .alias("fraud_amount"),
     )
-    return durable(counted.coalesce(1))
+    return durable(counted)
 
 
 def best_thresholds(scored: DataFrame, step: float = 0.01,
@@ -137,15 +137,14 @@ def _search(cells: DataFrame, step: float, review_cost: str,
         _up_to("n").alias("below"),
         _above("legit").alias("legit_above"),
     ).where(F.col("i") < n)
-    low = dense.where(F.col("i") < n - 1).select(
-        "i", "missed", F.col("below").alias("below_i"),
-        F.explode(F.sequence(F.col("i") + 1, F.lit(n - 1))).alias("j"))
-    high = dense.select(F.col("i").alias("j"), F.col("below").alias("below_j"), "legit_above")
-    cost = (
-        F.col("missed") + (F.col("below_j") - F.col("below_i")) * _cost(review_cost)
-        + F.col("legit_above") * _cost(false_positive_cost)
-    )
-    return low.join(high, "j").select("i", "j", cost.alias("cost")).orderBy(
+    # The cost falls apart into a part of t_review and a part of t_block, so the best
+    # t_review below each t_block is a running minimum; ties go to the smaller one.
+    review = F.struct((F.col("missed") - F.col("below") * _cost(review_cost)).alias("part"), "i")
+    earlier = W.orderBy("i").rowsBetween(W.unboundedPreceding, -1)
+    pairs = dense.withColumn("low", F.min(review).over(earlier)).where("low is not null")
+    cost = (F.col("low.part") + F.col("below") * _cost(review_cost)
+            + F.col("legit_above") * _cost(false_positive_cost))
+    return pairs.select(F.col("low.i").alias("i"), F.col("i").alias("j"), cost.alias("cost")).orderBy(
         "cost", "i", "j").limit(1)
 
 

@@ -20,8 +20,10 @@ class Expectation:
     failed: Column
 
 
-def _not_null(c: str) -> Expectation:
-    return Expectation(c, "not_nullable", F.col(c).isNull())
+def _not_null(c: str, double: bool = False) -> Expectation:
+    """In a column of doubles NaN is missing too."""
+    missing = F.col(c).isNull()
+    return Expectation(c, "not_nullable", missing | F.isnan(c) if double else missing)
 
 
 def _isin(c: str, values: list) -> Expectation:
@@ -41,7 +43,7 @@ def _at_least(c: str, low) -> Expectation:
 
 
 def _between(c: str, low, high) -> Expectation:
-    return Expectation(c, f"in_range({low}, {high})", ~F.col(c).between(low, high))
+    return Expectation(c, f"in_range({low}, {high})", ~F.col(c).between(low, high) & (F.col(c).cast("string") != "NaN"))
 
 
 UNIQUE_KEYS = {
@@ -55,7 +57,8 @@ NULLABLE = {"ground_truth": {"confirmed_fraud_at"}}
 def expectations(entity: str) -> list[Expectation]:
     """The declared checks of an entity, null checks first. Needs a running session."""
     nullable = NULLABLE.get(entity, set())
-    present = [_not_null(c) for c in S.ENTITIES[entity].fieldNames() if c not in nullable]
+    present = [_not_null(f.name, isinstance(f.dataType, T.DoubleType))
+               for f in S.ENTITIES[entity] if f.name not in nullable]
     values = {
         "customers": lambda: [
             _prefix("customer_id", "CUST"), _isin("customer_segment", S.CUSTOMER_SEGMENTS),

@@ -1,4 +1,4 @@
-"""Latent risk scoring: z-scores, a weighted logistic score, prior shift, fingerprints."""
+"""Scores from weighted columns: z-scores, weighted sums, prior shift; table fingerprints."""
 
 from __future__ import annotations
 
@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from riskloom.functions.scalar import sigmoid
 from riskloom.session import durable
 
-# Weights of the latent risk model.
-FLAG_WEIGHTS = {"new_device": 1.1, "new_country": 1.3, "ip_mismatch": 0.9, "night": 0.5}
-SCALED_WEIGHTS = {"amount_ratio": 0.8, "velocity_1h": 0.7, "merchant_risk": 1.0,
-                  "account_age": -0.6}
 MIN_DEVIATION = 1e-9
 
 
@@ -34,13 +30,12 @@ def with_zscores(df: DataFrame, columns: list[str]) -> DataFrame:
     return scaled.select(*df.columns, *[z(c).alias(f"z_{c}") for c in columns])
 
 
-def latent_risk(components: DataFrame) -> DataFrame:
-    """Add ``z``, the weighted sum of flags and z-scores. Needs the weight tables' columns,
-    with ``account_age`` already on a log scale."""
-    scaled = with_zscores(components, list(SCALED_WEIGHTS))
-    terms = [F.col(c) * w for c, w in FLAG_WEIGHTS.items()]
-    terms += [F.col(f"z_{c}") * w for c, w in SCALED_WEIGHTS.items()]
-    return scaled.withColumn("z", sum(terms[1:], terms[0]))
+def weighted_score(rows: DataFrame, weights: dict[str, float], scaled: list[str],
+                   output: str = "z") -> DataFrame:
+    """Add the weighted sum of columns, those in ``scaled`` as z-scores over all rows."""
+    ready = with_zscores(rows, scaled)
+    terms = [F.col(f"z_{c}" if c in scaled else c) * w for c, w in weights.items()]
+    return ready.withColumn(output, sum(terms[1:], terms[0]))
 
 
 def prior_shift(scores: DataFrame, target_rate: float, z: str = "z", low: float = -15.0,

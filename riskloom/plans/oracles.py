@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from riskloom.plans.queries import SCALED
 from riskloom.plans.workspace import COEFFICIENTS, INTERCEPT, MODEL_RUN_ID, T_BLOCK, T_REVIEW
+from riskloom.schemas import COUNTRIES
 
+_LANDS = "[" + ", ".join(f"'{c}'" for c in COUNTRIES) + "]"
 _ROUNDED = """* replace (round(amount_vs_customer_p95, 6) as amount_vs_customer_p95,
   round(device_age_days, 6) as device_age_days,
   round(merchant_fraud_rate_hist, 6) as merchant_fraud_rate_hist)"""
@@ -11,22 +14,22 @@ _ROUNDED = """* replace (round(amount_vs_customer_p95, 6) as amount_vs_customer_
 # Named building blocks, each a CTE; a query lists the ones it needs through {{name}}.
 _BASE = {
     "b": """select event_id, user_id, cast(json_extract_string(props, '$.k') as int) as k, ts, value,
-      event_type, c_nationkey % 7 as h from events join customer on c_custkey = user_id""",
+      event_type, c_nationkey % 7 as h from events left join customer on c_custkey = user_id""",
     "x": """select *, cast(case when event_id % 33 = 0 then (h + 1 + (event_id // 33) % 6) % 7
       else h end as int) as ci,
       case when event_type = 'error' and (k >= 90 or event_id % 10 = 0) then 1 else 0 end as lab
       from b""",
-    "t": """select event_id, concat('TXN', lpad(cast(event_id as varchar), 10, '0')) as transaction_id,
+    "t": f"""select event_id, concat('TXN', lpad(cast(event_id as varchar), 10, '0')) as transaction_id,
       concat('CUST', lpad(cast(user_id as varchar), 7, '0')) as customer_id,
       concat('MERC', lpad(cast(k as varchar), 6, '0')) as merchant_id,
       concat('DEV', lpad(cast(user_id * 3 + k % 3 as varchar), 7, '0')) as device_id,
       ts as timestamp, value as amount,
       case when event_id % 10 < 7 then 'card' when event_id % 10 < 9 then 'wallet'
         else 'bank_transfer' end as payment_method,
-      substr('AUCADEGBINSGUS', ci * 2 + 1, 2) as country,
-      substr('AUCADEGBINSGUS', (case when event_id % 47 = 0 then (ci + 1) % 7 else ci end) * 2 + 1, 2)
+      {_LANDS}[ci + 1] as country,
+      {_LANDS}[(case when event_id % 47 = 0 then (ci + 1) % 7 else ci end) + 1]
         as ip_country,
-      substr('AUCADEGBINSGUS', cast(h as int) * 2 + 1, 2) as home_country,
+      {_LANDS}[cast(h as int) + 1] as home_country,
       lab as fraud_label,
       case when lab = 1 then ts + to_days(cast(event_id % 15 as int)) end as confirmed_fraud_at,
       k / 200.0::double + case when event_type = 'error' then 0.3::double else 0.0::double end
@@ -101,8 +104,7 @@ _BASE = {
       case when payment_method = 'card' then 1 else 0 end as payment_method_card,
       case when payment_method = 'wallet' then 1 else 0 end as payment_method_wallet
       from f join (select transaction_id, split from sp) using (transaction_id)""",
-    "bg": """select * from mx where split = 'train'
-      order by md5(concat_ws(':', transaction_id, '42')) limit 100""",
+    "bg": "select * from mx where split = 'train'",
     "rl": """select f.*, model_score, event_id, fraud_label,
       is_new_device = 1 and is_new_country_for_customer = 1 and ip_country_mismatch = 1 as r1,
       txn_count_1h >= 5 as r2, merchant_fraud_rate_hist > 0.15 as r3,
@@ -231,6 +233,37 @@ ORACLES["ties_merchant"] = f"""with {_ORDERS},
   select transaction_id, round(least(greatest((case when den >= 20 then num else gnum end - own)
     / greatest(case when den >= 20 then den else gden end, 1), 0), 1), 6) as merchant_fraud_rate_hist
   from c where is_txn = 1"""
+# Rows with missing values: the same answer from every plan.
+_BASE["th"] = """select * replace (case when event_id % 13 <> 0 then amount end as amount,
+    case when event_id % 17 <> 0 then country end as country,
+    case when event_id % 19 <> 0 then device_id end as device_id) from t"""
+_NEEDS["th"] = ["t"]
+_HOLES = {
+    "behavioral": """select transaction_id, round(coalesce(case when n >= 5 then amount / (p + 1e-6) end, 1.0), 6)
+        as amount_vs_customer_p95
+      from (select transaction_id, amount, quantile_cont(amount, 0.95) over w as p, count(amount) over w as n
+        from th window w as (partition by customer_id order by timestamp, transaction_id
+          rows between unbounded preceding and 1 preceding))""",
+    "geo": """select transaction_id, case when country is not null and row_number() over (
+          partition by customer_id, country order by timestamp, transaction_id) = 1 then 1 else 0 end
+        as is_new_country_for_customer,
+      case when country = ip_country then 0 else 1 end as ip_country_mismatch from th""",
+    "velocity": _BASE["f_vel"].replace("from t", "from th"),
+    "device": """select transaction_id, is_new_device, round(device_age_days, 6) as device_age_days,
+      cast(coalesce(sum(first_use) over (partition by customer_id order by timestamp, transaction_id
+        rows between unbounded preceding and 1 preceding), 0) as bigint) as customer_device_count_so_far
+      from (select th.transaction_id, th.customer_id, th.timestamp,
+        case when th.device_id is not null and row_number() over (partition by th.device_id
+          order by th.timestamp, th.transaction_id) = 1 then 1 else 0 end as is_new_device,
+        case when th.device_id is not null and row_number() over (partition by th.customer_id, th.device_id
+          order by th.timestamp, th.transaction_id) = 1 then 1 else 0 end as first_use,
+        case when first_seen_at is not null then greatest((epoch_us(th.timestamp) - epoch_us(first_seen_at))
+          / 86400e6, 0) end as device_age_days from th left join dv on th.device_id = dv.device_id)""",
+}
+for _family, _sql in _HOLES.items():
+    for _plan in ("windows", "groups", "split"):
+        _oracle(f"holes_{_family}_{_plan}", ["th", "dv"], _sql)
+ORACLES["feat_merchant_split"] = ORACLES["feat_merchant"]
 _MODEL_COLUMNS = ", ".join(COEFFICIENTS)
 _oracle("model_matrix", ["mxr"], f"select transaction_id, {_MODEL_COLUMNS} from mxr")
 _oracle("training_rows", ["fr", "t"],
@@ -261,7 +294,7 @@ def _in(values: list) -> tuple[str, str]:
 
 _FLAG = _in([0, 1])
 _PAY = _in(["bank_transfer", "card", "wallet"])
-_LAND = _in(["AU", "CA", "DE", "GB", "IN", "SG", "US"])
+_LAND = _in(COUNTRIES)
 _feature_checks = [(c, "not_nullable", f"{c} is null") for c in _FEATURE_NAMES] + [
     ("transaction_id", "str_startswith('TXN')", "not starts_with(transaction_id, 'TXN')"),
     ("amount", "greater_than(0)", "amount <= 0"),
@@ -296,10 +329,10 @@ def _missing(entity: str, column: str) -> str:
     return f"select '{entity}', '{column}', 'column_in_dataframe', 1::bigint"
 
 
-_oracle("dq_entity_report", ["t", "dv"], """select * from (
+_oracle("dq_entity_report", ["t", "dv"], f"""select * from (
 with cu as (select concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) as customer_id,
     lower(c_mktsegment) as customer_segment,
-    substr('AUCADEGBINSGUS', cast(c_nationkey % 7 as int) * 2 + 1, 2) as home_country from customer),
+    {_LANDS}[cast(c_nationkey % 7 as int) + 1] as home_country from customer),
   me as (select distinct merchant_id, merchant_category from t)
 """ + "\nunion all ".join([
     _failures("cu", c, "not_nullable", f"{c} is null", "customers")
@@ -445,6 +478,7 @@ _STEPS = """select s, pos, n, sum(pos) over (order by s desc) as tp, sum(n) over
   as seen from (select model_score as s, sum(fraud_label) as pos, count(*) as n from t group by 1)"""
 _oracle("metric_average_precision", ["t"],
         f"select round(sum(pos * tp / seen) / sum(pos), 6) as average_precision from ({_STEPS})")
+ORACLES["metric_average_precision_blocks"] = ORACLES["metric_average_precision"]
 _oracle("metric_roc_auc", ["t"], f"""select round(sum((n - pos) * (tp - pos + pos / 2))
   / (sum(pos) * sum(n - pos)), 6) as roc_auc from ({_STEPS})""")
 _oracle("metric_prf_at_thresholds", ["t"], """select threshold,
@@ -612,10 +646,18 @@ ORACLES["drift_wasserstein"] = _after(["mxr"], _SIDES + _distances("ref", "cur")
     '\nselect col as "column", round(wasserstein, 6) as wasserstein from dist')
 ORACLES["drift_ks"] = _after(["mxr"], _SIDES + _distances("ref", "cur"),
     '\nselect col as "column", round(ks, 6) as ks from dist')
+ORACLES["drift_ks_blocks"] = ORACLES["drift_ks"]
+ORACLES["drift_far_values"] = """with a as (select o_orderkey % 2 as odd from orders),
+  s as (select avg(odd) as p, stddev_pop(odd) as sd from a)
+select 'amount' as "column", round(1 / sd, 6) as wasserstein, round(greatest(1 - p, p), 6) as ks from s"""
+_METHODS = """(select case when cast(substr(transaction_id, 4, 10) as bigint) % {n} <> 0 then payment_method end
+    as payment_method from t)"""
+_oracle("drift_missing_categories", ["t"], """select 'payment_method' as "column", round(js, 6) as js from (
+  """ + _js(_METHODS.format(n=2), _METHODS.format(n=3)) + """)
+union all select 'itself', 0.0::double""")
 ORACLES["drift_js"] = _after(["mxr"], _SIDES.rstrip().rstrip(","),
     f"\nselect 'payment_method' as \"column\", round(js, 6) as js from ({_js('ref', 'cur')})")
-ORACLES["drift_summary"] = _after(["dc", "fr"], """, ref as (select * from fr
-    order by md5(concat_ws(':', transaction_id, '42')) limit 2000),
+ORACLES["drift_summary"] = _after(["dc", "fr"], """, ref as (select * from fr),
   cur as (select * replace (round(amount_vs_customer_p95, 6) as amount_vs_customer_p95) from dc
     order by id desc limit 500),
 """ + _distances("ref", "cur"), f"""
@@ -634,14 +676,10 @@ def _z(c: str) -> str:
 
 _oracle("zscore", ["f"], f"""select transaction_id, round({_z('amount')}, 6) as z_amount,
   round({_z('device_age_days')}, 6) as z_device_age_days from f""")
-_RISK = f"""select transaction_id, is_new_device * 1.1::double
-  + is_new_country_for_customer * 1.3::double
-  + ip_country_mismatch * 0.9::double + is_night * 0.5::double
-  + {_z('amount_vs_customer_p95')} * 0.8::double + {_z('txn_count_1h')} * 0.7::double
-  + {_z('merchant_fraud_rate_hist')} * 1.0::double - {_z('ln(1 + device_age_days)')} * 0.6::double
-  as z from f"""
-_oracle("latent_risk_score", ["f"], f"select transaction_id, round(z, 6) as z from ({_RISK})")
-ORACLES["prior_shift"] = _after(["f"], f""", zs as materialized ({_RISK}),
+_RISK = "select transaction_id, " + " + ".join(
+    f"({_z(c) if c in SCALED else c}) * {w}::double" for c, w in COEFFICIENTS.items()) + " as z from mx"
+_oracle("latent_risk_score", ["mx"], f"select transaction_id, round(z, 6) as z from ({_RISK})")
+ORACLES["prior_shift"] = _after(["mx"], f""", zs as materialized ({_RISK}),
   solve as (select 1 as i, -15.0::double as lo, 5.0::double as hi),
 """ + ",\n".join(
     f"s{i} as materialized (select case when p < 0.015 then mid else lo end as lo,"
@@ -657,6 +695,8 @@ _oracle("exact_quantiles", ["f"], """select payment_method, p as probability,
     else quantile_cont(amount, 0.95) end, 6) as quantile
   from f, (values (0.05::double), (0.5::double), (0.95::double)) v(p) group by payment_method, p""")
 
+ORACLES["exact_quantiles_blocks"] = ORACLES["exact_quantiles"]
+
 # ---------------------------------------------------------------- models, sinks and streams
 
 _LINEAR = " + ".join([f"cast({INTERCEPT} as double)"] + [
@@ -700,3 +740,25 @@ _oracle("stream_batch_counts", ["t"], """select count(*) filter (where event_id
 _oracle("decision_times", ["t"], """select event_id as id, case when epoch_us(timestamp) % 1000000 = 0
     then strftime(timestamp, '%Y-%m-%dT%H:%M:%S') else strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f')
     end || '+00:00' as created_at from t""")
+
+# Trained models: facts that follow from what training does, whatever the fitted numbers.
+_oracle("trained_candidates", ["sp"], """select name, count(*) as "rows", sum(fraud_label)::bigint as positives,
+  count(*) as in_range, 1 as better_than_chance
+  from sp, (values ('baseline'), ('random_forest'), ('xgboost'), ('lightgbm')) v(name)
+  where split = 'test' group by name""")
+ORACLES["trained_choice"] = """select 4::bigint as candidates, 1::bigint as deployed_is_best,
+  1::bigint as boosted_is_best"""
+_oracle("calibrated_mean", ["sp"], """select count(*) as "rows", round(avg(fraud_label), 4) as mean_score
+  from sp where split = 'val'""")
+_oracle("baseline_residual", ["sp"], """select round(count(*) / 2.0::double, 1) as weighted_positives,
+  round(count(*) / 2.0::double, 1) as weighted_scores from sp where split = 'train'""")
+ORACLES["stored_model_again"] = "select 1::bigint as figures, 2::bigint as better_than_chance"
+_oracle("anomaly_mean", ["sp"], """select count(*) as "rows", count(*) as inside, 0::bigint as missing
+  from sp where split = 'test'""")
+_oracle("json_array_source", ["f"], """select transaction_id, txn_count_24h,
+  case when cast(substr(transaction_id, 4, 10) as bigint) % 97 <> 0 then amount end as amount
+  from f where txn_count_24h >= 3""")
+_BASE["sdt"] = "select sd.*, timestamp from sd join (select transaction_id, timestamp from t) using (transaction_id)"
+_NEEDS["sdt"] = ["sd"]
+_oracle("stream_minute_counts", ["sdt"], """select strftime(timestamp, '%Y-%m-%dT%H:%M') as minute, decision,
+  count(*) as "count" from sdt group by all""")

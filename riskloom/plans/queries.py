@@ -20,12 +20,13 @@ from riskloom.operators import (
     quality, registry, risk, splits,
 )
 from riskloom.plans import training
-from riskloom.plans.workspace import T_BLOCK, T_REVIEW, Workspace, workspace
+from riskloom.plans.workspace import COEFFICIENTS, T_BLOCK, T_REVIEW, Workspace, workspace
 from riskloom.session import durable, new_shared_path
 from riskloom.sources import sinks, tables
 from riskloom.streaming import scoring
 
 AS_OF = "2024-01-30 12:00:00"
+SCALED = ["amount", "amount_vs_customer_p95", "device_age_days", "merchant_fraud_rate_hist"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -114,6 +115,42 @@ def ties_merchant(w):
     return features.merchant_features(rows, truth)
 
 
+# The same families over rows with missing values, and through the plans for long customers,
+# heavy keys and large groups, which small data would not reach.
+GROUPS = features.Limits(window_rows=2)
+SPLIT = features.Limits(window_rows=2, customer_rows=8, device_rows=8, merchant_rows=8,
+                        quantile_block_rows=16, one_task_rows=0)
+
+
+def _with_holes(w) -> DataFrame:
+    """Transactions that lack some amounts, countries and devices."""
+    number = F.substring("transaction_id", 4, 10).cast("bigint")
+    return w.transactions().withColumns({
+        "amount": F.when(number % 13 != 0, F.col("amount")),
+        "country": F.when(number % 17 != 0, F.col("country")),
+        "device_id": F.when(number % 19 != 0, F.col("device_id"))})
+
+
+def _plans(name: str, build) -> None:
+    for plan, limits in (("windows", features.DEFAULT_LIMITS), ("groups", GROUPS), ("split", SPLIT)):
+        def run(w, limits=limits):
+            return build(w, limits)
+        run.__name__ = f"{name}_{plan}"
+        query(run)
+
+
+_plans("holes_behavioral", lambda w, limits: features.behavioral_features(_with_holes(w), limits))
+_plans("holes_geo", lambda w, limits: features.geo_features(_with_holes(w), limits))
+_plans("holes_velocity", lambda w, limits: features.velocity_features(_with_holes(w), limits))
+_plans("holes_device",
+       lambda w, limits: features.device_features(_with_holes(w), w.devices(), limits))
+
+
+@query
+def feat_merchant_split(w):
+    return features.merchant_features(w.transactions(), w.ground_truth(), limits=SPLIT)
+
+
 @query
 def model_matrix(w):
     return splits.model_matrix(w.features, keep=["transaction_id"])
@@ -308,6 +345,11 @@ def metric_average_precision(w):
     return metrics.average_precision(w.labelled_scores(), rows_bound=w.event_count)
 
 
+@query
+def metric_average_precision_blocks(w):
+    return metrics.average_precision(w.labelled_scores(), one_task_rows=0)
+
+
 @query
 def metric_roc_auc(w):
     return metrics.roc_auc(w.labelled_scores(), rows_bound=w.event_count)
@@ -529,6 +571,30 @@ def drift_ks(w):
     return drift.numeric_distances(a, b, rows_bound=w.event_count).select("column", "ks")
 
 
+@query
+def drift_ks_blocks(w):
+    a, b = _drift_sides(w)
+    return drift.numeric_distances(a, b, one_task_rows=0).select("column", "ks")
+
+
+@query
+def drift_far_values(w):
+    """Values far from zero, one side moved by one."""
+    a = w.raw("orders").select((F.col("o_orderkey") % 2 + 1e9).alias("amount"))
+    b = a.select((F.col("amount") + 1).alias("amount"))
+    return drift.numeric_distances(a, b, ["amount"]).select("column", "wasserstein", "ks")
+
+
+@query
+def drift_missing_categories(w):
+    """Payment methods of which a share is missing, on one side more than on the other."""
+    number = F.substring("transaction_id", 4, 10).cast("bigint")
+    a, b = (w.features.select(F.when(number % n != 0, F.col("payment_method")).alias("payment_method"))
+            for n in (2, 3))
+    return drift.categorical_distance(a, b, "payment_method").unionByName(
+        drift.categorical_distance(a, a, "payment_method").withColumn("column", F.lit("itself")))
+
+
 @query
 def drift_js(w):
     a, b = _drift_sides(w)
@@ -537,8 +603,8 @@ def drift_js(w):
 
 @query
 def drift_summary(w):
-    """A reference sample of 2,000 rows against the newest 500 scored rows."""
-    reference = rounded(decisions.sample_rows(w.features, 2000))
+    """All feature rows against the newest 500 scored rows."""
+    reference = rounded(w.features)
     current = rounded(quality.newest_payloads(w.decisions, 500))
     report = drift.drift_report(reference, current, rows_bound=w.event_count)
     return drift.drift_summary(report, current)
@@ -550,17 +616,6 @@ def table_fingerprint(w):
                                                "device_id", "payment_method", "country"])
 
 
-def _components(w) -> DataFrame:
-    return w.features.select(
-        "transaction_id", F.col("is_new_device").alias("new_device"),
-        F.col("is_new_country_for_customer").alias("new_country"),
-        F.col("ip_country_mismatch").alias("ip_mismatch"), F.col("is_night").alias("night"),
-        F.col("amount_vs_customer_p95").alias("amount_ratio"),
-        F.col("txn_count_1h").cast("double").alias("velocity_1h"),
-        F.col("merchant_fraud_rate_hist").alias("merchant_risk"),
-        F.log1p("device_age_days").alias("account_age"))
-
-
 @query
 def zscore(w):
     scaled = risk.with_zscores(w.features.select("transaction_id", "amount", "device_age_days"),
@@ -568,14 +623,20 @@ def zscore(w):
     return scaled.select("transaction_id", "z_amount", "z_device_age_days")
 
 
+def _weighted(w) -> DataFrame:
+    """The demonstration model's weights over features on one scale."""
+    return risk.weighted_score(w.matrix(), COEFFICIENTS, SCALED)
+
+
 @query
 def latent_risk_score(w):
-    return risk.latent_risk(_components(w)).select("transaction_id", "z")
+    return _weighted(w).select("transaction_id", "z")
 
 
 @query
 def prior_shift(w):
-    return risk.prior_shift(risk.latent_risk(_components(w)), target_rate=0.015)
+    """The intercept that brings those scores to a share of 1.5 %."""
+    return risk.prior_shift(_weighted(w), target_rate=0.015)
 
 
 @query
@@ -586,6 +647,13 @@ def exact_quantiles(w):
         [0.05, 0.5, 0.95], rows_bound=w.event_count)
 
 
+@query
+def exact_quantiles_blocks(w):
+    return ordered.exact_quantiles(
+        w.features.select("payment_method", "amount"), ["payment_method"], "amount",
+        [0.05, 0.5, 0.95], one_task_rows=0)
+
+
 # ---------------------------------------------------------------- models
 
 @query
@@ -627,23 +695,124 @@ def baseline_policy(w):
                            F.size("cost_curve").alias("points"))
 
 
+def _test_scores(w, name: str) -> DataFrame:
+    run = w.full_run
+    return model.with_probability(run.classifier(name), run.part("test")).select(
+        "transaction_id", "model_score")
+
+
 @query
 def random_forest_scores(w):
-    rows = durable(w.matrix())
-    inputs = training.inputs_of(rows)
-    forest = model.train_random_forest(rows.where("split = 'train'"), inputs)
-    return model.with_probability(forest, rows.where("split = 'test'")).select(
-        "transaction_id", "model_score")
+    return _test_scores(w, "random_forest")
 
 
 @query
 def boosted_scores(w):
-    """Boosted trees with 20 rounds; the training run itself uses 200."""
-    rows = durable(w.matrix())
-    inputs = training.inputs_of(rows)
-    boosted = model.train_boosted(rows.where("split = 'train'"), inputs, rounds=20)
-    return model.with_probability(boosted, rows.where("split = 'test'")).select(
-        "transaction_id", "model_score")
+    return _test_scores(w, "xgboost")
+
+
+@query
+def boosted_second_scores(w):
+    return _test_scores(w, "lightgbm")
+
+
+@query
+def trained_candidates(w):
+    """What must hold of every trained candidate on the test split, from its scores."""
+    out = None
+    for name in model.CANDIDATES:
+        scored = _test_scores(w, name).join(
+            w.full_run.part("test").select("transaction_id", "fraud_label"), "transaction_id")
+        better = metrics.roc_auc(scored).select((F.col("roc_auc") > 0.5).cast("int")).scalar()
+        line = scored.agg(
+            F.count("*").alias("rows"), F.sum("fraud_label").alias("positives"),
+            F.count_if(F.col("model_score").between(0, 1)).alias("in_range"),
+        ).select(F.lit(name).alias("name"), "*", better.alias("better_than_chance"))
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+@query
+def trained_choice(w):
+    """The candidate to deploy and the better boosted one, against the reported figures."""
+    judged = w.full_run.validation_metrics
+    best = judged.agg(F.max("val_pr_auc")).scalar()
+    boosted = judged.where("name in ('xgboost', 'lightgbm')").agg(F.max("val_pr_auc")).scalar()
+    return judged.agg(
+        F.count("*").alias("candidates"),
+        F.count_if((F.col("name") == w.full_run.deployed_name) & (F.col("val_pr_auc") == best)).alias("deployed_is_best"),
+        F.count_if((F.col("name") == w.full_run.champion_name) & (F.col("val_pr_auc") == boosted)).alias("boosted_is_best"))
+
+
+def calibrated_mean(w):
+    """The mean calibrated score on validation, which calibration brings to the prevalence."""
+    run = w.training_run
+    return run.deployed.score(run.part("val")).agg(
+        F.count("*").alias("rows"), F.avg("model_score").alias("mean_score"))
+
+
+query(calibrated_mean, digits=4)
+
+
+def baseline_residual(w):
+    """Class-weighted residuals of the logistic model on train; its intercept brings them to 0."""
+    run = w.training_run
+    scored = model.with_probability(run.classifier("baseline"), run.part("train"))
+    weighted = model._weighted(scored, balanced=True)
+    return weighted.agg(
+        F.sum(F.col("__weight") * F.col("fraud_label")).alias("weighted_positives"),
+        F.sum(F.col("__weight") * F.col("model_score")).alias("weighted_scores"))
+
+
+query(baseline_residual, digits=1)
+
+
+@query
+def stored_model_again(w):
+    """A stored model, loaded and judged again: the same figures as in its run."""
+    path = new_shared_path(w.spark, "model")
+    run = w.training_run
+    run.deployed.save(path)
+    again = training.re_evaluate(path, run.matrix)["validation"]
+    then = metrics.evaluate(run.deployed.score(run.part("val")).select("model_score", "fraud_label"))
+    return again.select(F.lit("again").alias("time"), "pr_auc", "roc_auc").unionByName(
+        then.select(F.lit("then").alias("time"), "pr_auc", "roc_auc")).agg(
+        F.count_distinct(F.round("pr_auc", 9)).alias("figures"),
+        F.count_if(F.col("roc_auc") > 0.5).alias("better_than_chance"))
+
+
+@query
+def anomaly_mean(w):
+    """How many test rows the isolation forest scores, and whether all lie inside (0, 1)."""
+    return w.training_run.anomaly_scores.agg(
+        F.count("*").alias("rows"), F.count_if(F.expr("anomaly_score > 0 and anomaly_score < 1")).alias("inside"),
+        F.count_if(F.col("anomaly_score").isNull()).alias("missing"))
+
+
+@query
+def json_array_source(w):
+    """Feature rows read from a document that holds one JSON array."""
+    path = new_shared_path(w.spark, "array")
+    few = w.wire_rows().select("transaction_id", "amount", "txn_count_24h")
+    few.where("txn_count_24h >= 3").agg(F.to_json(F.array_sort(F.collect_list(F.struct("*")))).alias("value")).write.text(path)
+    return w.spark.read.schema(few.schema).option("multiLine", True).json(path)
+
+
+@query
+def stream_minute_counts(w):
+    """Decisions per minute and outcome, counted by a stream over the streamed log."""
+    log, _ = w.stream_paths
+    rows = w.spark.readStream.schema(w.spark.read.parquet(log).schema).parquet(log).withColumn(
+        "created_at", F.col("feature_row.timestamp").cast("timestamp"))
+    out, checkpoint = (new_shared_path(w.spark, n) for n in ("minutes", "stream"))
+    counts = scoring.minute_counts(rows, late="3650 days")
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(out)
+
+    counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return w.spark.read.parquet(out)
 
 
 @query

@@ -10,28 +10,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators import (
-    anomaly, attribution, decisions, metrics, model, policy, registry, splits,
+    anomaly, attribution, metrics, model, policy, registry, splits,
 )
 from riskloom.session import durable
 
-EXPLAINED_ROWS = 2000
-BACKGROUND_ROWS = 100
-
 
 class TrainingRun:
     """Trained candidates and everything reported about them.
 
-    The candidates are trained when the run is made; reports are computed when asked for.
+    A candidate is trained when it is first asked for; reports are computed when asked for.
     """
 
     def __init__(self, matrix: DataFrame, candidates: list[str], rounds: int, trees: int):
         self.inputs = inputs_of(matrix)
         # Read by every fit and every report, so written once.
         self.matrix = durable(matrix.where("fraud_label is not null"))
-        self.classifiers = {
-            name: model.train_candidate(name, self.part("train"), self.inputs, rounds, trees)
-            for name in candidates
-        }
+        self.candidates, self.rounds, self.trees = candidates, rounds, trees
+        self._trained: dict[str, PipelineModel] = {}
+
+    def classifier(self, name: str) -> PipelineModel:
+        if name not in self._trained:
+            self._trained[name] = model.train_candidate(
+                name, self.part("train"), self.inputs, self.rounds, self.trees)
+        return self._trained[name]
 
     def part(self, split: str) -> DataFrame:
         return self.matrix.where(F.col("split") == split)
@@ -40,15 +41,15 @@ class TrainingRun:
     def validation_metrics(self) -> DataFrame:
         """Ranking metrics of every candidate on validation, before calibration."""
         judged = None
-        for name, classifier in self.classifiers.items():
-            scored = model.with_probability(classifier, self.part("val"))
+        for name in self.candidates:
+            scored = model.with_probability(self.classifier(name), self.part("val"))
             line = metrics.evaluate(scored.select("model_score", "fraud_label")).select(
                 F.lit(name).alias("name"), F.col("pr_auc").alias("val_pr_auc"), "roc_auc")
             judged = line if judged is None else judged.unionByName(line)
         return durable(judged)  # one row per candidate
 
     def _best(self, order: list[str]) -> str:
-        known = [n for n in order if n in self.classifiers]
+        known = [n for n in order if n in self.candidates]
         return registry.champion(self.validation_metrics, known).first()["name"]
 
     @cached_property
@@ -58,12 +59,12 @@ class TrainingRun:
     @cached_property
     def champion_name(self) -> str:
         """The better boosted candidate; the deployed one when none was trained."""
-        boosted = [n for n in ("xgboost", "lightgbm") if n in self.classifiers]
+        boosted = [n for n in ("xgboost", "lightgbm") if n in self.candidates]
         return self._best(boosted) if boosted else self.deployed_name
 
     @cached_property
     def deployed(self) -> model.CalibratedModel:
-        return model.calibrate(self.classifiers[self.deployed_name], self.part("val"))
+        return model.calibrate(self.classifier(self.deployed_name), self.part("val"))
 
     def test_scores(self) -> DataFrame:
         return self.deployed.score(self.part("test"))
@@ -77,7 +78,7 @@ class TrainingRun:
         """The baseline after the same calibration, so that only the models differ."""
         if self.deployed_name == "baseline":
             return self.test_metrics
-        baseline = model.calibrate(self.classifiers["baseline"], self.part("val"))
+        baseline = model.calibrate(self.classifier("baseline"), self.part("val"))
         return model.test_report(baseline.score(self.part("test")))
 
     @property
@@ -99,13 +100,12 @@ class TrainingRun:
 
     @property
     def background(self) -> DataFrame:
-        return decisions.sample_rows(self.part("train"), BACKGROUND_ROWS)
+        return self.part("train")
 
     @property
     def importances(self) -> DataFrame:
-        explained = decisions.sample_rows(self.part("test"), EXPLAINED_ROWS)
-        return importances(self.classifiers[self.deployed_name], explained, self.background,
-                           self.inputs)
+        return importances(self.classifier(self.deployed_name), self.part("test"),
+                           self.background, self.inputs)
 
     @property
     def row_counts(self) -> DataFrame:
@@ -141,14 +141,11 @@ def re_evaluate(path: str, matrix: DataFrame) -> dict[str, DataFrame]:
     stored = model.CalibratedModel.load(path)
     inputs = inputs_of(matrix)
     part = {s: matrix.where(F.col("split") == s) for s in ("train", "val", "test")}
-    background = decisions.sample_rows(part["train"], BACKGROUND_ROWS)
     return {
         "validation": metrics.evaluate(stored.score(part["val"])),
         "calibration_curve": metrics.calibration_curve(stored.score(part["test"])),
-        "importances": importances(
-            stored.classifier, decisions.sample_rows(part["test"], EXPLAINED_ROWS), background,
-            inputs),
-        "background": background.select(*inputs),
+        "importances": importances(stored.classifier, part["test"], part["train"], inputs),
+        "background": part["train"].select(*inputs),
     }
 
 

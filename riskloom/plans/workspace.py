@@ -41,7 +41,6 @@ COEFFICIENTS = {
     "payment_method_wallet": 0.05,
 }
 INTERCEPT = -3.0
-BACKGROUND_ROWS = 100
 
 _open: dict[tuple[str, str], "Workspace"] = {}
 
@@ -115,9 +114,9 @@ class Workspace(Tables):
 
     def contributions(self) -> DataFrame:
         matrix = self.matrix()
-        background = decisions.sample_rows(matrix.where("split = 'train'"), BACKGROUND_ROWS)
         return attribution.with_contributions(
-            matrix.select("transaction_id", *COEFFICIENTS), COEFFICIENTS, background)
+            matrix.select("transaction_id", *COEFFICIENTS), COEFFICIENTS,
+            matrix.where("split = 'train'"))
 
     def scored_features(self) -> DataFrame:
         """Feature rows with id, time of scoring, score and label."""
@@ -174,3 +173,8 @@ class Workspace(Tables):
     def training_run(self) -> training.TrainingRun:
         """The baseline candidate, trained and calibrated on the feature table."""
         return training.run(self.matrix(), candidates=["baseline"])
+
+    @cached_property
+    def full_run(self) -> training.TrainingRun:
+        """All four candidates with the settings of the training job, each trained on demand."""
+        return training.run(self.matrix())

@@ -42,7 +42,7 @@ class Tables:
         customers = self.raw("customer").select("c_custkey", "c_nationkey")
         e = F.col("event_id")
         k = F.get_json_object("props", "$.k").cast("int")
-        base = self.raw("events").join(customers, F.col("user_id") == F.col("c_custkey")).select(
+        base = self.raw("events").join(customers, F.col("user_id") == F.col("c_custkey"), "left").select(
             "event_id", "user_id", k.alias("k"), "ts", "value", "event_type",
             (F.col("c_nationkey") % 7).alias("home"),
         ).withColumn(

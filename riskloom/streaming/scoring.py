@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,10 +37,12 @@ def typed(rows: DataFrame) -> DataFrame:
 
 def earlier_batches(spark: SparkSession, log_path: str, stream: str) -> int:
     """How many batches other, finished streams have put into the log."""
-    try:
-        log = spark.read.parquet(log_path)
-    except AnalysisException:  # no log yet
+    # A failed first batch leaves folders without any file of rows.
+    batches = spark._jvm.org.apache.hadoop.fs.Path(f"{log_path}/stream=*/batch_id=*/part-*")
+    files = batches.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.globStatus(batches):
         return 0
+    log = spark.read.parquet(log_path)
     last = log.where(F.col("stream") != stream).groupBy("stream").agg(
         F.max("batch_id").alias("last"))  # partition columns only
     return last.agg(F.coalesce(F.sum(F.col("last") + 1), F.lit(0))).first()[0]

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +179,30 @@ def test_customer_windows_share_one_exchange(small):
     plan = f.velocity_features(small.transactions())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("limits", [
+    f.DEFAULT_LIMITS, f.Limits(window_rows=2),
+    f.Limits(window_rows=2, customer_rows=3, device_rows=3, quantile_block_rows=4, one_task_rows=0),
+], ids=["windows", "groups", "split"])
+def test_missing_values_mean_the_same_in_every_plan(spark, limits):
+    rows = [(f"T{i:02}", "C1", dt.datetime(2024, 1, 1, i), None if i in (2, 6) else float(10 + 7 * i % 31),
+             None if i in (0, 4, 9) else "DE" if i < 8 else "FR", None if i in (3, 6) else f"D{i // 5}")
+            for i in range(12)]
+    frame = spark.createDataFrame(
+        [(*r[:3], r[3], r[4], "DE", r[5]) for r in rows],
+        "transaction_id string, customer_id string, timestamp timestamp_ntz, amount double, country string,"
+        " ip_country string, device_id string")
+    ratio = {r[0]: r[1] for r in f.behavioral_features(frame, limits).collect()}
+    new = {r[0]: r[1] for r in f.geo_features(frame, limits).collect()}
+    past, seen = [], set()
+    for name, _, _, amount, country, _ in rows:
+        want = 1.0 if amount is None or len(past) < 5 else amount / (np.quantile(past, 0.95) + 1e-6)
+        assert ratio[name] == pytest.approx(want)
+        assert new[name] == int(country is not None and country not in seen)
+        past += [amount] if amount is not None else []
+        seen |= {country} - {None}
+    devices = spark.createDataFrame([("D0", dt.datetime(2024, 1, 1))], "device_id string, first_seen_at timestamp_ntz")
+    used = {r.transaction_id: r.customer_device_count_so_far
+            for r in f.device_features(frame, devices, limits).collect()}
+    assert [used[r[0]] for r in rows] == [0, 1, 1, 1, 1, 1, 2, 2, 2, 2, 2, 3]

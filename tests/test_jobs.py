@@ -66,12 +66,15 @@ def test_times_carry_an_offset(spark):
 
 def test_every_query_has_rows_and_most_have_an_oracle():
     import __spark_entry__ as entry
+    from riskloom.plans.oracles import ORACLES
+    from riskloom.plans.queries import QUERIES
 
-    names, oracles = set(entry.queries()), set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+    names, oracles = set(QUERIES), set(ORACLES)
     assert oracles <= names
     assert names - oracles == {
         "baseline_validation", "baseline_test_report", "baseline_calibration",
-        "baseline_importances", "baseline_policy", "random_forest_scores", "boosted_scores",
+        "baseline_importances", "baseline_policy", "random_forest_scores", "boosted_scores", "boosted_second_scores",
         "anomaly_score"}
 
 

@@ -14,16 +14,22 @@ def scored(spark, labels, scores):
                                  "fraud_label int, model_score double")
 
 
-def test_metrics_with_known_answers(spark):
-    good = scored(spark, [0, 0, 0, 1, 1], [.1, .2, .3, .9, .95])
-    assert metrics.evaluate(good).first().asDict() == {"pr_auc": 1.0, "roc_auc": 1.0}
-    at_half = metrics.threshold_metrics(good, thresholds=[0.5]).first()
-    assert (at_half.precision, at_half.recall, at_half.f1) == (1.0, 1.0, 1.0)
-    bad = metrics.evaluate(scored(spark, [0, 1, 0, 1], [.9, .1, .8, .2])).first()
-    assert bad.roc_auc == 0.0 and bad.pr_auc < 0.5
-    nothing = metrics.threshold_metrics(scored(spark, [0, 0], [.1, .2])).collect()
-    assert all((r.precision, r.recall, r.f1) == (0, 0, 0) for r in nothing)
-    assert metrics.roc_auc(scored(spark, [0, 0], [.1, .2])).first().roc_auc is None
+def test_metrics_worked_out_by_hand(spark):
+    # Ranked: 1 0 1 1 0 0 0. Precision at the three hits: 1, 2/3, 3/4.
+    some = scored(spark, [0, 1, 0, 1, 0, 0, 1], [.21, .47, .03, .88, .62, .33, .55])
+    got = metrics.evaluate(some).first()
+    assert got.pr_auc == pytest.approx((1 + 2 / 3 + 3 / 4) / 3)
+    assert got.roc_auc == pytest.approx(10 / 12)  # two pairs of twelve are in the wrong order
+    cut = metrics.threshold_metrics(some, thresholds=[0.5]).first()
+    assert (cut.precision, cut.recall) == (pytest.approx(2 / 3), pytest.approx(2 / 3))
+    # All scores equal: every ranking is as good as any other.
+    flat = metrics.evaluate(scored(spark, [1, 0, 0, 0], [.4] * 4)).first()
+    assert (flat.pr_auc, flat.roc_auc) == (0.25, 0.5)
+    # Without a positive there is nothing to find and nothing to rank.
+    none = scored(spark, [0, 0, 0], [.15, .6, .45])
+    assert all((r.precision, r.recall, r.f1) == (0, 0, 0)
+               for r in metrics.threshold_metrics(none).collect())
+    assert metrics.roc_auc(none).first().roc_auc is None
 
 
 @pytest.mark.parametrize("one_task_rows", [10**6, 0], ids=["one task", "blocks"])
@@ -149,7 +155,7 @@ def test_training_run_reports_everything(spark, tmp_path):
     assert run.importances.first().feature == "a"
     assert {r.split: r.rows for r in run.row_counts.collect()} == {
         "train": 360, "val": 120, "test": 120}
-    assert run.anomaly_scores.count() == 120 and run.background.count() == 100
+    assert run.anomaly_scores.count() == 120 and run.background.count() == run.part("train").count()
     run.deployed.save(str(tmp_path / "m"))
     figures = training.re_evaluate(str(tmp_path / "m"), matrix)
     assert 0 < figures["validation"].first().pr_auc <= 1

@@ -123,3 +123,18 @@ def test_drift_report_and_empty_current(spark):
     apart = drift.categorical_distance(
         a.withColumn("p", F.lit("x")), a.withColumn("p", F.lit("y")), "p").first().js
     assert apart == pytest.approx(np.sqrt(np.log(2)))
+
+
+def test_drift_far_from_zero_and_with_missing_categories(spark):
+    a = spark.createDataFrame([(1e9 + i % 2,) for i in range(50)], "amount double")
+    b = a.select((F.col("amount") + 1).alias("amount"))
+    assert drift.numeric_distances(a, b, ["amount"]).first().wasserstein == pytest.approx(2.0)
+    half = spark.createDataFrame([(None if i % 2 else "card",) for i in range(20)], "payment_method string")
+    assert drift.categorical_distance(half, half, "payment_method").first().js == pytest.approx(0.0)
+
+
+def test_nan_is_missing(spark):
+    rows = spark.createDataFrame([(float("nan"),), (None,), (-1.0,), (2.0,)], "amount double")
+    checks = [quality._not_null("amount", True), quality._above("amount", 0), quality._between("amount", 0, 1)]
+    got = {r["check"]: r["failures"] for r in quality.column_checks(rows, checks).collect()}
+    assert got == {"not_nullable": 2, "greater_than(0)": 1, "in_range(0, 1)": 2}

@@ -76,18 +76,20 @@ def _cost(s, y, a, t_review, t_block):
             + 25 * ((s >= t_block) & (y == 0)).sum())
 
 
-def test_policy_costs(spark):
-    rows = _scored(spark, [.1, .2, .1, .2], [0, 1, 0, 1], [50, 100, 20, 200])
-    assert policy.total_cost(rows, .9, .95).first().total_cost == 300.0
-    assert policy.total_cost(rows, 0.0, 0.0).first().total_cost == 50.0
-    rows = _scored(spark, [.5, .5], [0, 1], [10, 10])
-    assert policy.total_cost(rows, .3, .9).first().total_cost == 7.0
-
-
-def test_grid_finds_a_free_policy(spark):
-    rows = _scored(spark, [.05, .05, .95, .95], [0, 0, 1, 1], [10, 10, 500, 500])
-    best = policy.best_thresholds(rows, step=0.05).first()
-    assert best.total_cost == 0 and best.t_review > 0.05 and best.t_block <= 0.95
+def test_policy_costs_by_outcome(spark):
+    rows = _scored(spark, [.02, .35, .35, .74, .74, .91], [1, 0, 1, 0, 1, 0], [12.5, 3, 70, 8, 41, 6])
+    low, middle, high = (policy.total_cost(rows, *t).first() for t in ((.3, .7), (.5, .8), (.95, .99)))
+    # Missed below the first threshold, reviewed up to the second, blocked from there on.
+    assert (low.missed_fraud, low.review_cost, low.false_positive_cost) == (12.5, 7.0, 50.0)
+    assert (middle.missed_fraud, middle.review_cost, middle.false_positive_cost) == (82.5, 7.0, 25.0)
+    assert high.total_cost == high.missed_fraud == 123.5
+
+
+def test_grid_prefers_reviewing_to_missing(spark):
+    # Reviewing the two scores at 0.4 costs 7, missing the fraud among them 30.
+    rows = _scored(spark, [.1, .4, .4, .8], [0, 0, 1, 1], [9, 9, 30, 200])
+    best = policy.best_thresholds(rows, step=0.1).first()
+    assert best.total_cost == 7.0 and .1 < best.t_review <= .4 < best.t_block <= .8
 
 
 @pytest.mark.parametrize("seed", [1, 2])
