@@ -19,6 +19,19 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+#: Rows of an Arrow batch; whole texts are in them, and some are long.
+BATCH_ROWS = 500
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of at most ``BATCH_ROWS`` rows, or what the session says
+    if that is less, so that a worker holds a few MB of them at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    set_to = int(spark.conf.get(name))
+    if set_to <= 0 or set_to > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

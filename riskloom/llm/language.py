@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import hashed_sample, table
+from riskloom.llm.common import bound_batches, hashed_sample, table
 
 #: Labelled texts that the network is fitted on at most, and pieces taken from each.
 TRAIN_TEXTS, TRAIN_PIECES = 2_500, 6
@@ -276,6 +276,7 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFr
     Ties between languages go to the first in alphabetical order. An empty table gives an
     empty result. Only the text column is read; others are kept, whatever their names.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a fixed number of weights
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
