@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import drift, features, quality, splits
 from riskloom.operators.model import BOOSTING_ROUNDS, TREES, CalibratedModel
 from riskloom.plans import training
-from riskloom.session import durable, prepare
+from riskloom.session import durable, prepare, release_copies
 from riskloom.sources import sinks, tables
 from riskloom.streaming import scoring
 
@@ -130,7 +130,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
-    JOBS[a.job](prepare(spark or SparkSession.builder.appName("riskloom").getOrCreate()), a)
+    session = prepare(spark or SparkSession.builder.appName("riskloom").getOrCreate())
+    try:
+        JOBS[a.job](session, a)
+    finally:
+        if spark is None:  # a job of its own: nothing reads its intermediate copies any more
+            release_copies(session)
 
 
 if __name__ == "__main__":

@@ -399,13 +399,13 @@ _oracle("dq_fk_orphans", ["t", "dv"], "\nunion all ".join([
     _orphans("line_part", "lineitem", "l_partkey", "part", "p_partkey"),
     _orphans("line_supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
     "select 'transaction_customer', count(*) from t where customer_id not in (select"
-    " concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) from customer)",
+    " concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) from customer where c_custkey % 5 <> 0)",
     "select 'transaction_merchant', count(*) from t where merchant_id not in"
-    " (select merchant_id from t)",
+    " (select merchant_id from t where cast(substr(merchant_id, 5) as bigint) % 11 <> 0)",
     "select 'transaction_device', count(*) from t where device_id not in"
-    " (select device_id from dv)",
+    " (select device_id from dv where cast(substr(device_id, 4) as bigint) % 7 <> 0)",
     "select 'device_customer', count(*) from dv where customer_id not in (select"
-    " concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) from customer)",
+    " concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) from customer where c_custkey % 5 <> 0)",
     _orphans("label_document", "documents", "doc_id", "labels", "doc_id"),
 ]))
 ORACLES["set_except_keys"] = "select doc_id from documents except select doc_id from labels"
@@ -414,9 +414,16 @@ ORACLES["dq_device_ownership"] = """with o as (select l_partkey, min(l_suppkey)
 select concat(l_orderkey, '-', l_linenumber, '-', l.l_partkey) as transaction_id,
   l.l_partkey as device_id, l_suppkey as customer_id, owner
 from lineitem l join o on o.l_partkey = l.l_partkey where owner <> l_suppkey"""
-_oracle("dq_one_to_one", ["t", "f"], """
-select 'transactions_ground_truth' as pair, 0::bigint as only_left, 0::bigint as only_right,
-  (select count(*) from (select 1 from t group by transaction_id having count(*) > 1)) as repeated
+_BASE["flawed"] = """select transaction_id, timestamp, case when event_id % 3 = 0
+    then confirmed_fraud_at - interval 5 day else confirmed_fraud_at end as confirmed_fraud_at
+  from t where event_id % 23 <> 0 union all select transaction_id, timestamp, case when event_id % 3 = 0
+    then confirmed_fraud_at - interval 5 day else confirmed_fraud_at end from t where event_id % 29 = 0"""
+_NEEDS["flawed"] = ["t"]
+_oracle("dq_one_to_one", ["t", "f", "flawed"], """
+select 'transactions_ground_truth' as pair,
+  (select count(*) from t where transaction_id not in (select transaction_id from flawed)) as only_left,
+  (select count(*) from flawed where transaction_id not in (select transaction_id from t)) as only_right,
+  (select count(*) from (select 1 from flawed group by transaction_id having count(*) > 1)) as repeated
 union all select 'documents_labels',
   (select count(distinct doc_id) from documents where doc_id not in (select doc_id from labels)),
   (select count(distinct doc_id) from labels where doc_id not in (select doc_id from documents)),
@@ -426,10 +433,10 @@ union all select 'features_transactions',
   (select count(*) from f where transaction_id not in (select transaction_id from t)),
   (select count(*) from t where transaction_id not in (select transaction_id from f)),
   (select count(*) from (select 1 from f group by transaction_id having count(*) > 1))""")
-_oracle("dq_temporal_order", ["t"], """
+_oracle("dq_temporal_order", ["flawed"], """
 select 'ship_before_order' as relation, count(*) as violations from lineitem
   join orders on l_orderkey = o_orderkey where l_shipdate < o_orderdate
-union all select 'confirmed_before_transaction', count(*) from t where confirmed_fraud_at < timestamp
+union all select 'confirmed_before_transaction', count(*) from flawed where confirmed_fraud_at < timestamp
 """)
 _oracle("dq_schema_columns", ["t"], """select "column", "check", forbidden,
   (select count(*) from t) as "rows" from (values
@@ -549,8 +556,9 @@ _oracle("decide", ["dc"], "select transaction_id, decision, decision_source from
 _oracle("decision_records", ["dc"], f"""select id, transaction_id, round(model_score, 6) as model_score,
   decision, triggered_rules, decision_source, '{MODEL_RUN_ID}' as model_run_id, amount, created_at
   from dc""")
-_oracle("policy_model_match", ["t"], f"""select '{MODEL_RUN_ID}' as model_run_id,
-  count(*) as decisions, 0 as policy_matches from t""")
+_oracle("policy_model_match", ["t"], f"""select '{MODEL_RUN_ID}' as model_run_id, count(*) as decisions,
+  cast(policy_run = '{MODEL_RUN_ID}' as int) as policy_matches, policy_run
+  from t, (values ('run-other'), ('{MODEL_RUN_ID}')) v(policy_run) group by policy_run""")
 
 # ---------------------------------------------------------------- decision log
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +20,9 @@ from riskloom.operators import (
     quality, registry, risk, splits,
 )
 from riskloom.plans import training
-from riskloom.plans.workspace import COEFFICIENTS, T_BLOCK, T_REVIEW, Workspace, workspace
+from riskloom.plans.workspace import (
+    COEFFICIENTS, MODEL_RUN_ID, T_BLOCK, T_REVIEW, Workspace, workspace,
+)
 from riskloom.session import durable, new_shared_path
 from riskloom.sources import sinks, tables
 from riskloom.streaming import scoring
@@ -201,9 +203,26 @@ def dq_scored_summary(w):
     return quality.scored_summary(w.decisions, limit=500)
 
 
+def _number(key: str) -> Column:
+    return F.regexp_extract(key, r"\d+", 0).cast("bigint")
+
+
+def _without(df: DataFrame, key: str, every: int) -> DataFrame:
+    """The table without each row whose number is a multiple of ``every``."""
+    return df.where(_number(key) % every != 0)
+
+
+def _flawed_truth(w) -> DataFrame:
+    """Labels of which some are missing, some repeated and some confirmed too early."""
+    number = _number("transaction_id")
+    early = w.ground_truth().withColumn("confirmed_fraud_at", F.when(
+        number % 3 == 0, F.col("confirmed_fraud_at") - F.expr("interval 5 days")).otherwise(F.col("confirmed_fraud_at")))
+    return early.where(number % 23 != 0).unionByName(early.where(number % 29 == 0))
+
+
 @query
 def dq_fk_orphans(w):
-    """Orphans of four references, counted, over tables that do have some."""
+    """Orphans of each reference, counted, over tables that do have some."""
     orders = w.raw("orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     lines = w.raw("lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"),
@@ -213,10 +232,10 @@ def dq_fk_orphans(w):
         ("line_order", lines, w.raw("orders"), "o_orderkey"),
         ("line_part", lines, w.raw("part"), "p_partkey"),
         ("line_supplier", lines, w.raw("supplier"), "s_suppkey"),
-        ("transaction_customer", w.transactions(), w.customers(), "customer_id"),
-        ("transaction_merchant", w.transactions(), w.merchants(), "merchant_id"),
-        ("transaction_device", w.transactions(), w.devices(), "device_id"),
-        ("device_customer", w.devices(), w.customers(), "customer_id"),
+        ("transaction_customer", w.transactions(), _without(w.customers(), "customer_id", 5), "customer_id"),
+        ("transaction_merchant", w.transactions(), _without(w.merchants(), "merchant_id", 11), "merchant_id"),
+        ("transaction_device", w.transactions(), _without(w.devices(), "device_id", 7), "device_id"),
+        ("device_customer", w.devices(), _without(w.customers(), "customer_id", 5), "customer_id"),
         ("label_document", w.raw("documents"), w.raw("labels"), "doc_id"),
     ]
     out = None
@@ -244,7 +263,7 @@ def dq_device_ownership(w):
 
 @query
 def dq_one_to_one(w):
-    a = quality.one_to_one(w.transactions(), w.ground_truth(), "transaction_id").select(
+    a = quality.one_to_one(w.transactions(), _flawed_truth(w), "transaction_id").select(
         F.lit("transactions_ground_truth").alias("pair"), "*")
     b = quality.one_to_one(w.raw("documents"), w.raw("labels"), "doc_id").select(
         F.lit("documents_labels").alias("pair"), "*")
@@ -262,7 +281,7 @@ def dq_temporal_order(w):
     orders = w.raw("orders").select(
         F.col("o_orderkey").alias("transaction_id"), F.col("o_orderdate").alias("timestamp"))
     late = quality.confirmed_before_transaction(orders, lines)
-    clean = quality.confirmed_before_transaction(w.transactions(), w.ground_truth())
+    clean = quality.confirmed_before_transaction(w.transactions(), _flawed_truth(w))
     return late.agg(F.count("*").alias("violations")).select(
         F.lit("ship_before_order").alias("relation"), "violations"
     ).unionByName(clean.agg(F.count("*").alias("violations")).select(
@@ -450,9 +469,14 @@ def decision_records(w):
 
 @query
 def policy_model_match(w):
-    document = policy.policy_document(w.labelled_scores("val"), "run-other")
-    return registry.policy_matches_model(w.decisions, document).withColumn(
-        "policy_matches", F.col("policy_matches").cast("int"))
+    """The log against a policy of another run, and against one of its own run."""
+    out = None
+    for run in ("run-other", MODEL_RUN_ID):
+        document = policy.policy_document(w.labelled_scores("val"), run)
+        line = registry.policy_matches_model(w.decisions, document).withColumns({
+            "policy_matches": F.col("policy_matches").cast("int"), "policy_run": F.lit(run)})
+        out = line if out is None else out.unionByName(line)
+    return out
 
 
 # ---------------------------------------------------------------- decision log

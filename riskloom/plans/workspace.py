@@ -53,6 +53,11 @@ def workspace(spark: SparkSession, data_dir: str) -> "Workspace":
 
 
 class Workspace(Tables):
+    @cached_property
+    def _transactions_plus(self) -> DataFrame:
+        """Derived once and stored: the entity tables are projections of it."""
+        return durable(Tables._transactions_plus.func(self))
+
     def build_features(self) -> DataFrame:
         return features.feature_table(
             self.transactions(), self.customers(), self.devices(), self.ground_truth())
@@ -112,11 +117,16 @@ class Workspace(Tables):
             F.concat_ws("-", "name", F.date_format("start_time", "yyyyMMdd")).alias("run_id"),
             F.round("average_precision", 6).alias("val_pr_auc")))
 
+    @cached_property
+    def background(self) -> DataFrame:
+        """One row with the means of the train split, which is all that attribution needs."""
+        train = self.matrix().where("split = 'train'")
+        return durable(train.agg(*[F.avg(c).alias(c) for c in COEFFICIENTS]))
+
     def contributions(self) -> DataFrame:
-        matrix = self.matrix()
+        matrix = self.features.select("*", *splits.one_hot())
         return attribution.with_contributions(
-            matrix.select("transaction_id", *COEFFICIENTS), COEFFICIENTS,
-            matrix.where("split = 'train'"))
+            matrix.select("transaction_id", *COEFFICIENTS), COEFFICIENTS, self.background)
 
     def scored_features(self) -> DataFrame:
         """Feature rows with id, time of scoring, score and label."""
@@ -125,8 +135,9 @@ class Workspace(Tables):
         return self.features.join(scores, "transaction_id")
 
     def build_decisions(self) -> DataFrame:
-        rows = self.scored_features().withColumn("created_at", F.col("timestamp")).join(
-            self.contributions().select("transaction_id", "contributions"), "transaction_id")
+        encoded = self.scored_features().select(
+            "*", F.col("timestamp").alias("created_at"), *splits.one_hot())
+        rows = attribution.with_contributions(encoded, COEFFICIENTS, self.background)
         return decisions.decision_records(
             rows, T_REVIEW, T_BLOCK, MODEL_RUN_ID, carried=["id", "created_at"],
             top_features=attribution.as_map(attribution.top_features()))
@@ -162,7 +173,7 @@ class Workspace(Tables):
         the paths of the decision log and of the rejected rows."""
         topic, log, rejected, checkpoint = (
             new_shared_path(self.spark, n) for n in ("topic", "log", "rejected", "stream"))
-        publish_files(self.wire_rows(), topic, files=4)
+        publish_files(self.wire_rows(), topic, files=max(4, self.event_count // 100_000))
         query = scoring.score_stream(
             read_file_stream(self.spark, topic, files_per_batch=2), self.linear_scored, T_REVIEW,
             T_BLOCK, MODEL_RUN_ID, log, rejected, checkpoint)

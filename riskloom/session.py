@@ -52,8 +52,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_made: dict[str, list[str]] = {}
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_copies(spark: SparkSession) -> int:
+    """Delete the intermediate copies this application has made; returns how many there were.
+
+    For the end of a job: nothing that still reads them may be used afterwards.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -44,16 +44,18 @@ def kafka_options(servers: str, certificates: dict[str, str] | None = None) -> d
 
 
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str,
-                      certificates: dict[str, str] | None = None) -> DataFrame:
+                      certificates: dict[str, str] | None = None,
+                      rows_per_batch: int = 1_000_000) -> DataFrame:
     """A topic from its earliest offset, as a stream with a ``value`` column.
 
+    ``rows_per_batch`` bounds a batch, so that draining a large topic takes many of them.
     Needs the Kafka connector package that matches the running Spark.
     """
     return (
         spark.readStream.format("kafka")
         .options(**kafka_options(servers, certificates))
         .option("subscribe", topic).option("startingOffsets", "earliest")
-        .load()
+        .option("maxOffsetsPerTrigger", rows_per_batch).load()
     )
 
 
