@@ -738,6 +738,8 @@ _oracle("stream_decisions", ["sd"], """select transaction_id, round(score, 6) as
   decision_source, triggered_rules from sd""")
 _oracle("stream_rejected", ["f_vel", "t"], """select transaction_id, txn_count_24h from f_vel
   join (select transaction_id, event_id from t) using (transaction_id) where event_id % 97 = 0""")
+_oracle("stream_repeated_batch", ["t"], """select count(*) as "rows", count(*) as ids, 1 as same_largest,
+  1 as without_gap from t where event_id % 97 <> 0""")
 _oracle("stream_log_stats", ["sd"], """select count(*) as total,
   count(*) filter (where decision = 'approve') as approve_count,
   count(*) filter (where decision = 'review') as review_count,

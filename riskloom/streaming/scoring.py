@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,10 +14,6 @@ from riskloom.operators.decisions import decision_records
 from riskloom.sources.sinks import append_batch
 from riskloom.sources.tables import parse_feature_rows
 
-# A log id packs batch number, partition of the batch and row, so ids rise from batch to batch.
-_ROW_BITS, _PARTITION_BITS = 24, 20
-
-
 def is_valid() -> Column:
     """Whether a parsed row can be scored: every field present, the instant readable, flags 0/1."""
     present = [F.col(c).isNotNull() for c in S.FEATURE_COLUMNS if c != "timestamp"]
@@ -35,31 +32,46 @@ def typed(rows: DataFrame) -> DataFrame:
     ])
 
 
-def earlier_batches(spark: SparkSession, log_path: str, stream: str) -> int:
-    """How many batches other, finished streams have put into the log."""
-    # A failed first batch leaves folders without any file of rows.
-    batches = spark._jvm.org.apache.hadoop.fs.Path(f"{log_path}/stream=*/batch_id=*/part-*")
-    files = batches.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.globStatus(batches):
-        return 0
-    log = spark.read.parquet(log_path)
-    last = log.where(F.col("stream") != stream).groupBy("stream").agg(
-        F.max("batch_id").alias("last"))  # partition columns only
-    return last.agg(F.coalesce(F.sum(F.col("last") + 1), F.lit(0))).first()[0]
-
+def next_id(spark: SparkSession, log_path: str, stream: str, batch_id: int) -> int:
+    """The id that follows those of everything logged before this batch.
 
-def log_id(batch_number: int) -> Column:
-    raw = F.monotonically_increasing_id()
-    row = raw.bitwiseAND(F.lit((1 << 33) - 1))
-    partition = F.shiftright(raw, 33)
-    fits = (row < (1 << _ROW_BITS)) & (partition < (1 << _PARTITION_BITS))
-    packed = F.lit(batch_number << (_ROW_BITS + _PARTITION_BITS)) + F.shiftleft(partition, _ROW_BITS) + row
-    return F.when(fits, packed).otherwise(
-        F.raise_error(F.lit("micro-batch too large for its ids; add partitions")))
+    The batch before it in the same stream tells; the whole log is asked only by the first
+    batch of a stream, or after a batch without records. What an earlier attempt at this very
+    batch has written does not count.
+    """
+    def written(folder: str) -> bool:
+        files = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-*")
+        return bool(files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files))
+
+    before = f"{log_path}/stream={stream}/batch_id={batch_id - 1}"
+    if batch_id > 0 and written(before):
+        largest = spark.read.parquet(before).agg(F.max("id")).first()[0]
+        if largest is not None:
+            return largest + 1
+    if not written(f"{log_path}/stream=*/batch_id=*"):
+        return 0
+    earlier = spark.read.parquet(log_path).where(
+        (F.col("stream") != stream) | (F.col("batch_id") < batch_id))
+    largest = earlier.agg(F.max("id")).first()[0]
+    return 0 if largest is None else largest + 1
+
+
+def with_ids(rows: DataFrame, first_id: int) -> DataFrame:
+    """Add ``id``: rows numbered from ``first_id`` without a gap, partition by partition."""
+    marked = rows.withColumn("__raw", F.monotonically_increasing_id())
+    partition = F.shiftright("__raw", 33)
+    sizes = marked.groupBy(partition.alias("__partition")).agg(F.count("*").alias("__n"))
+    # One row per partition of the batch.
+    earlier = W.orderBy("__partition").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("__partition", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
+    place = F.col("__raw").bitwiseAND(F.lit((1 << 33) - 1))
+    return marked.withColumn("__partition", partition).join(
+        F.broadcast(starts), "__partition").select(
+        *rows.columns, (F.lit(first_id) + F.col("__start") + place).cast("bigint").alias("id"))
 
 
 def score_batch(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], t_review: float,
-                t_block: float, model_run_id: str, batch_number: int,
+                t_block: float, model_run_id: str, first_id: int,
                 created_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(decision records, rejected rows) of one batch of wire rows. Nothing is collected.
 
@@ -67,10 +79,8 @@ def score_batch(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], t_rev
     """
     checked = rows.withColumn("__valid", is_valid())
     good = typed(checked.where("__valid"))
-    scored = scorer(good).withColumns({
-        "id": log_id(batch_number),
-        "created_at": created_at if created_at is not None else F.current_timestamp(),
-    })
+    scored = scorer(with_ids(good, first_id)).withColumn(
+        "created_at", created_at if created_at is not None else F.current_timestamp())
     top = F.col("shap_top_features") if "shap_top_features" in scored.columns else None
     records = decision_records(scored, t_review, t_block, model_run_id, top_features=top,
                                carried=["id", "created_at"])
@@ -91,10 +101,10 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
     def process(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
         stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        number = earlier_batches(spark, log_path, stream) + batch_id
+        first_id = next_id(spark, log_path, stream, batch_id)
         rows.persist()  # two tables are written, the source is read once
         try:
-            records, rejected = score_batch(rows, scorer, t_review, t_block, model_run_id, number)
+            records, rejected = score_batch(rows, scorer, t_review, t_block, model_run_id, first_id)
             append_batch(records, log_path, stream, batch_id)
             append_batch(rejected, rejected_path, stream, batch_id)
         finally:
