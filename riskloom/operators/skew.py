@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.session import durable
+
 # At most this many keys are ever treated as heavy, which bounds what is broadcast.
 # With N rows in all, a key outside the largest MAX_HEAVY holds at most
 # N / MAX_HEAVY of them, so leaving it on the one-task-per-key plan is safe.
@@ -21,19 +23,16 @@ def heavy_keys(df: DataFrame, keys: list[str], min_rows: int,
                max_keys: int = MAX_HEAVY) -> DataFrame | None:
     """Keys owning more than ``min_rows`` rows, or None when there are none.
 
-    Runs one column-pruned job. The result has at most ``max_keys`` rows
+    Runs one column-pruned job. The result is a stored table of at most ``max_keys`` rows
     (the largest ones), carries ``key_rows``, and is safe to broadcast.
     """
-    found = (
+    found = durable(
         df.groupBy(*keys).agg(F.count("*").alias("key_rows"))
         .where(F.col("key_rows") > min_rows)
         .orderBy(F.desc("key_rows"), *keys)
         .limit(max_keys)
     )
-    rows = found.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, found.schema)
+    return None if found.isEmpty() else found
 
 
 def key_profile(df: DataFrame, keys: list[str]) -> dict[str, tuple[int, int]]:
