@@ -116,9 +116,9 @@ def numbered(df: DataFrame, group: list[str], order: list[str], buckets: int, na
 
     Rows are numbered inside (group, hash bucket of the order columns); the sizes of those
     buckets, at most ``buckets`` rows a group, are summed up to where each bucket starts.
+    ``df`` is read twice, so it should be a stored table.
     """
     salted = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    salted = durable(salted)
     sizes = salted.groupBy(*group, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import numbered, table
+from riskloom.llm.common import bound_batches, numbered, table
 from riskloom.session import durable
 
 CAPACITY = 2048
@@ -84,6 +84,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iter
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         lambda batches: _pieces(batches, path, capacity), PIECES)
 
@@ -221,7 +222,7 @@ def _place(length: np.ndarray, rank: np.ndarray, rows: np.ndarray) -> pd.DataFra
     return pd.DataFrame({"sequence_id": out_id, "offset": out_offset})
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` of 1 to ``capacity``.
 
     Pieces in one sequence fill it from offset 0 without gaps. Equal rows are packed one by
@@ -229,6 +230,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int = 64) -> Data
     """
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     rows = _plan_arrays(configurations(histogram, capacity), capacity)
+    # Pieces of one length are numbered in buckets of about 100,000.
+    buckets = min(4096, max(64, max(histogram.values(), default=0) // 100_000))
     shared = pieces.sparkSession.sparkContext.broadcast(rows)  # at most a few for each length and round
 
     def place(batches):
