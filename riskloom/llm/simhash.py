@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import components, table
+from riskloom.llm.common import bound_batches, components, table
 from riskloom.session import durable
 
 _CHUNK = 65536
@@ -93,6 +93,7 @@ def simhash_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", hal
     returned. Null identifiers take part but never name a component that has others. An
     empty table gives an empty result; other columns are ignored unless carried.
     """
+    bound_batches(docs.sparkSession)
     carry = carry or [key]
     rows = durable(docs.select(
         F.struct(*carry).alias("_row"), F.col(key).alias("_id"), _fingerprints(F.col(text)).alias("fp")))
@@ -101,7 +102,10 @@ def simhash_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", hal
     linked = roots.join(classes, "fp")
     names = linked.groupBy("root").agg(F.min("least").alias("component"))
     named = linked.join(names, "root").select("fp", "component")
-    classes = classes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
+    # Stored, so that both sides of the last join are plain tables: a fingerprint of very many
+    # rows is then split over tasks.
+    classes = durable(classes.join(named, "fp", "left").select(
+        "fp", F.coalesce("component", "least").alias("component_id")))
     return rows.join(classes, "fp").select(
         "_row.*", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
