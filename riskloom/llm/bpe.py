@@ -30,16 +30,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskloom.llm.common import most_frequent, table
+from riskloom.llm.common import bound_batches, most_frequent, table
 
 #: Words in the lexicon; bounds the compiled file to a few MB whatever the corpus.
 LEXICON_WORDS = 262_144
-#: Distinct chunks that a task remembers.
-HELD = 300_000
+#: Distinct chunks that a task counts before it hands them on, and encoded ones it remembers.
+COUNTED, HELD = 300_000, 800_000
 #: Characters of text that a task works on at a time.
 BATCH_CHARS = 2_000_000
 #: Characters that Python's split() takes as white space and the tokenizer doesn't.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
+#: A full stop or comma that belongs to a run of marks.
+_MARK_RUN = re.compile(r"[^\w\s][.,][ \n]|_[.,][ \n]")
 #: Outside these blocks character classes may differ between Unicode versions; the
 #: tokenizer's own normaliser and splitter decide there.
 _RARE = re.compile("[^\x00-\u024f\u0370-\u052f\u2000-\u206f]")
@@ -91,7 +93,9 @@ class Vocabulary:
             self.slot_key[slot], self.slot_rank[slot] = pair, i
             self.probes = max(self.probes, probes)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in (self.ids | self.special).items()}
+        by_id = {i: t for t, i in (self.ids | self.special).items()}
+        self.tokens = [by_id.get(i, "") for i in range(max(by_id) + 1)]
+        self.numbers = [str(i) for i in range(len(self.tokens))]
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.letters = _byte_letters()
@@ -102,26 +106,36 @@ class Vocabulary:
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
 
-    def chunks(self, text: str) -> list[str]:
+    def chunks(self, text: str, apart: bool = False) -> list[str]:
         """White-space-free chunks of normalised text; words never reach over white space.
-        A special token is a chunk of its own."""
+        A special token is a chunk of its own. With ``apart``, most full stops and commas are,
+        too, which leaves fewer different chunks."""
         if "<|" in text:
             parts = self.special_pattern.split(text)
             if len(parts) > 1:
-                return [c for i, p in enumerate(parts) for c in ([p] if i % 2 else self._plain(p))]
-        return self._plain(text)
+                return [c for i, p in enumerate(parts) for c in ([p] if i % 2 else self._plain(p, apart))]
+        return self._plain(text, apart)
 
-    def _plain(self, text: str) -> list[str]:
+    def _plain(self, text: str, apart: bool = False) -> list[str]:
         if _RARE.search(text):
             return [c for c in self.normalizer.normalize_str(text).split(" ") if c]
         # Letter by letter: no special form of sigma at a word's end.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         if _NOT_SPACE.search(text):
             return regex.findall(r"\S+", text)
+        if apart and not _MARK_RUN.search(text):
+            # A mark that ends a word is a word of its own.
+            text = text.replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
         return text.split()
 
     def words(self, chunk: str) -> list[str]:
-        if _RARE.search(chunk):
+        if chunk.isascii():
+            # Most chunks are letters, or letters and one mark: the pattern would say the same.
+            if chunk.isalpha():
+                return [chunk]
+            if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+                return [chunk[:-1], chunk[-1]]
+        elif _RARE.search(chunk):
             return [bytes(self.bytes[c] for c in w).decode("utf-8", "surrogatepass")
                     for w, _ in self.splitter.pre_tokenize_str(chunk)]
         return self.pattern.findall(chunk)
@@ -238,6 +252,10 @@ class Vocabulary:
         """Decoded text. The file has no decoder, so tokens are joined by one blank."""
         return " ".join([self.tokens[i] for i in ids])
 
+    def digits(self, ids: Iterable[int]) -> str:
+        """The ids as decimal numbers, joined by one blank."""
+        return " ".join([self.numbers[i] for i in ids])
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -372,7 +390,9 @@ class Lexicon:
         return result
 
 
+#: What a worker keeps from task to task, for the lexicon it used last.
 _lexicons: dict[str, Lexicon] = {}
+_digest_encoders: dict[int, Encoder] = {}
 
 
 def _lexicon(data: bytes) -> Lexicon:
@@ -415,7 +435,7 @@ def _count_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
             with _no_cycles():
                 for text in texts:
                     chunks.update(vocab.chunks(text))
-                full = flush() if len(chunks) >= HELD else None
+                full = flush() if len(chunks) >= COUNTED else None
             if full is not None:
                 yield full
     if chunks:
@@ -424,6 +444,7 @@ def _count_words(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Re
 
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
     """How often each word occurs in the whole corpus: ``word``, ``n``."""
+    bound_batches(docs.sparkSession)
     return docs.select("text").mapInArrow(lambda b: _count_words(b, path), "word string, n bigint").groupBy(
         "word").agg(F.sum("n").alias("n"))
 
@@ -438,23 +459,27 @@ class Encoder:
     """Encodes texts of a task by the transducer, merging what it doesn't hold.
 
     ``form`` makes of a chunk's ids what the caller needs; the chunks met last are remembered
-    in that form.
+    in that form, in two generations: what is not met again while one fills up is forgotten.
     """
 
     def __init__(self, data: bytes, path: str, form=lambda ids: ids) -> None:
         self.vocab, self.lexicon, self.form = vocabulary(path), _lexicon(data), form
         self.known: dict = {}
+        self.older: dict = {}
 
     def _learn(self, chunks: list[str]) -> None:
         vocab, lex, form, known = self.vocab, self.lexicon, self.form, self.known
-        split = [(c, vocab.words(c)) for c in chunks if c not in vocab.special]
-        words = list({w for _, ws in split for w in ws})
+        whole = [c for c in chunks if c.isascii() and c.isalpha()]  # one word each
+        split = [(c, vocab.words(c)) for c in set(chunks).difference(whole) if c not in vocab.special]
+        words = list({w for _, ws in split for w in ws}.union(whole))
         places = lex.find([w.encode("utf-8", "surrogatepass") for w in words])
         starts, ends = lex.offsets[places].tolist(), lex.offsets[places + 1].tolist()
         held, place = lex.ids, places.tolist()
         ids = {w: held[a:b].tolist() for w, p, a, b in zip(words, place, starts, ends) if p >= 0}
         unseen = [w for w, p in zip(words, place) if p < 0]
         ids.update(zip(unseen, vocab.merge_all(unseen)))
+        for c in whole:
+            known[c] = form(ids[c])
         for c, ws in split:
             known[c] = form(ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]])
         for c in chunks:
@@ -463,11 +488,17 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> Iterator[list]:
         """For each text the forms of its chunks."""
-        chunked = [self.vocab.chunks(t) for t in texts]
+        chunked = [self.vocab.chunks(t, apart=True) for t in texts]
         wanted = set().union(*chunked)
-        if len(self.known) + len(wanted) > HELD:
-            self.known.clear()
-        self._learn([c for c in wanted if c not in self.known])
+        if len(self.known) + len(wanted) > HELD // 2:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for c in wanted.difference(known):
+            if c in older:
+                known[c] = older[c]
+            else:
+                new.append(c)
+        self._learn(new)
         for chunks in chunked:
             yield list(map(self.known.__getitem__, chunks))
 
@@ -476,8 +507,12 @@ class Encoder:
 
 
 def _digests(batches: Iterator[pa.RecordBatch], data, path: str) -> Iterator[pa.RecordBatch]:
-    tokens = vocabulary(path).text
-    encoder = Encoder(data.value, path, lambda ids: (len(ids), " ".join(map(str, ids)), tokens(ids)))
+    vocab, lexicon = vocabulary(path), _lexicon(data.value)
+    encoder = _digest_encoders.get(id(lexicon))
+    if encoder is None or encoder.lexicon is not lexicon or encoder.vocab is not vocab:
+        _digest_encoders.clear()
+        encoder = Encoder(data.value, path, lambda ids: (len(ids), vocab.digits(ids), vocab.text(ids)))
+        _digest_encoders[id(lexicon)] = encoder
     sha = hashlib.sha256
     for batch in batches:
         doc_ids = batch.column(0)
@@ -485,10 +520,10 @@ def _digests(batches: Iterator[pa.RecordBatch], data, path: str) -> Iterator[pa.
             n, of_ids, of_text = [], [], []
             with _no_cycles():
                 for forms in encoder.encode_all(texts):
-                    forms = [f for f in forms if f[0]]
-                    n.append(sum([f[0] for f in forms]))
-                    of_ids.append(sha(" ".join([f[1] for f in forms]).encode()).hexdigest())
-                    of_text.append(sha(" ".join([f[2] for f in forms]).encode()).hexdigest())
+                    counts, ids, shown = zip(*forms) if forms else ((), (), ())
+                    n.append(sum(counts))
+                    of_ids.append(sha(" ".join(ids).encode()).hexdigest())
+                    of_text.append(sha(" ".join(shown).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.slice(start, len(texts)), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
@@ -511,6 +546,7 @@ def encode(docs: DataFrame, path: str | None = None, lexicon: bytes | None = Non
     Rows that repeat an identifier are encoded each. Other columns are ignored.
     """
     path = path or _tokenizer_path()
+    bound_batches(docs.sparkSession)
     data = _shared(docs.sparkSession, lexicon if lexicon is not None else build_lexicon(docs, path))
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         lambda b: _encoded(b, data, path), "doc_id bigint, ids array<int>")
