@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import bound_batches, table
 from riskloom.llm.packing import _tokenizer_path, encoder
 from riskloom.session import durable
 
@@ -182,6 +182,7 @@ def format_windows(conversations: DataFrame, budget: int = 2048, history: int =
     Turns with the same number are all kept, in order of role and text. An empty table gives
     an empty result; other columns are ignored.
     """
+    bound_batches(conversations.sparkSession)
     half = max(1, (budget - history - system) // 2)
     path = path or _tokenizer_path()
     stretch = half * max(BLOCK_STRETCHES, -(-history // half))

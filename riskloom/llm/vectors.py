@@ -204,8 +204,14 @@ def _compare(batches: Iterator[pa.RecordBatch], projections: int, tables: int, t
                         tiles(int(bucket[at[0]]), ours[p:p + TILE], theirs[q:q + TILE], same and p == q, cls, n, unit, keys)
 
     held: pa.Table | None = None
+    waiting: list[pa.RecordBatch] = []
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
+        # Small batches are put together.
+        waiting.append(batch)
+        if sum(b.num_rows for b in waiting) < 4096:
+            continue
+        rows = pa.Table.from_batches(waiting)
+        waiting = []
         rows = rows if held is None else pa.concat_tables([held, rows])
         bucket, left, right = (rows[c].to_numpy() for c in ("bucket", "left", "right"))
         # The last group may go on.
@@ -215,6 +221,9 @@ def _compare(batches: Iterator[pa.RecordBatch], projections: int, tables: int, t
         held = rows.slice(end)
         if found.size > 200_000:
             yield found.batch()
+    if waiting:
+        rows = pa.Table.from_batches(waiting)
+        held = rows if held is None else pa.concat_tables([held, rows])
     if held is not None and len(held):
         handle(held)
     if found.size:
