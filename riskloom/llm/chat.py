@@ -6,7 +6,9 @@ conversation, and these sums alone decide the windows: a window takes the turns
 one stretch of half the tokens that are left for new turns, so that it stays within the
 budget with its last turn; a turn longer than that stands alone, and is marked where it
 doesn't fit at all. A window repeats the system turn that opens its conversation, and the
-turns just before it as far as the history budget goes. Repeated turns are masked, so each
+turns just before it as far as the history budget goes. Where that system turn is longer than
+its budget, new turns and history of the conversation get less room; one that leaves no room
+is repeated all the same, and its windows are marked. Repeated turns are masked, so each
 assistant text is a target once.
 
 A conversation of any length spreads over tasks: positions and sums come from blocks of
@@ -35,6 +37,8 @@ START, END = "<|im_start|>", "<|im_end|>"
 BLOCK_TURNS = 512
 #: Stretches whose windows are cut in one task.
 BLOCK_STRETCHES = 64
+#: A list of conversations with a long system turn is broadcast up to this length.
+BROADCAST_ROWS = 1_000_000
 
 _MARK = re.compile(r"<(\\*)\|")
 _MARKED = re.compile(r"<\\(\\*)\|")
@@ -107,8 +111,9 @@ def _summed(turns: DataFrame) -> DataFrame:
     )
 
 
-def _cut(rows: Iterator[dict], half: int, history: int, system: int, budget: int) -> Iterator[dict]:
-    """Windows of one block of a conversation, from its rows in order of position."""
+def _cut(rows: Iterator[dict], budget: int) -> Iterator[dict]:
+    """Windows of one block of a conversation, from its rows in order of position; all of them
+    have the conversation's ``_half`` and ``_history``."""
     lead: list[dict] = []
     past: list[dict] = []
     new: list[dict] = []
@@ -118,7 +123,7 @@ def _cut(rows: Iterator[dict], half: int, history: int, system: int, budget: int
         first = new[0]
         shown = [r for r in lead if r["position"] < first["position"]]
         led = {r["position"] for r in shown}
-        shown += [r for r in past if r["before"] >= first["before"] - history and r["position"] not in led]
+        shown += [r for r in past if r["before"] >= first["before"] - first["_history"] and r["position"] not in led]
         text = "".join(r["formatted"] for r in shown)
         new_from, spans = len(text), []
         for r in new:
@@ -132,22 +137,22 @@ def _cut(rows: Iterator[dict], half: int, history: int, system: int, budget: int
     for row in rows:
         if row["position"] == position:
             continue  # the system turn can come as history too
-        position = row["position"]
-        if position == 0 and row["role"] == "system" and row["tokens"] <= system:
+        position, half = row["position"], row["_half"]
+        if position == 0 and row["role"] == "system":
             lead.append(row)
         if not row["fresh"]:
             past.append(row)
             continue
         if new and (row["before"] // half != new[0]["before"] // half or row["tokens"] > half or new[-1]["tokens"] > half):
             yield close()
-            past = [r for r in past + new if r["before"] >= row["before"] - history]
+            past = [r for r in past + new if r["before"] >= row["before"] - row["_history"]]
             new = []
         new.append(row)
     if new:
         yield close()
 
 
-def _windows(frames: Iterator[pd.DataFrame], *sizes: int) -> Iterator[pd.DataFrame]:
+def _windows(frames: Iterator[pd.DataFrame], budget: int) -> Iterator[pd.DataFrame]:
     """Cut the sorted rows of a partition; a block's rows may come in several batches."""
 
     def rows():
@@ -156,7 +161,7 @@ def _windows(frames: Iterator[pd.DataFrame], *sizes: int) -> Iterator[pd.DataFra
 
     held, chars = [], 0
     for _, block in groupby(rows(), key=lambda r: (r["_conv"], r["_stretches"])):
-        for window in _cut(block, *sizes):
+        for window in _cut(block, budget):
             held.append(window)
             chars += len(window["formatted"])
             if chars > 1_000_000:
@@ -170,37 +175,54 @@ WINDOWS = ("conv_id bigint, window bigint, formatted string, new_from bigint,"
            " targets array<struct<start: bigint, end: bigint>>, tokens bigint, over_budget boolean")
 
 
+def _with_room(turns: DataFrame, budget: int, history: int, system: int) -> DataFrame:
+    """Add ``_half``, half the tokens for new turns, and ``_history``, those for history, of the
+    conversation. They are the same for all but conversations with a longer system turn."""
+    half = max(1, (budget - history - system) // 2)
+    longer = durable(turns.where((F.col("position") == 0) & (F.col("role") == "system") & (F.col("tokens") > system)).select(
+        "_conv", F.greatest(F.lit(budget) - F.col("tokens"), F.lit(0)).alias("_left")))
+    number = longer.count()
+    if not number:
+        return turns.withColumn("_half", F.lit(half).cast("bigint")).withColumn("_history", F.lit(history).cast("bigint"))
+    less = F.least(F.lit(history), F.floor(F.col("_left") / 3))
+    # Without any room all windows are too long, and smaller ones would only be more of them.
+    room = F.when(F.col("_left") > 0, F.greatest(F.floor((F.col("_left") - less) / 2), F.lit(1))).otherwise(half)
+    return turns.join(F.broadcast(longer) if number <= BROADCAST_ROWS else longer, "_conv", "left").withColumn(
+        "_half", F.coalesce(F.when(F.col("_left").isNotNull(), room), F.lit(half)).cast("bigint")).withColumn(
+        "_history", F.coalesce(less, F.lit(history)).cast("bigint")).drop("_left")
+
+
 def format_windows(conversations: DataFrame, budget: int = 2048, history: int = 256, system: int = 512,
                    path: str | None = None) -> DataFrame:
     """One row per window of each conversation of ``conversations(conv_id, turn, role, text)``.
 
     ``window`` is the position of its first new turn; ``formatted`` its text, in which new turns
     begin at ``new_from``; ``targets`` the spans of assistant texts that count for the loss;
-    ``tokens`` what it takes, more than ``budget`` only where ``over_budget`` says so.
+    ``tokens`` what it takes, more than ``budget`` only where ``over_budget`` says so. The system
+    turn that opens a conversation begins each of its windows, however long it is.
 
     Null roles and texts count as empty. Rows without a conversation form one of their own.
     Turns with the same number are all kept, in order of role and text. An empty table gives
     an empty result; other columns are ignored.
     """
     bound_batches(conversations.sparkSession)
-    half = max(1, (budget - history - system) // 2)
     path = path or _tokenizer_path()
-    stretch = half * max(BLOCK_STRETCHES, -(-history // half))
     turns = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text").mapInArrow(
         lambda b: _render_all(b, path),
         "conv_id bigint, turn bigint, role string, formatted string, tokens bigint, starts bigint, ends bigint")
-    turns = durable(_summed(turns)).withColumn("_own", F.floor(F.col("before") / stretch))
+    turns = _with_room(durable(_summed(turns)), budget, history, system)
+    stretch = F.col("_half") * F.greatest(F.lit(BLOCK_STRETCHES), F.ceil(F.col("_history") / F.col("_half")))
+    turns = turns.withColumn("_own", F.floor(F.col("before") / stretch))
     # Each turn in its block, and in the next one where that may ask for it as history.
-    following = F.when(F.col("before") >= (F.col("_own") + 1) * stretch - history, F.col("_own") + 1)
+    following = F.when(F.col("before") >= (F.col("_own") + 1) * stretch - F.col("_history"), F.col("_own") + 1)
     rows = turns.withColumn("_stretches", F.explode(F.array_compact(F.array("_own", following))))
     rows = rows.withColumn("fresh", F.col("_stretches") == F.col("_own"))
     later = turns.where("_own > 0").select("_conv", F.col("_own").alias("_stretches")).distinct()
-    opening = turns.where((F.col("position") == 0) & (F.col("role") == "system") & (F.col("tokens") <= system) )
+    opening = turns.where((F.col("position") == 0) & (F.col("role") == "system"))
     copies = opening.join(later, "_conv").withColumn("fresh", F.lit(False)).select(*rows.columns)
     rows = rows.unionByName(copies).drop("_own")
-    sizes = (half, history, system, budget)
     return rows.repartition("_conv", "_stretches").sortWithinPartitions(
-        "_conv", "_stretches", "position", F.desc("fresh")).mapInPandas(lambda f: _windows(f, *sizes), WINDOWS)
+        "_conv", "_stretches", "position", F.desc("fresh")).mapInPandas(lambda f: _windows(f, budget), WINDOWS)
 
 
 def _read_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -143,6 +143,29 @@ def test_windows_of_long_conversations(spark, monkeypatch):
         assert all(w.new_from <= s.start <= s.end <= len(w.formatted) for s in w.targets)
 
 
+def test_long_system_turn_stays_in_every_window(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 8)
+    monkeypatch.setattr(chat, "BLOCK_STRETCHES", 3)
+    rng = np.random.default_rng(7)
+    systems = {1: "sys " * 150, 2: "sys " * 385, 3: "sys " * 700, 4: "sys " * 10, None: "sys " * 200}
+    rows = [(c, 0, "system", text) for c, text in systems.items()]
+    rows += [(c, i, ("user", "assistant")[i % 2], "word " * int(rng.integers(0, 40))) for c in systems for i in range(1, 120)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    windows = chat.format_windows(frame.repartition(5), budget=400, history=60, system=80)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(windows).collect()}
+    assert got == expected(rows)
+    shown = defaultdict(list)
+    for w in windows.collect():
+        shown[w.conv_id].append(w)
+    for c, text in systems.items():
+        lead = chat.render("system", text)[0]
+        assert len(shown[c]) > 5 and all(w.formatted.startswith(lead) for w in shown[c])
+        assert all(w.over_budget == (w.tokens > 400) for w in shown[c])
+    assert not any(w.over_budget for c in (1, 4, None) for w in shown[c])
+    assert all(w.over_budget for w in shown[3])
+    assert sum(w.new_from > len(chat.render("system", systems[1])[0]) for w in shown[1]) > 5
+
+
 def test_no_conversations(spark):
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string, window string")
     assert chat.read_back(chat.format_windows(empty)).collect() == []
