@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.sources.tables import kafka_options
 
+#: Rows of a document that holds one JSON array.
+ROWS_PER_ARRAY = 10_000
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
@@ -21,6 +24,18 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_arrays(rows: DataFrame, path: str, key: str, size: int = ROWS_PER_ARRAY) -> None:
+    """Documents that hold one JSON array each, of about ``size`` rows by a hash of ``key``.
+
+    Every document is a file of its own, so that tasks share both the writing and a reading
+    with ``multiLine``. ``rows`` are read twice.
+    """
+    documents = max(1, -(-rows.count() // size))
+    arrays = rows.groupBy(F.pmod(F.xxhash64(key), F.lit(documents)).alias("_document")).agg(
+        F.to_json(F.array_sort(F.collect_list(F.struct(*rows.columns)))).alias("value"))
+    arrays.select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
 def as_message() -> Column:
     """The whole row as one JSON message. Absent fields stay visible as nulls."""
     return F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
