@@ -15,11 +15,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import bound_batches, hashed_sample, table
+from riskloom.llm.common import bound_batches, table
 
 #: Labelled texts that the network is fitted on at most, and pieces taken from each.
 TRAIN_TEXTS, TRAIN_PIECES = 2_500, 6
@@ -254,17 +254,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def quotas(counts: dict[str, int], texts: int) -> dict[str, int]:
+    """Texts to take of each language: about ``texts`` in all, as many of each as there are or as
+    of any other. With more languages than texts, one of each of the most frequent."""
+    order = sorted(counts, key=lambda k: (-counts[k], k))[:texts]
+    out, left = {}, texts
+    for i, name in enumerate(reversed(order)):
+        out[name] = min(counts[name], left // (len(order) - i))
+        left -= out[name]
+    return out
+
+
+def training_rows(docs: DataFrame, texts: int = TRAIN_TEXTS) -> DataFrame:
+    """Labelled rows of ``docs(doc_id, text, lang)`` with a letter that are not held out, at most
+    ``texts`` of them, by a hash of identifier and text: all where there are no more, or else
+    the same number of each language as far as it has them."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id"))).select(
+        "doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("_order"))
+    counts = {r.lang: r["count"] for r in usable.groupBy("lang").count().collect()}
+    taken = quotas(counts, texts)
+    # What is put in order stays small: a share by hash, with enough to spare for small quotas.
+    shares = [(k, n, int(min(1.0, (4 * n + 64) / counts[k]) * (1 << 40))) for k, n in taken.items()]
+    wanted = docs.sparkSession.createDataFrame(shares, "lang string, _quota bigint, _share bigint")
+    some = usable.join(F.broadcast(wanted), "lang").where(F.pmod(F.xxhash64("_order", F.lit(5)), F.lit(1 << 40)) < F.col("_share"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
+    return some.withColumn("_rank", rank).where("_rank <= _quota").drop("_rank", "_quota", "_share")
+
+
 def fit(docs: DataFrame, texts: int = TRAIN_TEXTS, pieces: int = TRAIN_PIECES) -> Network | None:
-    """Train on the labelled rows of ``docs(doc_id, text, lang)`` that are not held out: on
-    ``pieces`` pieces of each of ``texts`` rows, chosen by a hash of the identifier."""
+    """Train on ``pieces`` pieces of each of ``training_rows``."""
     length = F.greatest(F.length("text") - TRAIN_BYTES, F.lit(1))
     cuts = [F.col("text").substr((F.pmod(F.xxhash64("doc_id", F.lit(k)), length) + 1).cast("int"), F.lit(TRAIN_BYTES))
             for k in range(pieces)]
-    rows = (
-        hashed_sample(docs, ["doc_id"], texts).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-        .select("lang", F.array(*cuts).alias("cuts"), F.xxhash64("doc_id").alias("_order"))
-        .orderBy("_order", "lang").limit(texts).collect()
-    )
+    rows = training_rows(docs, texts).select("lang", F.array(*cuts).alias("cuts"), "_order").orderBy("_order", "lang").collect()
     data = [(c.encode("utf-8", "surrogatepass"), r.lang) for r in rows for c in r.cuts if c]
     return train([d for d, _ in data], [y for _, y in data])
 

@@ -253,6 +253,27 @@ def test_held_out_accuracy_and_odd_rows(spark, documents, odd, empty):
         "doc_id", "text", "lang", F.lit("x"), F.lit(1.0)).limit(100)), "").columns == odd.columns
 
 
+@pytest.mark.parametrize("counts, texts, want", [
+    ({}, 5, {}), ({"a": 3, "b": 1}, 9, {"a": 3, "b": 1}), ({"a": 900, "b": 2, "c": 70}, 100, {"a": 49, "b": 2, "c": 49}),
+    ({"a": 5, "b": 4, "c": 9}, 2, {"a": 1, "c": 1}),
+])
+def test_quotas(counts, texts, want):
+    assert language.quotas(counts, texts) == want
+
+
+def test_few_labels_in_many_rows_are_all_used(spark):
+    words = F.concat_ws(" ", *[F.sha1(F.concat("id", F.lit(f" {k}"))) for k in range(2)])
+    lang = F.when(F.col("id") % 4000 == 1, "aa").when(F.col("id") == 2, "bb").when(F.col("id") == 3, "cc")
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 3, "123").otherwise(words).alias("text"), lang.alias("lang"))
+    used = {i for i in [*range(1, 40_000, 4000), 2] if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert {r.doc_id for r in language.training_rows(docs).collect()} == used
+    assert language.fit(docs).languages == ["aa", "bb"]
+    many = docs.withColumn("lang", F.when(F.col("doc_id") % 5000 == 6, "rare").otherwise("often"))
+    got = Counter(r.lang for r in language.training_rows(many, 500).collect())
+    rare = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(6, 40_000, 5000))
+    assert got == {"rare": rare, "often": 500 - rare}
+
+
 # Secrets
 
 def test_forest_on_findings_of_other_texts(documents):
