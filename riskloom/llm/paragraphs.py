@@ -7,7 +7,9 @@ same paragraphs there, but for its ends. Paragraphs are described by minima of h
 their five-word shingles; those that share a band of minima are joined and their shingle
 sets compared exactly. Repeated paragraphs, equal or similar, are clustered by components,
 and of each cluster the first one stays. A short line that many texts share is no passage: only
-paragraphs count that are repeated next to others, ``LEAST_PASSAGE`` words in all.
+paragraphs count that are repeated next to others, ``LEAST_PASSAGE`` words in all. Words between
+two repeated paragraphs belong to the passage where the places that are kept of both stand
+as near each other in one text.
 
 Equal paragraphs share a key and are counted, never joined with each other. Bands are
 reduced to their smallest and largest key before anything is gathered, so only bands of
@@ -32,7 +34,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: Words to either side among which a cut is the smallest; paragraphs of long lines have more
 #: words than this.
 REACH = 4
-#: Paragraphs with fewer words are left alone.
+#: Of a passage's paragraphs, fewer than twice as many words lie between one and the next.
 LEAST_WORDS = 7
 #: Words that repeated paragraphs next to each other need to have in all to count as a passage.
 LEAST_PASSAGE = 12
@@ -112,10 +114,15 @@ class Cut:
             cut[:-d] &= (value[:-d] <= value[d:]) | (text[:-d] != text[d:])
         # Near a text's edge there are too few words to tell.
         cut[1:] &= text[1:] == text[:-1]
-        cut |= np.r_[True, line[1:] != line[:-1]]
-        first = np.flatnonzero(cut)
+        opens_line = np.r_[True, line[1:] != line[:-1]]
+        first = np.flatnonzero(cut | opens_line)
+        # What is too short for a shingle at a line's start or end goes with the piece next to it.
+        few, leads = np.diff(np.r_[first, n]) < SHINGLE, opens_line[first]
+        joined = few & ~leads
+        joined[1:] |= few[:-1] & leads[:-1] & ~leads[1:]
+        first = first[~joined]
         words = np.diff(np.r_[first, n])
-        keep = words >= LEAST_WORDS
+        keep = words >= SHINGLE
         first, words = first[keep], words[keep]
         self.first, self.words, self.text = first, words, text[first]
         self.word = first - np.searchsorted(text, self.text)
@@ -169,8 +176,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], count: int, rows: int) -> Iterato
         for start, texts in _runs(batch.column(3)):
             cut = Cut(texts)
             of = pa.array(cut.text + start)
-            keys = cut.banded(count, rows).view(np.int64).ravel()
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(cut.first) + 1, dtype=np.int32) * count), pa.array(keys))
+            # Up to three shingles are only similar to the same ones, and then all bands are shared.
+            own = np.where(cut.words < SHINGLE + 3, 1, count)
+            keys = cut.banded(count, rows).view(np.int64)[np.arange(count) < own[:, None]]
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(own)].astype(np.int32)), pa.array(keys))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(of), batch.column(1).take(of), batch.column(2).take(of),
                  pa.array(cut.start.astype(np.int32)), pa.array(cut.stop.astype(np.int32)),
@@ -280,10 +289,11 @@ def repeated(docs: DataFrame) -> DataFrame:
     """Every paragraph of ``docs(doc_id, text)`` in a passage that occurs again, equal or
     similar: ``row, doc_id, text_hash, start, stop, word, words, cluster, kept``.
 
-    ``start`` and ``stop`` count characters; ``cluster`` is shared by all places of a paragraph
+    ``start`` and ``stop`` count characters, and take in what lies between a paragraph and the
+    next one of the same passage; ``cluster`` is shared by all places of a paragraph
     and what is similar to it; the place with the smallest identifier and, in one text, the
     first one is ``kept``. Paragraphs of a text that repeat each other count. Null and empty
-    texts have no paragraphs, and lines of fewer than ``LEAST_WORDS`` words are none. Rows
+    texts have no paragraphs, and fewer than ``SHINGLE`` words alone are none. Rows
     that repeat an identifier are texts of their own; a null identifier sorts first. An
     empty table gives an empty result; other columns are ignored.
     """
@@ -303,9 +313,17 @@ def repeated(docs: DataFrame) -> DataFrame:
     runs = found.withColumn("_run", F.sum(F.when(gap < 2 * LEAST_WORDS, 0).otherwise(1)).over(along))
     total = F.sum("words").over(Window.partitionBy("row", "_run"))
     found = durable(runs.withColumn("_total", total).where(F.col("_total") >= LEAST_PASSAGE).drop("_run", "_total"))
-    first = durable(found.groupBy("cluster").agg(F.min(F.struct("doc_id", "row", "start")).alias("first")))
-    return found.join(first, "cluster").withColumn(
-        "kept", F.struct("doc_id", "row", "start").eqNullSafe(F.col("first"))).drop("first")
+    first = durable(found.groupBy("cluster").agg(F.min(F.struct("doc_id", "row", "start", "word", "words")).alias("first")))
+    placed = found.join(first, "cluster").withColumn(
+        "kept", F.struct("doc_id", "row", "start").eqNullSafe(F.struct("first.doc_id", "first.row", "first.start")))
+    # Up to the next paragraph, if the places that are kept of both follow each other as well.
+    following = F.lead(F.struct("start", "word", "first")).over(along)
+    placed = placed.withColumn("_next", following)
+    between = F.col("_next.word") - F.col("word") - F.col("words")
+    there = F.col("_next.first.word") - F.col("first.word") - F.col("first.words")
+    covers = (F.col("_next.first.row") == F.col("first.row")) & (between < 2 * LEAST_WORDS) & there.between(0, 2 * LEAST_WORDS - 1)
+    return placed.withColumn("stop", F.when(covers, F.col("_next.start")).otherwise(F.col("stop"))).withColumn(
+        "words", F.when(covers, F.col("words") + between).otherwise(F.col("words"))).drop("_next", "first")
 
 
 def repeated_by_document(docs: DataFrame) -> DataFrame:

@@ -360,6 +360,36 @@ def test_pasted_passage_is_found_wherever_it_stands(spark):
     assert rest[0] == rows[0][1] and len(rest[3]) < len(rows[3][1]) - 100 and rest[11] == rows[7][1]
 
 
+def test_whole_inside_of_passages_by_plain_comparison(spark):
+    """Words of a text that are found run from one end of a pasted passage almost to the other."""
+    rng = np.random.default_rng(18)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    prose = lambda n: [word() for _ in range(n)]
+    rows, want = [], {}
+    for p in range(40):
+        passage = prose(60)
+        for copy in range(2):
+            i = 2 * p + copy
+            before, own = prose(40 + p), list(passage)
+            if copy and p >= 20:
+                own[30] = word()  # one word changed
+            rows.append((i, " ".join(before + own + prose(70 - p))))
+            want[i] = (len(" ".join(before)) + 1, len(" ".join(before + own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in paragraphs.repeated_by_document(docs).collect()}
+    assert set(got) == set(want)
+    covered = []
+    for i, (a, b) in want.items():
+        spans = got[i].spans
+        # A paragraph at either end may take in some words more and still be similar.
+        assert all(a - 50 <= s.start < s.stop <= b + 50 for s in spans)
+        assert all(x.stop == y.start for x, y in zip(spans, spans[1:]) if not 2 * 20 <= i)
+        covered.append(sum(len(rows[i][1][max(a, s.start):min(b, s.stop)].split()) for s in spans) / 60)
+        assert sum(s.words for s in spans) == sum(len(rows[i][1][s.start:s.stop].split()) for s in spans)
+    print("covered", np.mean(covered[:40]), np.mean(covered[40:]))
+    assert np.mean(covered[:40]) > 0.68 and np.mean(covered[40:]) > 0.6
+
+
 def test_wide_band_is_compared_in_tiles(monkeypatch):
     monkeypatch.setattr(paragraphs, "TILE", 7)
     import pyarrow as pa
