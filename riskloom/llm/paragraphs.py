@@ -1,7 +1,7 @@
 """Substring dedup by paragraph MinHash banding.
 
-A paragraph is a line, or a piece of a longer line: lines are cut before a word whose hash,
-taken with the next word's, is the smallest among ``REACH`` words to either side. Such cuts
+A paragraph is a line, or a piece of a longer line; short lines next to each other count as one.
+Lines are cut before a word whose hash, taken with the next word's, is the smallest among ``REACH`` words to either side. Such cuts
 depend on nothing further away, so a passage that is pasted into another text falls into the
 same paragraphs there, but for its ends. Paragraphs are described by minima of hashes of
 their five-word shingles; those that share a band of minima are joined and their shingle
@@ -34,7 +34,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: Words to either side among which a cut is the smallest; paragraphs of long lines have more
 #: words than this.
 REACH = 4
-#: Of a passage's paragraphs, fewer than twice as many words lie between one and the next.
+#: Lines with fewer words are joined with such lines next to them, and of a passage's paragraphs
+#: fewer than twice as many words lie between one and the next.
 LEAST_WORDS = 7
 #: Words that repeated paragraphs next to each other need to have in all to count as a passage.
 LEAST_PASSAGE = 12
@@ -115,6 +116,9 @@ class Cut:
         # Near a text's edge there are too few words to tell.
         cut[1:] &= text[1:] == text[:-1]
         opens_line = np.r_[True, line[1:] != line[:-1]]
+        lines = np.flatnonzero(opens_line)
+        short = np.diff(np.r_[lines, n]) < LEAST_WORDS
+        opens_line[lines[1:][short[1:] & short[:-1] & (text[lines[1:]] == text[lines[:-1]])]] = False
         first = np.flatnonzero(cut | opens_line)
         # What is too short for a shingle at a line's start or end goes with the piece next to it.
         few, leads = np.diff(np.r_[first, n]) < SHINGLE, opens_line[first]

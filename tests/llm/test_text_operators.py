@@ -390,6 +390,26 @@ def test_whole_inside_of_passages_by_plain_comparison(spark):
     assert np.mean(covered[:40]) > 0.68 and np.mean(covered[40:]) > 0.6
 
 
+def test_passage_in_short_lines_is_found(spark):
+    rng = np.random.default_rng(28)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    verse, mixed = "\n".join(prose(6) for _ in range(10)), "\n".join(prose(n) for n in (9, 2, 12, 3, 8))
+    rows = [(i, f"{prose(30)}\n{verse}\n{prose(25)}") for i in range(3)]
+    rows += [(3, f"{prose(4)}\n{prose(5)}\n{verse}\n{prose(3)}"), (4, verse)]
+    rows += [(10 + i, f"{prose(30)}\n{mixed}\n{prose(25)}") for i in range(2)]
+    couplets = "\n".join(prose(n) for n in (4, 3, 4, 2, 4, 3, 4, 4))
+    rows += [(30 + i, f"{prose(30)}\n{couplets}\n{prose(25)}") for i in range(2)]
+    rows += [(20 + i, f"{prose(30)}\nyours truly and so on\n{prose(25)}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in paragraphs.repeated_by_document(docs).collect()}
+    assert set(got) == {0, 1, 2, 3, 4, 10, 11, 30, 31} and got[31].removed_words == 28
+    assert all(got[i].removed_words == 60 for i in (1, 2, 4)) and got[3].removed_words >= 30
+    rest = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
+    assert rest[0] == rows[0][1] and rest[1] == rows[1][1].replace(verse, "") and rest[4] == ""
+    assert rest[11] == rows[6][1].replace(mixed, "") and rest[20] == rows[9][1]
+
+
 def test_wide_band_is_compared_in_tiles(monkeypatch):
     monkeypatch.setattr(paragraphs, "TILE", 7)
     import pyarrow as pa
