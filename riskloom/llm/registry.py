@@ -1,6 +1,6 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import bpe, chat, exact_dedup, language, licenses, packing, paragraphs, secrets, simhash, vectors
+from riskloom.llm import bpe, centroids, chat, exact_dedup, language, licenses, packing, paragraphs, secrets, simhash, vectors
 
 QUERIES = {
     "op1_paragraph_dedup": paragraphs.op1_paragraph_dedup,
@@ -13,9 +13,11 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_chat_windows": chat.op10_chat_windows,
+    "op11_centroid_clusters": centroids.op11_centroid_clusters,
 }
 
 ORACLES = {
     "op3_license_scan": licenses.OP3_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "op11_centroid_clusters": centroids.OP11_SQL,
 }
