@@ -1,6 +1,7 @@
 """The queries of this package and their SQL."""
 
-from riskloom.llm import bpe, centroids, chat, exact_dedup, language, licenses, packing, paragraphs, secrets, simhash, vectors
+from riskloom.llm import (
+    bpe, centroids, chat, exact_dedup, language, licenses, negatives, packing, paragraphs, secrets, simhash, vectors)
 
 QUERIES = {
     "op1_paragraph_dedup": paragraphs.op1_paragraph_dedup,
@@ -14,10 +15,12 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_chat_windows": chat.op10_chat_windows,
     "op11_centroid_clusters": centroids.op11_centroid_clusters,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
 }
 
 ORACLES = {
     "op3_license_scan": licenses.OP3_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
     "op11_centroid_clusters": centroids.OP11_SQL,
+    "op12_hard_negatives": negatives.OP12_SQL,
 }
