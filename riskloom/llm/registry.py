@@ -1,7 +1,7 @@
 """The queries of this package and their SQL."""
 
 from riskloom.llm import (
-    bpe, centroids, chat, exact_dedup, language, licenses, negatives, packing, paragraphs, secrets, simhash, vectors)
+    bpe, centroids, chat, exact_dedup, katz, language, licenses, negatives, packing, paragraphs, secrets, simhash, vectors)
 
 QUERIES = {
     "op1_paragraph_dedup": paragraphs.op1_paragraph_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_chat_windows": chat.op10_chat_windows,
     "op11_centroid_clusters": centroids.op11_centroid_clusters,
     "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_katz_scores": katz.op13_katz_scores,
 }
 
 ORACLES = {
