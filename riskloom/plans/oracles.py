@@ -577,6 +577,9 @@ _STATS = """select count(*) as total, count(*) filter (where decision = 'approve
 _oracle("decisions_stats", ["dc"], _STATS)
 _oracle("decisions_stats_window", ["dc"],
         _STATS + " where created_at >= timestamp '2024-01-30 12:00:00' - interval 60 minute")
+_oracle("rollup_stats", ["dc"], _STATS)
+_oracle("rollup_stats_window", ["dc"],
+        _STATS + " where created_at >= timestamp '2024-01-30 12:00:00' - interval 60 minute")
 _oracle("decisions_by_minute", ["dc"], """select strftime(created_at, '%Y-%m-%dT%H:%M') as minute,
   decision, count(*) as "count" from dc group by all""")
 _oracle("decisions_pivot", ["dc"], """select strftime(created_at, '%Y-%m-%dT%H:%M') as minute,
@@ -586,6 +589,9 @@ _oracle("decisions_pivot", ["dc"], """select strftime(created_at, '%Y-%m-%dT%H:%
 _oracle("kpi_cards", ["dc"], """select decision, count(*) as all_time, count(*) filter (
     where created_at >= timestamp '2024-01-30 12:00:00' - interval 1440 minute) as recent
   from dc group by decision""")
+for _name in ("by_minute", "pivot"):
+    ORACLES[f"rollup_{_name}"] = ORACLES[f"decisions_{_name}"]
+ORACLES["rollup_kpi_cards"] = ORACLES["kpi_cards"].replace("12:00:00", "12:00:31")
 _oracle("latest_decision", ["dc"], """select customer_id as transaction_id, id, created_at, decision
   from dc qualify row_number() over (partition by customer_id order by created_at desc, id desc) = 1
 """)
@@ -767,8 +773,9 @@ _oracle("anomaly_mean", ["sp"], """select count(*) as "rows", count(*) as inside
   from sp where split = 'test'""")
 _oracle("json_array_source", ["f"], """select transaction_id, txn_count_24h,
   case when cast(substr(transaction_id, 4, 10) as bigint) % 97 <> 0 then amount end as amount
-  from f where txn_count_24h >= 3""")
+  from f""")
 _BASE["sdt"] = "select sd.*, timestamp from sd join (select transaction_id, timestamp from t) using (transaction_id)"
 _NEEDS["sdt"] = ["sd"]
+ORACLES["stream_velocity"] = ORACLES["feat_velocity"]
 _oracle("stream_minute_counts", ["sdt"], """select strftime(timestamp, '%Y-%m-%dT%H:%M') as minute, decision,
   count(*) as "count" from sdt group by all""")

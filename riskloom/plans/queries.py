@@ -25,7 +25,7 @@ from riskloom.plans.workspace import (
 )
 from riskloom.session import durable, new_shared_path
 from riskloom.sources import sinks, tables
-from riskloom.streaming import scoring
+from riskloom.streaming import rollup, scoring, velocity
 
 AS_OF = "2024-01-30 12:00:00"
 SCALED = ["amount", "amount_vs_customer_p95", "device_age_days", "merchant_fraud_rate_hist"]
@@ -815,28 +815,62 @@ def anomaly_mean(w):
 
 @query
 def json_array_source(w):
-    """All feature rows written as documents of one JSON array each; of what is read back, busy customers."""
+    """All feature rows written as documents of one JSON array each, and read back."""
     path = new_shared_path(w.spark, "array")
     rows = w.wire_rows().select("transaction_id", "amount", "txn_count_24h")
     sinks.write_json_arrays(rows, path, "transaction_id")
-    return w.spark.read.schema(rows.schema).option("multiLine", True).json(path).where("txn_count_24h >= 3")
+    return w.spark.read.schema(rows.schema).option("multiLine", True).json(path)
 
 
 @query
 def stream_minute_counts(w):
-    """Decisions per minute and outcome, counted by a stream over the streamed log."""
+    """Decisions per minute and outcome over the streamed log, which comes in the order of time.
+    The state holds the last minutes only; each start of the stream goes on from its checkpoint."""
     log, _ = w.stream_paths
-    rows = w.spark.readStream.schema(w.spark.read.parquet(log).schema).parquet(log).withColumn(
-        "created_at", F.col("feature_row.timestamp").cast("timestamp"))
+    rows = w.spark.read.parquet(log).select(
+        "decision", F.col("feature_row.timestamp").cast("timestamp").alias("created_at"))
     out, checkpoint = (new_shared_path(w.spark, n) for n in ("minutes", "stream"))
-    counts = scoring.minute_counts(rows, late="3650 days")
+    w.drained(rows, "created_at", lambda stream: velocity.drain(
+        rollup.minute_counts(stream), rollup.upsert_counts(out), checkpoint, mode="update"))
+    return rollup.read_counts(w.spark, out)
 
-    def keep(batch, number):
-        batch.write.mode("overwrite").parquet(out)
 
-    counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(
-        availableNow=True).foreachBatch(keep).start().awaitTermination()
-    return w.spark.read.parquet(out)
+@query
+def stream_velocity(w):
+    """Trailing counts from keyed state on a stream of transactions, across restarts."""
+    rows = w.transactions().select("transaction_id", "customer_id", "timestamp")
+    out, checkpoint = (new_shared_path(w.spark, n) for n in ("velocity", "stream"))
+    w.drained(rows, "timestamp", lambda stream: velocity.drain(
+        velocity.velocity_counts(stream), lambda part, n: sinks.append_batch(part, out, "velocity", n), checkpoint))
+    return w.spark.read.parquet(out).select("transaction_id", "txn_count_1h", "txn_count_24h")
+
+
+@query
+def rollup_stats(w):
+    """Monitoring totals read from the batches' summaries instead of the log."""
+    return rollup.stats(rollup.read_summary(w.spark, w.summary_path))
+
+
+@query
+def rollup_stats_window(w):
+    parts = rollup.read_summary(w.spark, w.summary_path)
+    return rollup.stats(rollup.since(parts, w.decisions, AS_OF, 60))
+
+
+@query
+def rollup_by_minute(w):
+    return rollup.by_minute(rollup.read_summary(w.spark, w.summary_path))
+
+
+@query
+def rollup_pivot(w):
+    return rollup.by_minute_wide(rollup.read_summary(w.spark, w.summary_path))
+
+
+@query
+def rollup_kpi_cards(w):
+    """The time limit lies inside a minute."""
+    return rollup.kpi_cards(rollup.read_summary(w.spark, w.summary_path), w.decisions, "2024-01-30 12:00:31")
 
 
 @query

@@ -17,7 +17,7 @@ from riskloom.session import durable, new_shared_path
 from riskloom.sources.canonical import Tables
 from riskloom.sources.sinks import publish_files
 from riskloom.sources.tables import read_file_stream
-from riskloom.streaming import scoring
+from riskloom.streaming import rollup, scoring
 
 # Parameters of the demonstration policy and linear model used on the given tables.
 T_REVIEW, T_BLOCK = 0.30, 0.70
@@ -180,6 +180,32 @@ class Workspace(Tables):
         query.awaitTermination()
         return log, rejected
 
+    @cached_property
+    def summary_path(self) -> str:
+        """Counts of the decision log, written batch by batch; one batch is written twice."""
+        path = new_shared_path(self.spark, "summary")
+        batch = F.pmod(F.col("id"), F.lit(5))
+        for number in [0, 1, 2, 3, 4, 2]:
+            rollup.write_summary(self.decisions.where(batch == number), path, "demo", number)
+        return path
+
+    def in_slices(self, rows: DataFrame, column: str, slices: int):
+        """``rows`` in ``slices`` consecutive spans of time, one after the other."""
+        us = F.unix_micros(F.col(column).cast("timestamp"))
+        shares = [i / slices for i in range(1, slices)]
+        cuts = rows.agg(F.percentile_approx(us, shares).alias("cuts")).first()["cuts"] or []
+        edges = [None, *cuts, None]
+        for low, high in zip(edges, edges[1:]):
+            inside = F.lit(True) if low is None else us >= low
+            yield rows.where(inside if high is None else inside & (us < high))
+
+    def drained(self, rows: DataFrame, column: str, run, slices: int = 4) -> None:
+        """A folder that grows by one span of time after the other; ``run`` gets it as a stream each time."""
+        folder = new_shared_path(self.spark, "feed")
+        for part in self.in_slices(durable(rows), column, slices):
+            part.write.mode("append").parquet(folder)
+            run(self.spark.readStream.schema(rows.schema).parquet(folder))
+
     @cached_property
     def training_run(self) -> training.TrainingRun:
         """The baseline candidate, trained and calibrated on the feature table."""

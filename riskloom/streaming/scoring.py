@@ -13,6 +13,7 @@ from riskloom import schemas as S
 from riskloom.operators.decisions import decision_records
 from riskloom.sources.sinks import append_batch
 from riskloom.sources.tables import parse_feature_rows
+from riskloom.streaming.rollup import write_summary
 
 def is_valid() -> Column:
     """Whether a parsed row can be scored: every field present, the instant readable, flags 0/1."""
@@ -90,9 +91,11 @@ def score_batch(rows: DataFrame, scorer: Callable[[DataFrame], DataFrame], t_rev
 
 def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame], t_review: float,
                  t_block: float, model_run_id: str, log_path: str, rejected_path: str,
-                 checkpoint_path: str) -> StreamingQuery:
+                 checkpoint_path: str, summary_path: str | None = None) -> StreamingQuery:
     """Drain what the source holds, append decisions to the log, stop.
 
+    With ``summary_path`` every batch also leaves its counts per minute and outcome there.
+
     A row that cannot be scored goes to ``rejected_path`` and does not stop the batch. Any
     other error fails the batch, which the next start repeats from the checkpoint; each
     batch writes its own partition, so a repeated batch replaces its earlier rows. A log has
@@ -106,6 +109,10 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
         try:
             records, rejected = score_batch(rows, scorer, t_review, t_block, model_run_id, first_id)
             append_batch(records, log_path, stream, batch_id)
+            if summary_path:
+                # Read off what was just written, so that both say the same.
+                write_summary(spark.read.parquet(f"{log_path}/stream={stream}/batch_id={batch_id}"),
+                              summary_path, stream, batch_id)
             append_batch(rejected, rejected_path, stream, batch_id)
         finally:
             rows.unpersist()
@@ -124,16 +131,3 @@ def batch_counts(log: DataFrame, rejected: DataFrame) -> DataFrame:
     scored = log.groupBy(*batch).agg(F.count("*").alias("scored"))
     skipped = rejected.groupBy(*batch).agg(F.count("*").alias("skipped"))
     return scored.join(skipped, batch, "full_outer").fillna(0, ["scored", "skipped"])
-
-
-def minute_counts(decisions: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """The monitoring count per minute and outcome, kept up to date on a stream.
-
-    State holds only minutes younger than the watermark.
-    """
-    minute = F.window("created_at", "1 minute")
-    return (
-        decisions.withWatermark("created_at", late)
-        .groupBy(minute.alias("w"), "decision").agg(F.count("*").alias("count"))
-        .select(F.date_format("w.start", "yyyy-MM-dd'T'HH:mm").alias("minute"), "decision", "count")
-    )
