@@ -13,7 +13,7 @@ counts of counts of their order; where those do not lie between 0 and 1, as in t
 absolute discount takes their place. A history without any discounted count gives one part in
 c(h) + 1 away. A text starts after a begin mark and ends with an end token.
 
-How it runs. Texts are tokenised once into chunks of some million tokens, stored as numbers. For
+How it runs. Texts are tokenised once into chunks of a million tokens, stored as numbers. For
 each order, every chunk sends its distinct n-grams with their counts, and with the probability of
 their last word one order lower, to buckets of the history (a frequent history has as many
 buckets as its count asks for). A bucket adds up counts and returns to every chunk the counts of just the
@@ -42,7 +42,7 @@ from riskloom.session import durable
 
 ORDER = 2
 LARGEST_DISCOUNTED = 5
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 #: Distinct n-grams of all chunks that a bucket takes, more or less.
 BUCKET_TOKENS = 1_500_000
 #: A history of so many tokens may be split over buckets.
