@@ -1,14 +1,18 @@
-"""Per-row attribution of a linear model and its global summary.
+"""Per-row attribution of linear and tree models and its global summary.
 
 For a linear model the contribution of a feature, in log-odds, is
-coefficient x (value - background mean), so the whole table is one projection.
+coefficient x (value - background mean), so the whole table is one projection. Tree models
+are explained along their paths (``trees``).
 """
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators import model, trees
+
 
 def with_contributions(matrix: DataFrame, coefficients: dict[str, float],
                        background: DataFrame) -> DataFrame:
@@ -25,6 +29,14 @@ def with_contributions(matrix: DataFrame, coefficients: dict[str, float],
     return matrix.select(*matrix.columns, F.array(*parts).alias("contributions"))
 
 
+def explained(classifier: PipelineModel, rows: DataFrame, inputs: list[str],
+              background: DataFrame) -> DataFrame:
+    """Add the contributions of any trained classifier; only linear ones use ``background``."""
+    if model.is_linear(classifier):
+        return with_contributions(rows, model.linear_coefficients(classifier, inputs), background)
+    return trees.with_tree_contributions(rows, model.tree_ensemble(classifier, inputs))
+
+
 def top_features(contributions: str | Column = "contributions", k: int = 5) -> Column:
     """The ``k`` entries of largest magnitude, largest first; ties keep feature order."""
     items = F.col(contributions) if isinstance(contributions, str) else contributions

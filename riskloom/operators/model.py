@@ -15,12 +15,12 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import sigmoid
-from riskloom.operators import metrics
+from riskloom.operators import metrics, trees
+from riskloom.operators.calibration import IsotonicMap
 
 LABEL = "fraud_label"
 # Training settings.
@@ -117,46 +117,36 @@ class CalibratedModel:
     """A frozen classifier and the monotone map from its raw score to a probability."""
 
     classifier: PipelineModel
-    calibrator: IsotonicRegressionModel
+    calibrator: IsotonicMap
 
     def score(self, matrix: DataFrame, output: str = "model_score") -> DataFrame:
         raw = self.classifier.transform(matrix).select(
             *matrix.columns, _raw_score(self.classifier).alias("__raw"))
-        return self.calibrator.transform(raw).select(
+        return self.calibrator.apply(raw, "__raw", "__calibrated").select(
             *matrix.columns, F.col("__calibrated").alias(output))
 
     def save(self, path: str) -> None:
         self.classifier.write().overwrite().save(f"{path}/classifier")
-        self.calibrator.write().overwrite().save(f"{path}/calibrator")
+        self.calibrator.save(SparkSession.getActiveSession(), f"{path}/calibrator")
 
     @staticmethod
     def load(path: str) -> "CalibratedModel":
         return CalibratedModel(PipelineModel.load(f"{path}/classifier"),
-                               IsotonicRegressionModel.load(f"{path}/calibrator"))
+                               IsotonicMap.load(SparkSession.getActiveSession(), f"{path}/calibrator"))
 
 
 def calibrate(classifier: PipelineModel, validation: DataFrame) -> CalibratedModel:
-    """Isotonic calibration on validation rows only.
-
-    Rows with equal raw scores are merged into one weighted point first; that leaves the
-    fit unchanged and shrinks what it has to order.
-    """
-    raw = classifier.transform(validation).select(
-        _raw_score(classifier).alias("__raw"), F.col(LABEL).cast("double").alias("y"))
-    points = raw.groupBy("__raw").agg(
-        F.avg("y").alias("y"), F.count("*").cast("double").alias("w"))
-    fitted = IsotonicRegression(featuresCol="__raw", labelCol="y", weightCol="w",
-                                predictionCol="__calibrated").fit(points)
-    return CalibratedModel(classifier, fitted)
+    """Isotonic calibration on validation rows only."""
+    raw = classifier.transform(validation).select(_raw_score(classifier).alias("__raw"), LABEL)
+    return CalibratedModel(classifier, IsotonicMap.fit(raw, "__raw", LABEL))
 
 
 def linear_coefficients(model: PipelineModel, inputs: list[str]) -> dict[str, float]:
     return dict(zip(inputs, model.stages[-1].coefficients.toArray().tolist()))
 
 
-def tree_importances(model: PipelineModel, inputs: list[str]) -> dict[str, float]:
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    return dict(sorted(zip(inputs, values), key=lambda kv: -kv[1]))
+def tree_ensemble(model: PipelineModel, inputs: list[str]) -> trees.TreeEnsemble:
+    return trees.from_spark(model, inputs)
 
 
 def linear_score(coefficients: dict[str, float], intercept: float) -> Column:

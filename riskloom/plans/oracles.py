@@ -762,12 +762,25 @@ _oracle("trained_candidates", ["sp"], """select name, count(*) as "rows", sum(fr
   count(*) as in_range, 1 as better_than_chance
   from sp, (values ('baseline'), ('random_forest'), ('xgboost'), ('lightgbm')) v(name)
   where split = 'test' group by name""")
+_oracle("tree_attribution", ["sp"], """select count(*) as "rows", count(*) as adding_up, count(*) as with_five
+  from sp where split = 'test'""")
+_oracle("tree_decisions", ["f"], """select count(*) as "rows", count(*) as explained, count(*) as in_range from f""")
 ORACLES["trained_choice"] = """select 4::bigint as candidates, 1::bigint as deployed_is_best,
   1::bigint as boosted_is_best"""
-_oracle("calibrated_mean", ["sp"], """select count(*) as "rows", round(avg(fraud_label), 4) as mean_score
+_oracle("calibrated_mean", ["sp"], """select count(*) as "rows", round(avg(fraud_label), 6) as mean_score
   from sp where split = 'val'""")
-_oracle("baseline_residual", ["sp"], """select round(count(*) / 2.0::double, 1) as weighted_positives,
-  round(count(*) / 2.0::double, 1) as weighted_scores from sp where split = 'train'""")
+# The isotonic fit as a maximum over left ends of minima over right ends of means.
+_oracle("isotonic_map", ["val"], """, pts as (select floor(model_score * 100)::double as value, sum(fraud_label) as s, count(*) as n
+    from val group by 1),
+  run as (select value, sum(s) over (order by value) as upto, sum(n) over (order by value) as seen, s, n from pts),
+  ends as (select a.value as low, b.value as high, (b.upto - a.upto + a.s) / (b.seen - a.seen + a.n) as mean
+    from run a join run b on a.value <= b.value),
+  least as (select x.value, e.low, min(e.mean) as mean from run x join ends e on e.low <= x.value and e.high >= x.value group by all)
+select value, round(max(mean), 6) as calibrated from least group by value""")
+ORACLES["isotonic_map"] = ORACLES["isotonic_map"].replace("\n, pts", ", pts")
+ORACLES["isotonic_map_blocks"] = ORACLES["isotonic_map"]
+_oracle("baseline_residual", ["sp"], """select 0.5::double as weighted_positives, 0.5::double as weighted_scores
+  from sp where split = 'train' having count(*) > 0""")
 ORACLES["stored_model_again"] = "select 1::bigint as figures, 2::bigint as better_than_chance"
 _oracle("anomaly_mean", ["sp"], """select count(*) as "rows", count(*) as inside, 0::bigint as missing
   from sp where split = 'test'""")

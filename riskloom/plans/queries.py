@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +17,8 @@ from riskloom import schemas as S
 from riskloom.functions import rules
 from riskloom.functions.scalar import utc_text
 from riskloom.operators import (
-    anomaly, attribution, decisions, drift, eda, features, metrics, model, ordered, policy,
-    quality, registry, risk, splits,
+    anomaly, attribution, calibration, decisions, drift, eda, features, metrics, model, ordered, policy,
+    quality, registry, risk, splits, trees,
 )
 from riskloom.plans import training
 from riskloom.plans.workspace import (
@@ -740,6 +741,33 @@ def boosted_second_scores(w):
     return _test_scores(w, "lightgbm")
 
 
+@query
+def tree_attribution(w):
+    """Boosted trees explained over the test split: how many rows have contributions that add up
+    with the base value to the raw prediction, and how many have five of them on top."""
+    run = w.full_run
+    fitted, rows = run.classifier("xgboost"), run.part("test")
+    ensemble = model.tree_ensemble(fitted, run.inputs)
+    scored = fitted.transform(rows).select("transaction_id", *run.inputs, vector_to_array("rawPrediction")[1].alias("raw"))
+    told = trees.with_tree_contributions(scored, ensemble)
+    total = F.aggregate("contributions", F.lit(ensemble.expected()), lambda a, c: a + c["value"])
+    return told.agg(
+        F.count("*").alias("rows"), F.count_if(F.abs(total - F.col("raw")) < 1e-8).alias("adding_up"),
+        F.count_if(F.size(attribution.top_features(k=5)) == 5).alias("with_five"))
+
+
+@query
+def tree_decisions(w):
+    """Decision records of a deployed boosted model: all of them carry their five reasons."""
+    run = w.full_run
+    stored = model.calibrate(run.classifier("xgboost"), run.part("val"))
+    scored = training.model_scorer(stored, run.inputs, run.background)(w.features)
+    records = decisions.decision_records(scored, T_REVIEW, T_BLOCK, "run-trees", top_features=F.col("shap_top_features"))
+    return records.agg(
+        F.count("*").alias("rows"), F.count_if(F.size("shap_top_features") == 5).alias("explained"),
+        F.count_if(F.col("model_score").between(0, 1)).alias("in_range"))
+
+
 @query
 def trained_candidates(w):
     """What must hold of every trained candidate on the test split, from its scores."""
@@ -775,7 +803,31 @@ def calibrated_mean(w):
         F.count("*").alias("rows"), F.avg("model_score").alias("mean_score"))
 
 
-query(calibrated_mean, digits=4)
+query(calibrated_mean)
+
+
+def _score_points(w) -> DataFrame:
+    """Scores in steps of a hundredth, so that they recur, and what came of the transactions."""
+    return w.labelled_scores("val").select(
+        F.floor(F.col("model_score") * 100).cast("double").alias("value"), F.col("fraud_label").alias("label"))
+
+
+def _calibrated_points(w, **limits) -> DataFrame:
+    points = _score_points(w)
+    fitted = calibration.IsotonicMap.fit(points, **limits)
+    return fitted.apply(points.where("value is not null").select("value").distinct(), "value", "calibrated")
+
+
+@query
+def isotonic_map(w):
+    """The isotonic fit of the label on the score, at every score there is."""
+    return _calibrated_points(w)
+
+
+@query
+def isotonic_map_blocks(w):
+    """The same through ranges of a few points that are pooled and merged in rounds."""
+    return _calibrated_points(w, range_rows=6)
 
 
 def baseline_residual(w):
@@ -783,12 +835,13 @@ def baseline_residual(w):
     run = w.training_run
     scored = model.with_probability(run.classifier("baseline"), run.part("train"))
     weighted = model._weighted(scored, balanced=True)
+    # Balanced weights add up to the number of rows, and so each class to half of it.
     return weighted.agg(
-        F.sum(F.col("__weight") * F.col("fraud_label")).alias("weighted_positives"),
-        F.sum(F.col("__weight") * F.col("model_score")).alias("weighted_scores"))
+        (F.sum(F.col("__weight") * F.col("fraud_label")) / F.count("*")).alias("weighted_positives"),
+        (F.sum(F.col("__weight") * F.col("model_score")) / F.count("*")).alias("weighted_scores"))
 
 
-query(baseline_residual, digits=1)
+query(baseline_residual)
 
 
 @query

@@ -118,15 +118,9 @@ def inputs_of(matrix: DataFrame) -> list[str]:
 
 def importances(classifier: PipelineModel, explained: DataFrame, background: DataFrame,
                 inputs: list[str]) -> DataFrame:
-    """Mean absolute attribution of a linear model, or the importances of a tree model."""
-    if model.is_linear(classifier):
-        rows = attribution.with_contributions(
-            explained, model.linear_coefficients(classifier, inputs), background)
-        return attribution.global_importance(rows)
-    spark = explained.sparkSession
-    return spark.createDataFrame(
-        list(model.tree_importances(classifier, inputs).items()),
-        "feature string, mean_abs_contribution double")
+    """Mean absolute attribution of each input."""
+    return attribution.global_importance(
+        attribution.explained(classifier, explained, inputs, background))
 
 
 def run(matrix: DataFrame, candidates: list[str] = model.CANDIDATES,
@@ -161,16 +155,14 @@ def model_scorer(stored: model.CalibratedModel, inputs: list[str],
                  background: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
     """A scorer for batches and streams: feature rows in, ``model_score`` added.
 
-    With a background and a linear model it also adds the five largest contributions as
-    ``shap_top_features``.
+    With a background it also adds the five largest contributions as ``shap_top_features``.
     """
     def score(rows: DataFrame) -> DataFrame:
         encoded = rows.select("*", *splits.one_hot())
         scored = stored.score(encoded)
-        if background is None or not model.is_linear(stored.classifier):
+        if background is None:
             return scored.select(*rows.columns, "model_score")
-        weights = model.linear_coefficients(stored.classifier, inputs)
-        explained = attribution.with_contributions(scored, weights, background)
+        explained = attribution.explained(stored.classifier, scored, inputs, background)
         top = attribution.as_map(attribution.top_features(k=5))
         return explained.select(*rows.columns, "model_score", top.alias("shap_top_features"))
 
