@@ -65,7 +65,7 @@ def pack(values: np.ndarray) -> bytes:
     if values.dtype.kind in "iu" and (not len(values) or values.min() >= 0):
         values = values.astype(np.min_scalar_type(int(values.max(initial=0))))
     planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
-    return values.dtype.str.encode().ljust(4) + zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return values.dtype.str.encode().ljust(4) + zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(data: bytes) -> np.ndarray:
@@ -204,10 +204,9 @@ def _chunked(batches: Iterator[pa.RecordBatch], chunk_tokens: int) -> Iterator[p
 
 # Order one: words
 
-def _word_buckets(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each word, and the words in the order of their buckets."""
-    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-    return bucket, np.argsort(bucket, kind="stable")
+def _word_buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each word: ranges of the hash, so that words sorted by hash lie in the order of buckets."""
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 def _sent(chunk: int, bucket: np.ndarray, cut, names=("bucket", "chunk", "data")) -> dict:
@@ -222,8 +221,7 @@ def _send_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.
     for batch in batches:
         for chunk, words in zip(batch.column(0).to_pylist(), batch.column(1)):
             hashes, counts = unbundle(words.as_py())
-            bucket, order = _word_buckets(hashes, buckets)
-            rows = _sent(chunk, bucket[order], lambda s: bundle(hashes[order[s]], counts[order[s]]))
+            rows = _sent(chunk, _word_buckets(hashes, buckets), lambda s: bundle(hashes[s], counts[s]))
             yield pa.RecordBatch.from_pydict(rows, schema=_arrow(_SENT))
 
 
@@ -251,10 +249,10 @@ def _count_words(rows: pa.Table) -> pa.Table:
     hashes, place = np.unique(np.concatenate([h for h, _ in sent]), return_inverse=True)
     counts = np.bincount(place, np.concatenate([c for _, c in sent]), len(hashes)).astype(np.int64)
     own = np.split(place, np.cumsum(sizes)[:-1])
+    bucket = rows["bucket"][0].as_py()
     # Words never seen in training get no number.
-    number = np.cumsum(counts > 0)
-    return _returned(rows["bucket"][0].as_py(), rows["chunk"].to_pylist(),
-                     [bundle(counts[p], np.where(counts[p] > 0, number[p], 0)) for p in own], counts)
+    number = np.where(counts > 0, (bucket << 40) | np.cumsum(counts > 0), 0)
+    return _returned(bucket, rows["chunk"].to_pylist(), [bundle(counts[p], number[p]) for p in own], counts)
 
 
 # Higher orders
@@ -346,20 +344,16 @@ class _State:
         codes, self.sizes, self.held = codes.astype(np.int64), self.sizes.astype(np.int64), held.astype(bool)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.train = ~np.repeat(self.held, self.sizes)
-        hashes = unbundle(own["words"])[0]
         by_order: dict[int, list[tuple[int, bytes]]] = {}
         for order, bucket, data in zip(*(answers[c].to_pylist() for c in ("gram", "bucket", "data"))):
             by_order.setdefault(order, []).append((bucket, data))
         data = {order: [d for _, d in sorted(found, key=lambda x: x[0])] for order, found in by_order.items()}
 
-        bucket, order = _word_buckets(hashes, buckets)
-        answer = [unbundle(d) for d in data[1]]
-        count, number = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-        count[order] = np.concatenate([a[0] for a in answer])
-        number[order] = np.concatenate([a[1] for a in answer])
-        number = np.where(count > 0, (bucket << 40) | number, _UNKNOWN)
+        # Words are in the order of their buckets.
+        count, number = (np.concatenate(a).astype(np.int64) for a in zip(*map(unbundle, data[1])))
+        number = np.where(count > 0, number, _UNKNOWN)
         # Unknown words are one class.
-        self.word = np.where(count > 0, np.arange(len(hashes)), len(hashes))[codes]
+        self.word = np.where(count > 0, np.arange(len(count)), len(count))[codes]
         self.number, self.count = number[codes], count[codes]
         first = orders[0]
         self.p = np.where(count > 0, first.discounted(count) / first.total, first.unknown)[codes]
@@ -463,7 +457,7 @@ def katz_scores(docs: DataFrame, text: str = "text", key: str = "doc_id", held_o
 
 def _with_answers(chunks: DataFrame, answers: DataFrame):
     found = answers.where("chunk >= 0").select("chunk", "gram", "bucket", "data")
-    return chunks.select("chunk", "ids", "words", "body").groupBy("chunk").cogroup(found.groupBy("chunk"))
+    return chunks.select("chunk", "ids", "body").groupBy("chunk").cogroup(found.groupBy("chunk"))
 
 
 def _answers(sent: DataFrame, count, level: int) -> tuple[DataFrame, list[Order]]:
