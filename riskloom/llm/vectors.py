@@ -76,6 +76,9 @@ class Hashing:
 
 def _unit(column: pa.Array) -> np.ndarray:
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    # The largest component goes to between 1/2 and 1 first, by a power of two, which loses
+    # nothing: squares of very large or very small components would leave the range of doubles.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
