@@ -184,9 +184,11 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def train(texts: list[bytes], labels: list[str], rounds: int = 400, rows: int = 256, rate: float = 0.02,
           seed: int = 0, size: int = TRAIN_BYTES) -> Network | None:
-    """Fit a network by Adam on pieces of ``size`` bytes; None where there is no text."""
+    """Fit a network by Adam on pieces of ``size`` bytes; None where there is no text. A language
+    that has shorter texts only is learned from these, repeated up to that size."""
     usable = [(t[:size], y) for t, y in zip(texts, labels) if len(t) >= size]
-    usable = usable or [((t * size)[:size], y) for t, y in zip(texts, labels) if t]
+    long = {y for _, y in usable}
+    usable += [((t * -(-size // len(t)))[:size], y) for t, y in zip(texts, labels) if t and y not in long]
     if not usable:
         return None
     languages = sorted({y for _, y in usable})
@@ -322,7 +324,15 @@ LEAST_SCORE = 0.3
 
 
 def stage(spark, docs, sf_dir):
-    """Pipeline stage: documents without a language go, the others stay as they were."""
+    """Pipeline stage: documents without a language go, the others stay as they were.
+
+    Null and empty texts and texts without a letter go; rows that repeat stay or go together;
+    an empty table gives an empty result; all columns come back, whatever their names. Where no labelled text
+    teaches a language, none can be told from another and every document stays.
+    """
+    net = fit(docs)
+    if net is None:
+        return docs
     rows = docs.select(F.struct(*docs.columns).alias("all_columns"), F.col("text").alias("whole_text"))
-    found = identify(rows, fit(docs), text="whole_text")
+    found = identify(rows, net, text="whole_text")
     return found.where((F.col("lang_pred") != UNDEFINED) & (F.col("score") >= LEAST_SCORE)).select("all_columns.*")
