@@ -74,6 +74,7 @@ GRAM = 3
 SLACK = 4
 #: Share of a template's runs that a copy must have, and its length as a multiple of the template's.
 COVERAGE, STRETCH = 0.8, 1.5
+_SCALE = 1_000_000
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -112,7 +113,8 @@ def votes(docs: DataFrame) -> DataFrame:
 def spans(found: DataFrame) -> DataFrame:
     """Accepted copies: ``doc_id, text_hash, template, label, base, first, last, coverage``, where
     ``first`` and ``last`` number the words of the text from 0. A base phrase must be there
-    word for word on one diagonal; other templates may be changed."""
+    word for word on one diagonal; other templates may be changed. Of copies that overlap or lie
+    close to each other, one is returned."""
     base = found.where("base").groupBy("doc_id", "text_hash", "template", "label", "base", "runs", "diagonal").agg(
         F.count("*").alias("n")).where("n = runs").select(
         "doc_id", "text_hash", "template", "label", "base", F.col("diagonal").alias("first"),
@@ -121,11 +123,23 @@ def spans(found: DataFrame) -> DataFrame:
     gap = F.col("diagonal") - F.lag("diagonal").over(along)
     merged = found.where("not base").withColumn("_new", F.when(gap > SLACK, 1).otherwise(0)).withColumn(
         "copy", F.sum("_new").over(along))
-    other = merged.groupBy("doc_id", "text_hash", "template", "label", "base", "runs", "copy").agg(
-        F.count_distinct("at").alias("n"), F.min("place").alias("first"), (F.max("place") + GRAM - 1).alias("last"),
-    ).withColumn("coverage", F.col("n") / F.col("runs")).where(
-        (F.col("coverage") >= COVERAGE)
-        & (F.col("last") - F.col("first") + 1 <= (F.col("runs") + GRAM - 1) * F.lit(STRETCH)))
+    group = ["doc_id", "text_hash", "template", "label", "base", "runs", "copy"]
+    # Runs of a copy may start so many places after its first one.
+    reach = F.floor((F.col("runs") + GRAM - 1) * F.lit(STRETCH)) - GRAM
+    whole = merged.groupBy(*group).agg(
+        F.count_distinct("at").alias("n"), F.min("place").alias("first"), F.max("place").alias("final"))
+    whole = whole.where(F.col("n") >= COVERAGE * F.col("runs"))
+    short = F.col("final") - F.col("first") <= reach
+    # Stray runs, say of a phrase that goes on and on, can chain many diagonals to one long group.
+    # The copy in it is verified by itself: the stretch of text with the most runs.
+    long = merged.join(whole.where(~short).select(*group), group, "left_semi").withColumn(
+        "_scaled", F.floor(F.col("place").cast("bigint") * _SCALE / reach))
+    ahead = Window.partitionBy("doc_id", "text_hash", "template", "copy").orderBy("_scaled").rangeBetween(0, _SCALE)
+    best = long.withColumn("n", F.size(F.collect_set("at").over(ahead))).groupBy(*group).agg(
+        F.max("n").alias("n"), F.max_by("place", F.struct("n", -F.col("place"))).alias("first"))
+    best = best.where(F.col("n") >= COVERAGE * F.col("runs")).withColumn("final", F.col("first") + reach)
+    other = whole.where(short).unionByName(best).withColumn("last", F.col("final") + GRAM - 1).withColumn(
+        "coverage", F.col("n") / F.col("runs"))
     return base.unionByName(other.select(*base.columns))
 
 
@@ -135,7 +149,8 @@ def scan(docs: DataFrame) -> DataFrame:
     Returns ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``:
     all places of base phrases, the first words of the first and last of them (null without
     any), their labels, those of all accepted copies too, and the best coverage, 0 without
-    a finding and 1 with a base phrase. Null and empty texts have no words. Rows that repeat
+    a finding and 1 with a base phrase. Null and empty texts have no words; a text of any
+    length is read whole. Labels tie with nothing: all are named, in alphabetical order. Rows that repeat
     both identifier and text have the same finding each. An empty table gives an empty
     result; other columns are ignored.
     """
@@ -180,12 +195,21 @@ base_spans AS (
   GROUP BY line, template, label, runs, diagonal HAVING count(*) = runs),
 gaps AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY line, template ORDER BY diagonal) AS gap FROM votes WHERE NOT base),
 copies AS (SELECT *, sum(CASE WHEN gap > {SLACK} THEN 1 ELSE 0 END) OVER (
-             PARTITION BY line, template ORDER BY diagonal) AS piece FROM gaps),
+             PARTITION BY line, template ORDER BY diagonal) AS piece,
+             floor((runs + {GRAM - 1}) * {STRETCH})::bigint - {GRAM} AS reach FROM gaps),
+whole AS (
+  SELECT line, template, label, runs, piece, min(place) AS first, max(place) - min(place) <= any_value(reach) AS short,
+         count(DISTINCT spot) AS n FROM copies
+  GROUP BY line, template, label, runs, piece HAVING count(DISTINCT spot) >= {COVERAGE} * runs),
+ahead AS (
+  SELECT c.*, count(DISTINCT spot) OVER (PARTITION BY c.line, c.template, c.piece ORDER BY c.place * {_SCALE} // reach
+             RANGE BETWEEN CURRENT ROW AND {_SCALE} FOLLOWING) AS n
+  FROM copies c SEMI JOIN (SELECT * FROM whole WHERE NOT short) w USING (line, template, piece)),
 other_spans AS (
-  SELECT line, label, false AS base, min(place) AS first, count(DISTINCT spot) / runs::double AS coverage FROM copies
-  GROUP BY line, template, label, runs, piece
-  HAVING count(DISTINCT spot) / runs::double >= {COVERAGE}
-     AND max(place) + {GRAM} - min(place) <= (runs + {GRAM - 1}) * {STRETCH}),
+  SELECT line, label, false AS base, first, n / runs::double AS coverage FROM whole WHERE short
+  UNION ALL
+  SELECT line, label, false, min(place), max(n) / runs::double FROM ahead
+  GROUP BY line, template, label, runs, piece HAVING max(n) >= {COVERAGE} * runs),
 spans AS (SELECT * FROM base_spans UNION ALL SELECT * FROM other_spans),
 found AS (
   SELECT line, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
