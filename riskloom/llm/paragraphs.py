@@ -341,17 +341,18 @@ def repeated_by_document(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with all but the kept place of each repeated paragraph cut out of ``text``."""
-    cuts = repeated(docs).where("not kept").groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("_cuts"))
-    text = F.col("text")
-    rest = F.aggregate(
-        "_cuts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, c: F.struct(c["stop"].alias("at"), F.concat(a["out"], F.substr(text, a["at"] + 1, c["start"] - a["at"])).alias("out")),
-        lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    joined = docs.withColumn("_text_hash", F.xxhash64("text")).join(
-        cuts, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")), "left")
-    return joined.select(*[F.when(F.col("_cuts").isNull(), text).otherwise(rest).alias(c) if c == "text" else F.col(c)
-                           for c in docs.columns])
+    cuts = repeated(docs).where("not kept").groupBy(F.col("doc_id").alias("its_id"), F.col("text_hash").alias("its_hash")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("cuts"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    joined = rows.join(cuts, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("hash") == F.col("its_hash")), "left")
+    text = F.col("row.text")
+    # What lies between two cuts; none grows with the text.
+    before = lambda i: F.when(i > 0, F.get("cuts", i - 1)["stop"]).otherwise(0)
+    rest = F.concat(
+        F.array_join(F.transform("cuts", lambda c, i: F.substr(text, before(i) + 1, c["start"] - before(i))), ""),
+        F.substr(text, before(F.size("cuts")) + 1))
+    new = F.when(F.col("cuts").isNull(), text).otherwise(rest)
+    return joined.select(*[(new if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def op1_paragraph_dedup(spark, sf_dir):

@@ -117,7 +117,10 @@ def op7_simhash_near_dedup(spark, sf_dir):
 def stage(spark, docs, sf_dir):
     """Pipeline stage: of each component the document with the smallest identifier stays.
 
-    Texts stay where they are: the others are found by identifier and text, and left out.
+    Texts stay where they are: the others are found by identifier and text, and left out. Null and empty texts are
+    equal to each other and one of them stays; of rows that repeat identifier and text one stays; rows without
+    an identifier stay unless a row that has one is linked to them. All columns come back as they were,
+    whatever their names; an empty table gives an empty result.
     """
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     found = durable(simhash_groups(named, carry=["doc_id", "text_hash"]))
@@ -127,13 +130,12 @@ def stage(spark, docs, sf_dir):
     # Components of rows without an identifier have no name; all of their rows stay.
     gone = found.where("component_id is not null").join(best, "component_id").where(
         ~F.struct("doc_id", "text_hash").eqNullSafe(F.col("best")))
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.xxhash64("text")]
-    gone = gone.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_doc"),
-                       F.col("text_hash").alias("_hash")).distinct()
-    kept = docs.join(gone, (key[0] == F.col("_doc")) & (key[1] == F.col("_hash")), "left_anti")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    gone = gone.select(name.alias("name"), F.col("text_hash").alias("hash")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), name.alias("name"), F.xxhash64("text").alias("hash"))
+    kept = rows.join(gone, ["name", "hash"], "left_anti")
     if found.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
-        return kept
+        return kept.select("row.*")
     # Rows that repeat identifier and text: one stays.
-    again = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
-    return kept.select(F.struct(*docs.columns).alias("r"), "doc_id", "text").withColumn(
-        "n", F.row_number().over(again)).where("n = 1").select("r.*")
+    again = Window.partitionBy("row.doc_id", "row.text").orderBy(F.lit(0))
+    return kept.withColumn("n", F.row_number().over(again)).where("n = 1").select("row.*")
