@@ -7,7 +7,6 @@ are explained along their paths (``trees``).
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ def with_contributions(matrix: DataFrame, coefficients: dict[str, float],
     return matrix.select(*matrix.columns, F.array(*parts).alias("contributions"))
 
 
-def explained(classifier: PipelineModel, rows: DataFrame, inputs: list[str],
+def explained(classifier: model.Classifier, rows: DataFrame, inputs: list[str],
               background: DataFrame) -> DataFrame:
     """Add the contributions of any trained classifier; only linear ones use ``background``."""
     if model.is_linear(classifier):

@@ -1,8 +1,8 @@
-"""Classifiers on the model matrix with Spark ML: training, calibration, scoring.
+"""Classifiers on the model matrix: training, calibration, scoring.
 
 All classifiers weigh classes instead of resampling them. A trained model is a
-Spark ML pipeline that starts from the matrix columns, so it can be saved, loaded
-and applied to a batch or a stream alike.
+Spark ML pipeline or a table of tree nodes that starts from the matrix columns, so it can be
+saved, loaded and applied to a batch or a stream alike.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scalar import sigmoid
-from riskloom.operators import metrics, trees
+from riskloom.operators import boosting, metrics, trees
 from riskloom.operators.calibration import IsotonicMap
+from riskloom.operators.trees import TreeEnsemble
 
 LABEL = "fraud_label"
 # Training settings.
@@ -29,6 +30,7 @@ TREES = 200
 BOOSTING_ROUNDS = 200
 BOOSTING_DEPTH = 5
 MAX_ITERATIONS = 1000
+Classifier = PipelineModel | TreeEnsemble
 CANDIDATES = ["baseline", "random_forest", "xgboost", "lightgbm"]
 
 
@@ -82,9 +84,14 @@ def train_boosted(train: DataFrame, inputs: list[str], rounds: int = BOOSTING_RO
         subsamplingRate=share, seed=SEED, cacheNodeIds=True, checkpointInterval=20))
 
 
+def train_leafwise(train: DataFrame, inputs: list[str], rounds: int = BOOSTING_ROUNDS) -> TreeEnsemble:
+    settings = boosting.Settings(rounds=rounds, depth=BOOSTING_DEPTH)
+    return boosting.train_leafwise(_weighted(train, balanced=False), inputs, LABEL, "__weight", settings)
+
+
 def train_candidate(name: str, train: DataFrame, inputs: list[str],
-                    rounds: int = BOOSTING_ROUNDS, trees: int = TREES) -> PipelineModel:
-    """The four candidates; the two boosted ones differ in step, bins and row sampling."""
+                    rounds: int = BOOSTING_ROUNDS, trees: int = TREES) -> Classifier:
+    """The four candidates; of the two boosted ones one grows level by level, one leaf by leaf."""
     if name == "baseline":
         return train_baseline(train, inputs)
     if name == "random_forest":
@@ -92,17 +99,19 @@ def train_candidate(name: str, train: DataFrame, inputs: list[str],
     if name == "xgboost":
         return train_boosted(train, inputs, rounds)
     if name == "lightgbm":
-        return train_boosted(train, inputs, rounds, step=0.1, bins=255, share=0.8)
+        return train_leafwise(train, inputs, rounds)
     raise ValueError(f"unknown candidate {name}")
 
 
-def is_linear(model: PipelineModel) -> bool:
-    return hasattr(model.stages[-1], "coefficients")
+def is_linear(model: Classifier) -> bool:
+    return isinstance(model, PipelineModel) and hasattr(model.stages[-1], "coefficients")
 
 
-def with_probability(model: PipelineModel, matrix: DataFrame,
+def with_probability(model: Classifier, matrix: DataFrame,
                      output: str = "model_score") -> DataFrame:
     """Add the probability of class 1, before calibration."""
+    if isinstance(model, TreeEnsemble):
+        return matrix.select("*", sigmoid(trees.raw_score(model)).alias(output))
     scored = model.transform(matrix)
     return scored.select(*matrix.columns, vector_to_array("probability")[1].alias(output))
 
@@ -112,32 +121,50 @@ def _raw_score(model: PipelineModel) -> Column:
     return vector_to_array("rawPrediction" if is_linear(model) else "probability")[1]
 
 
+def with_raw_score(model: Classifier, matrix: DataFrame) -> DataFrame:
+    """Add ``__raw``, what calibration maps from."""
+    if isinstance(model, TreeEnsemble):
+        return matrix.select("*", trees.raw_score(model).alias("__raw"))
+    return model.transform(matrix).select(*matrix.columns, _raw_score(model).alias("__raw"))
+
+
+def save_classifier(model: Classifier, path: str) -> None:
+    if isinstance(model, TreeEnsemble):
+        model.save(SparkSession.getActiveSession(), path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_classifier(path: str) -> Classifier:
+    spark = SparkSession.getActiveSession()
+    return TreeEnsemble.load(spark, path) if TreeEnsemble.stored_at(spark, path) else PipelineModel.load(path)
+
+
 @dataclass
 class CalibratedModel:
     """A frozen classifier and the monotone map from its raw score to a probability."""
 
-    classifier: PipelineModel
+    classifier: Classifier
     calibrator: IsotonicMap
 
     def score(self, matrix: DataFrame, output: str = "model_score") -> DataFrame:
-        raw = self.classifier.transform(matrix).select(
-            *matrix.columns, _raw_score(self.classifier).alias("__raw"))
+        raw = with_raw_score(self.classifier, matrix)
         return self.calibrator.apply(raw, "__raw", "__calibrated").select(
             *matrix.columns, F.col("__calibrated").alias(output))
 
     def save(self, path: str) -> None:
-        self.classifier.write().overwrite().save(f"{path}/classifier")
+        save_classifier(self.classifier, f"{path}/classifier")
         self.calibrator.save(SparkSession.getActiveSession(), f"{path}/calibrator")
 
     @staticmethod
     def load(path: str) -> "CalibratedModel":
-        return CalibratedModel(PipelineModel.load(f"{path}/classifier"),
+        return CalibratedModel(load_classifier(f"{path}/classifier"),
                                IsotonicMap.load(SparkSession.getActiveSession(), f"{path}/calibrator"))
 
 
-def calibrate(classifier: PipelineModel, validation: DataFrame) -> CalibratedModel:
+def calibrate(classifier: Classifier, validation: DataFrame) -> CalibratedModel:
     """Isotonic calibration on validation rows only."""
-    raw = classifier.transform(validation).select(_raw_score(classifier).alias("__raw"), LABEL)
+    raw = with_raw_score(classifier, validation).select("__raw", LABEL)
     return CalibratedModel(classifier, IsotonicMap.fit(raw, "__raw", LABEL))
 
 
@@ -145,8 +172,8 @@ def linear_coefficients(model: PipelineModel, inputs: list[str]) -> dict[str, fl
     return dict(zip(inputs, model.stages[-1].coefficients.toArray().tolist()))
 
 
-def tree_ensemble(model: PipelineModel, inputs: list[str]) -> trees.TreeEnsemble:
-    return trees.from_spark(model, inputs)
+def tree_ensemble(model: Classifier, inputs: list[str]) -> TreeEnsemble:
+    return model if isinstance(model, TreeEnsemble) else trees.from_spark(model, inputs)
 
 
 def linear_score(coefficients: dict[str, float], intercept: float) -> Column:

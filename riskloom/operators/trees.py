@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import new_shared_path
@@ -134,14 +134,29 @@ class TreeEnsemble:
         return out
 
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        kinds = "tree int, node int, feature int, cut double, below int, above int, value double, cover double"
+        spark.createDataFrame(self.nodes[NODES], kinds).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+        about = spark.createDataFrame([(self.inputs, self.base)], "inputs array<string>, base double")
+        about.coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+
+    @staticmethod
+    def stored_at(spark: SparkSession, path: str) -> bool:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/nodes")
+        return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> TreeEnsemble:
+        about = spark.read.parquet(f"{path}/about").first()
+        return TreeEnsemble(spark.read.parquet(f"{path}/nodes").toPandas(), list(about["inputs"]), about["base"])
+
+
 def from_spark(classifier: PipelineModel, inputs: list[str]) -> TreeEnsemble:
     """The node table of a trained Spark ML forest or boosted classifier, by way of its stored form.
 
     The raw prediction is the probability of class 1 for a forest and the margin (half the
     log-odds) for boosted trees.
     """
-    from pyspark.sql import SparkSession
-
     spark, stage = SparkSession.getActiveSession(), classifier.stages[-1]
     path = new_shared_path(spark, "trees")
     stage.write().overwrite().save(path)
@@ -165,8 +180,6 @@ def from_spark(classifier: PipelineModel, inputs: list[str]) -> TreeEnsemble:
 
 def _over_inputs(ensemble: TreeEnsemble, returns: str, work):
     """A column computed from all inputs, in bounded batches; the ensemble is broadcast once."""
-    from pyspark.sql import SparkSession
-
     sent = SparkSession.getActiveSession().sparkContext.broadcast(ensemble)
 
     @F.pandas_udf(returns)

@@ -678,6 +678,53 @@ ORACLES["drift_summary"] = _after(["dc", "fr"], """, ref as (select * from fr),
 select (select count(*) from cur) as checked_rows, count(*) filter (where d >= 0.1)
   as drifted_columns_count, round(avg(case when d >= 0.1 then 1 else 0 end), 6) as drifted_share
 from (select wasserstein as d from dist union all ({_js('ref', 'cur')}))""")
+# Drift per column: all statistics from value counts; tails of the normal distribution by Simpson's rule.
+def _column_tests(ref: str, cur: str) -> str:
+    return f"""all_values as (select col, v::varchar as v, v as place, is_ref from lv
+    union all select 'payment_method', payment_method, ascii(payment_method), 1 from {ref}
+    union all select 'payment_method', payment_method, ascii(payment_method), 0 from {cur}),
+  vc as (select col, v, any_value(place) as place, sum(is_ref) as r, sum(1 - is_ref) as c from all_values
+    where v is not null group by col, v),
+  vt as (select *, sum(r) over (partition by col) as n, sum(c) over (partition by col) as m from vc),
+  st as (select col, any_value(n) as n, any_value(m) as m, count(*) as d, count(*) filter (where r > 0) as d_ref,
+    sum(case when r > 0 then (c - r * m / n) ** 2 / (r * m / n) when c > 0 then 'infinity'::double else 0 end) as chi,
+    arg_max(r / n, place) as p, arg_max(c / m, place) as q,
+    sqrt(greatest(sum(case when r > 0 then r / n * ln(r / n / ((r / n + c / m) / 2)) else 0 end
+      + case when c > 0 then c / m * ln(c / m / ((r / n + c / m) / 2)) else 0 end) / 2, 0)) as js
+    from vt group by col),
+  zs as (select *, (p * n + q * m) / (n + m) as pooled from st),
+  tests as (select zs.*, ks, wasserstein, case when pooled > 0 and pooled < 1
+      then (p - q) / sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)) else 0 end as z,
+    wasserstein is not null and d_ref > 5 as many
+    from zs left join dist using (col))"""
+
+
+def _tail(z: str) -> str:
+    """Two-sided tail of the normal distribution."""
+    return f"""(select greatest(0, 1 - sqrt(2 / pi()) * abs({z}) / 6000 * sum(
+    case when i in (0, 2000) then 1 when i % 2 = 1 then 4 else 2 end * exp(-pow({z} * i / 2000, 2) / 2)))
+    from range(0, 2001) s(i))"""
+
+
+_P_VALUES = f"""
+select col as "column", case when many then 'kolmogorov_smirnov' when d <= 2 then 'proportions_z' else 'chi_square' end as method,
+  round(case when many then ks when d <= 2 then z else chi end, 6) as statistic, round(p_value, 6) as p_value, p_value < 0.05 as drifted
+from (select *, case
+  when many then least(1, greatest(0, (select sum(2 * (-1) ** (k - 1) * exp(-2 * (k * ks) ** 2 * n * m / (n + m)))
+    from range(1, 101) s(k))))
+  when d <= 2 then {_tail('z')}
+  when d % 2 = 1 then (select sum(exp(-chi / 2) * (chi / 2) ** k / gamma(k + 1)) from range(0, (d - 1) // 2) s(k))
+  else {_tail('sqrt(chi)')} + (select coalesce(sum(exp(-chi / 2) * (chi / 2) ** (k - 0.5) / gamma(k + 0.5)), 0)
+    from range(1, (d - 2) // 2 + 1) s(k)) end as p_value from tests)"""
+ORACLES["drift_tests"] = _after(["mxr"], _SIDES + _distances("ref", "cur") + ",\n  " + _column_tests("ref", "cur"), _P_VALUES)
+ORACLES["drift_tests_blocks"] = ORACLES["drift_tests"]
+ORACLES["drift_tests_summary"] = _after(["dc", "fr"], """, ref as (select * from fr),
+  cur as (select * replace (round(amount_vs_customer_p95, 6) as amount_vs_customer_p95) from dc
+    order by id desc limit 500),
+""" + _distances("ref", "cur") + ",\n  " + _column_tests("ref", "cur"), """
+select (select count(*) from cur) as checked_rows, count(*) filter (where case when many then wasserstein else js end >= 0.1)
+  as drifted_columns_count, round(avg(case when case when many then wasserstein else js end >= 0.1 then 1 else 0 end), 6) as drifted_share
+from tests""")
 _oracle("table_fingerprint", ["t"], """select count(*) as "rows", cast(sum(cast(('0x' || substr(md5(
   concat_ws('|', transaction_id, customer_id, merchant_id, device_id, payment_method, country)),
   1, 15)) as hugeint)) as varchar) as content_hash from t""")
@@ -762,8 +809,8 @@ _oracle("trained_candidates", ["sp"], """select name, count(*) as "rows", sum(fr
   count(*) as in_range, 1 as better_than_chance
   from sp, (values ('baseline'), ('random_forest'), ('xgboost'), ('lightgbm')) v(name)
   where split = 'test' group by name""")
-_oracle("tree_attribution", ["sp"], """select count(*) as "rows", count(*) as adding_up, count(*) as with_five
-  from sp where split = 'test'""")
+_oracle("tree_attribution", ["sp"], """select name, count(*) as "rows", count(*) as adding_up, count(*) as with_five
+  from sp, (values ('xgboost'), ('lightgbm')) v(name) where split = 'test' group by name""")
 _oracle("tree_decisions", ["f"], """select count(*) as "rows", count(*) as explained, count(*) as in_range from f""")
 ORACLES["trained_choice"] = """select 4::bigint as candidates, 1::bigint as deployed_is_best,
   1::bigint as boosted_is_best"""

@@ -20,6 +20,7 @@ from riskloom.operators import (
     anomaly, attribution, calibration, decisions, drift, eda, features, metrics, model, ordered, policy,
     quality, registry, risk, splits, trees,
 )
+from riskloom.operators import drift_tests as by_column
 from riskloom.plans import training
 from riskloom.plans.workspace import (
     COEFFICIENTS, MODEL_RUN_ID, T_BLOCK, T_REVIEW, Workspace, workspace,
@@ -635,6 +636,27 @@ def drift_summary(w):
     return drift.drift_summary(report, current)
 
 
+@query
+def drift_tests(w):
+    """Every column by the p-value of the test that suits it."""
+    a, b = _drift_sides(w)
+    return by_column.column_tests(a, b, mode="p_value", rows_bound=w.event_count)
+
+
+@query
+def drift_tests_blocks(w):
+    a, b = _drift_sides(w)
+    return by_column.column_tests(a, b, mode="p_value", one_task_rows=0)
+
+
+@query
+def drift_tests_summary(w):
+    """All feature rows, which are many, against the newest 500 scored rows: distances decide."""
+    current = rounded(quality.newest_payloads(w.decisions, 500))
+    tests = by_column.column_tests(rounded(w.features), current, mode="distance", rows_bound=w.event_count)
+    return by_column.tests_summary(tests, current)
+
+
 @query
 def table_fingerprint(w):
     return risk.fingerprint(w.transactions(), ["transaction_id", "customer_id", "merchant_id",
@@ -743,17 +765,24 @@ def boosted_second_scores(w):
 
 @query
 def tree_attribution(w):
-    """Boosted trees explained over the test split: how many rows have contributions that add up
-    with the base value to the raw prediction, and how many have five of them on top."""
+    """Both boosted models explained over the test split: how many rows have contributions that
+    add up with the base value to the raw prediction, and how many have five of them on top."""
     run = w.full_run
-    fitted, rows = run.classifier("xgboost"), run.part("test")
-    ensemble = model.tree_ensemble(fitted, run.inputs)
-    scored = fitted.transform(rows).select("transaction_id", *run.inputs, vector_to_array("rawPrediction")[1].alias("raw"))
-    told = trees.with_tree_contributions(scored, ensemble)
-    total = F.aggregate("contributions", F.lit(ensemble.expected()), lambda a, c: a + c["value"])
-    return told.agg(
-        F.count("*").alias("rows"), F.count_if(F.abs(total - F.col("raw")) < 1e-8).alias("adding_up"),
-        F.count_if(F.size(attribution.top_features(k=5)) == 5).alias("with_five"))
+    rows, out = run.part("test"), None
+    for name in ("xgboost", "lightgbm"):
+        fitted = run.classifier(name)
+        ensemble = model.tree_ensemble(fitted, run.inputs)
+        if fitted is ensemble:
+            scored = rows.withColumn("raw", trees.raw_score(ensemble))
+        else:
+            scored = fitted.transform(rows).withColumn("raw", vector_to_array("rawPrediction")[1])
+        told = trees.with_tree_contributions(scored.select("transaction_id", *run.inputs, "raw"), ensemble)
+        total = F.aggregate("contributions", F.lit(ensemble.expected()), lambda a, c: a + c["value"])
+        line = told.agg(
+            F.count("*").alias("rows"), F.count_if(F.abs(total - F.col("raw")) < 1e-8).alias("adding_up"),
+            F.count_if(F.size(attribution.top_features(k=5)) == 5).alias("with_five")).select(F.lit(name).alias("name"), "*")
+        out = line if out is None else out.unionByName(line)
+    return out
 
 
 @query

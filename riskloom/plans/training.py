@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,9 +25,9 @@ class TrainingRun:
         # Read by every fit and every report, so written once.
         self.matrix = durable(matrix.where("fraud_label is not null"))
         self.candidates, self.rounds, self.trees = candidates, rounds, trees
-        self._trained: dict[str, PipelineModel] = {}
+        self._trained: dict[str, model.Classifier] = {}
 
-    def classifier(self, name: str) -> PipelineModel:
+    def classifier(self, name: str) -> model.Classifier:
         if name not in self._trained:
             self._trained[name] = model.train_candidate(
                 name, self.part("train"), self.inputs, self.rounds, self.trees)
@@ -116,7 +115,7 @@ def inputs_of(matrix: DataFrame) -> list[str]:
     return [c for c in matrix.columns if c not in ("transaction_id", "fraud_label", "split")]
 
 
-def importances(classifier: PipelineModel, explained: DataFrame, background: DataFrame,
+def importances(classifier: model.Classifier, explained: DataFrame, background: DataFrame,
                 inputs: list[str]) -> DataFrame:
     """Mean absolute attribution of each input."""
     return attribution.global_importance(
