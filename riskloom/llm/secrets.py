@@ -28,11 +28,13 @@ PLACEHOLDERS = ["change", "dummy", "example", "placeholder", "sample", "xxxx", "
 _ADDRESS = r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]{1,15}://[^\s:/@\"']{1,64}:"
 _ASSIGNED = (r"(?i:(?<![a-z])(?:[a-z0-9]{1,24}[_-]){0,4}(?:" + "|".join(SECRET_WORDS)
              + r")s?[\"']?\s?(?:=>|[=:])\s?[\"']?)")
+#: Marks that end a clause belong to a value only inside it.
+_VALUE = r"(?:[^\s\"',;.)\]}]|[,;.)\]}](?=[^\s\"',;.)\]}])){6,}+"
 _BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}+(?:-----END [A-Z ]{0,20}PRIVATE KEY-----)?"
 _DOTTED = r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]{6,}+){2}"
 _RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}"
 #: A candidate, with what stands before it where that makes it one.
-CANDIDATE = rf"{_BLOCK}|{_ADDRESS}[^\s\"'@/]{{4,}}+(?=@)|{_ASSIGNED}[^\s\"']{{6,}}+|{_DOTTED}|{_RUN}"
+CANDIDATE = rf"{_BLOCK}|{_ADDRESS}[^\s\"'@/]{{4,}}+(?=@)|{_ASSIGNED}{_VALUE}|{_DOTTED}|{_RUN}"
 
 #: Most frequent words of the corpus that explain parts of a candidate.
 DICTIONARY_WORDS = 4096
