@@ -178,6 +178,11 @@ def scored_summary(decisions: DataFrame, limit: int = 500) -> DataFrame:
     ).select("checked_rows", (F.col("failed_cells") == 0).alias("passed"), "failed_cells")
 
 
+def scored_failures(decisions: DataFrame, limit: int = 500) -> DataFrame:
+    """Every failing cell of the newest ``limit`` scored rows: transaction, column, check, value."""
+    return failure_cases(newest_payloads(decisions, limit), expectations("features"), "transaction_id")
+
+
 def newest_payloads(decisions: DataFrame, limit: int) -> DataFrame:
     """Feature rows of the newest ``limit`` decisions, those without a payload left out."""
     newest = decisions.orderBy(F.desc("id")).limit(limit).where("feature_row is not null")
@@ -191,6 +196,29 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_anti")
 
 
+def orphan_counts(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str, str]]) -> DataFrame:
+    """``reference, orphans`` of many references at once, over one scan of each table.
+
+    A reference is (name, child table, its column, parent table, its column). Keys of all
+    references meet in one grouping, after each task has counted its own, so neither a
+    frequent key nor a large parent is joined. A missing key refers to nothing and counts as an orphan;
+    a reference without orphans has 0.
+    """
+    marks = None
+    for table, rows in tables.items():
+        uses = [(name, column, 0) for name, child, column, _, _ in references if child == table]
+        uses += [(name, column, 1) for name, _, _, parent, column in references if parent == table]
+        if uses:
+            cells = F.array(*[F.struct(F.lit(name).alias("reference"), F.col(column).cast("string").alias("key"), F.lit(parent).alias("parent"))
+                              for name, column, parent in uses])
+            part = rows.select(F.inline(cells))
+            marks = part if marks is None else marks.unionByName(part)
+    names = tables[references[0][1]].sparkSession.createDataFrame([(r[0],) for r in references], "reference string")
+    keys = marks.groupBy("reference", "key").agg(F.max("parent").alias("known"), F.sum(1 - F.col("parent")).alias("rows"))
+    counted = keys.groupBy("reference").agg(F.sum(F.when((F.col("known") == 0) | F.col("key").isNull(), F.col("rows"))).alias("orphans"))
+    return names.join(counted, "reference", "left").select("reference", F.coalesce("orphans", F.lit(0)).alias("orphans"))
+
+
 def missing_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``child`` that ``parent`` lacks."""
     return child.select(key).subtract(parent.select(key))

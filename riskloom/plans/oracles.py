@@ -380,6 +380,42 @@ select concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) as customer_id,
 from customer where lower(c_mktsegment) {_SEGMENT[1]}
 union all select concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')), 'customer_segment',
   'not_nullable', null from customer where c_mktsegment is null"""
+_KEY_OF = {"cu": ("customers", "customer_id"), "t": ("transactions", "transaction_id"), "ff": ("features", "transaction_id")}
+# Cells with planted faults, by the number of a transaction.
+_FLAWS = """amount_was.* replace (
+  case when n % 97 = 0 then null when n % 89 = 0 then -5.5 else amount end as amount,
+  case when n % 83 = 0 then 'cash' else payment_method end as payment_method,
+  case when n % 79 = 0 then 24 else hour_of_day end as hour_of_day, case when n % 73 = 0 then 7 else is_night end as is_night,
+  case when n % 71 = 0 then 1.5 else merchant_fraud_rate_hist end as merchant_fraud_rate_hist,
+  case when n % 67 = 0 then -1 else txn_count_1h end as txn_count_1h)"""
+
+
+def _flawed(table: str) -> str:
+    return (f"select {_FLAWS} from (select *, cast(substr(transaction_id, 4, 10) as bigint) as n from {table}) amount_was")
+
+
+def _cases(table: str, column: str, check: str, condition: str) -> str:
+    entity, key = _KEY_OF[table]
+    return (f"select '{entity}' as entity, {key} as key, '{column}' as \"column\", '{check.replace("'", "''")}' as \"check\","
+            f" cast({column} as varchar) as failure_case from {table} where {condition}")
+
+
+_customer_checks = [(c, "not_nullable", f"{c} is null") for c in ("customer_id", "customer_segment", "home_country")] + [
+    ("customer_id", "str_startswith('CUST')", "not starts_with(customer_id, 'CUST')"),
+    ("customer_segment", _SEGMENT[0], f"customer_segment {_SEGMENT[1]}"), ("home_country", _LAND[0], f"home_country {_LAND[1]}")]
+_transaction_checks = [(c, "not_nullable", f"{c} is null") for c in (
+    "customer_id", "merchant_id", "device_id", "timestamp", "amount", "payment_method", "country", "ip_country")] + [
+    ("amount", "greater_than(0)", "amount <= 0"), ("payment_method", _PAY[0], f"payment_method {_PAY[1]}"),
+    ("country", _LAND[0], f"country {_LAND[1]}"), ("ip_country", _LAND[0], f"ip_country {_LAND[1]}")]
+_oracle("dq_all_failure_cases", ["t", "f"], f"""select * from (with cu as (
+    select concat('CUST', lpad(cast(c_custkey as varchar), 7, '0')) as customer_id, lower(c_mktsegment) as customer_segment,
+      {_LANDS}[cast(c_nationkey % 7 as int) + 1] as home_country from customer),
+  ff as ({_flawed('f')})
+""" + "\nunion all ".join([_cases("cu", *c) for c in _customer_checks] + [_cases("t", *c) for c in _transaction_checks]
+                          + [_cases("ff", *c) for c in _feature_checks]) + ")")
+_oracle("dq_scored_failures", ["dc"], f"""select transaction_id, "column", "check", failure_case from (with
+  ff as (select * from ({_flawed('dc')}) order by id desc limit 500)
+""" + "\nunion all ".join(_cases("ff", *c).replace(" as key,", " as transaction_id,") for c in _feature_checks) + ")")
 ORACLES["dq_duplicate_keys"] = """select l_orderkey, l_linenumber, count(*) as occurrences
 from lineitem group by all having count(*) > 1"""
 _bad = " + ".join(f"(case when {c} then 1 else 0 end)" for _, _, c in _feature_checks)
@@ -568,6 +604,14 @@ _oracle("decisions_page", ["dc"], """, ahead as (select * from dc where decision
 select id, transaction_id, decision, case when (select count(*) from ahead) > 50
   then (select min(id) from shown) end as next_cursor from shown""")
 ORACLES["decisions_page"] = ORACLES["decisions_page"].replace("\n, ahead", ", ahead")
+ORACLES["log_page"] = ORACLES["decisions_page"]
+_oracle("log_newest_page", ["dc"], """select id, transaction_id, case when (select count(*) from dc) > 100
+  then (select min(id) from (select id from dc order by id desc limit 100)) end as next_cursor
+  from dc order by id desc limit 100""")
+_oracle("log_rows", ["dc"], "select id, transaction_id, decision, round(model_score, 6) as model_score, created_at from dc")
+_oracle("log_files", ["dc"], """select count(*) as "rows", min(id) as first_id, max(id) as last_id,
+  count(*) filter (where decision = 'review') as review_rows, 0::bigint as files_with_gaps, true as few_files_for_a_page
+  from dc where floor(id * 8 / (select count(*) from dc)) < 6""")
 _oracle("decisions_offset_page", ["dc"], """select id, transaction_id, decision from dc
   order by id desc limit 10 offset 30""")
 _STATS = """select count(*) as total, count(*) filter (where decision = 'approve') as approve_count,
@@ -812,6 +856,14 @@ _oracle("trained_candidates", ["sp"], """select name, count(*) as "rows", sum(fr
 _oracle("tree_attribution", ["sp"], """select name, count(*) as "rows", count(*) as adding_up, count(*) as with_five
   from sp, (values ('xgboost'), ('lightgbm')) v(name) where split = 'test' group by name""")
 _oracle("tree_decisions", ["f"], """select count(*) as "rows", count(*) as explained, count(*) as in_range from f""")
+_DAYS = """select name, date_trunc('day', timestamp) as start_time, sum(fraud_label) as frauds
+  from sp, (values ('baseline'), ('random_forest'), ('xgboost'), ('lightgbm')) v(name) where split = 'val' group by all"""
+_oracle("trained_runs", ["sp"], f"""select name, concat_ws('-', name, strftime(start_time, '%Y%m%d')) as run_id, start_time,
+  case when frauds > 0 then true end as in_range from ({_DAYS})""")
+_oracle("trained_comparison", ["sp"], f"""select count(distinct name) as candidates, 1::bigint as deployed, 1::bigint as deployed_is_best,
+  strftime(max(start_time), '%Y%m%d') as newest_day, strftime(max(start_time), '%Y%m%d') as oldest_day from ({_DAYS})""")
+_oracle("trained_gate", ["sp"], f"""select name, count(*) as runs, count(*) filter (where frauds > 0) as judged_right
+  from ({_DAYS}) group by name""")
 ORACLES["trained_choice"] = """select 4::bigint as candidates, 1::bigint as deployed_is_best,
   1::bigint as boosted_is_best"""
 _oracle("calibrated_mean", ["sp"], """select count(*) as "rows", round(avg(fraud_label), 6) as mean_score

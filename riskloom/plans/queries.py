@@ -195,6 +195,48 @@ def dq_failure_cases(w):
     return quality.failure_cases(w.customers(), checks, "customer_id")
 
 
+def _flaws(number: Column) -> dict[str, Column]:
+    """Cells that fail checks, by the number of a transaction."""
+    return {
+        "amount": F.when(number % 97 == 0, None).when(number % 89 == 0, -5.5),
+        "payment_method": F.when(number % 83 == 0, "cash"),
+        "hour_of_day": F.when(number % 79 == 0, 24),
+        "is_night": F.when(number % 73 == 0, 7),
+        "merchant_fraud_rate_hist": F.when(number % 71 == 0, 1.5),
+        "txn_count_1h": F.when(number % 67 == 0, -1),
+    }
+
+
+def _flawed(column: Callable[[str], Column]) -> dict[str, Column]:
+    number = F.substring(column("transaction_id"), 4, 10).cast("bigint")
+    whole = {"amount": (number % 97 != 0) & (number % 89 != 0)}
+    return {c: F.when(whole.get(c, flaw.isNull()), column(c)).otherwise(flaw) for c, flaw in _flaws(number).items()}
+
+
+@query
+def dq_all_failure_cases(w):
+    """Every failing cell of every check of every entity, features with planted faults among them."""
+    flawed = w.features.withColumns(_flawed(F.col))
+    out = None
+    for name, rows, key in (
+            ("customers", w.customers(), "customer_id"), ("merchants", w.merchants(), "merchant_id"),
+            ("devices", w.devices(), "device_id"), ("transactions", w.transactions(), "transaction_id"),
+            ("ground_truth", w.ground_truth(), "transaction_id"), ("features", flawed, "transaction_id")):
+        checks = quality.for_columns(quality.expectations(name), rows)
+        part = quality.failure_cases(rows, checks, key).withColumnRenamed(key, "key").withColumn("entity", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def dq_scored_failures(w):
+    """Every failing cell of the newest 500 scored rows, over payloads with planted faults."""
+    payload = F.col("feature_row")
+    for name, value in _flawed(lambda c: F.col("feature_row")[c]).items():
+        payload = payload.withField(name, value)
+    return quality.scored_failures(w.decisions.withColumn("feature_row", payload), limit=500)
+
+
 @query
 def dq_duplicate_keys(w):
     return quality.duplicate_keys(w.raw("lineitem"), ["l_orderkey", "l_linenumber"])
@@ -225,27 +267,27 @@ def _flawed_truth(w) -> DataFrame:
 @query
 def dq_fk_orphans(w):
     """Orphans of each reference, counted, over tables that do have some."""
-    orders = w.raw("orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    lines = w.raw("lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"),
-        F.col("l_suppkey").alias("s_suppkey"))
-    pairs = [
-        ("order_customer", orders, w.raw("customer"), "c_custkey"),
-        ("line_order", lines, w.raw("orders"), "o_orderkey"),
-        ("line_part", lines, w.raw("part"), "p_partkey"),
-        ("line_supplier", lines, w.raw("supplier"), "s_suppkey"),
-        ("transaction_customer", w.transactions(), _without(w.customers(), "customer_id", 5), "customer_id"),
-        ("transaction_merchant", w.transactions(), _without(w.merchants(), "merchant_id", 11), "merchant_id"),
-        ("transaction_device", w.transactions(), _without(w.devices(), "device_id", 7), "device_id"),
-        ("device_customer", w.devices(), _without(w.customers(), "customer_id", 5), "customer_id"),
-        ("label_document", w.raw("documents"), w.raw("labels"), "doc_id"),
-    ]
-    out = None
-    for name, child, parent, key in pairs:
-        line = quality.orphans(child.select(key), parent, key).agg(
-            F.count("*").alias("orphans")).select(F.lit(name).alias("reference"), "orphans")
-        out = line if out is None else out.unionByName(line)
-    return out
+    tables = {
+        "orders": w.raw("orders").select("o_orderkey", "o_custkey"),
+        "lines": w.raw("lineitem").select("l_orderkey", "l_partkey", "l_suppkey"),
+        "customer": w.raw("customer"), "part": w.raw("part"), "supplier": w.raw("supplier"),
+        "transactions": w.transactions(), "devices": w.devices(),
+        "customers_left": _without(w.customers(), "customer_id", 5),
+        "merchants_left": _without(w.merchants(), "merchant_id", 11),
+        "devices_left": _without(w.devices(), "device_id", 7),
+        "documents": w.raw("documents"), "labels": w.raw("labels"),
+    }
+    return quality.orphan_counts(tables, [
+        ("order_customer", "orders", "o_custkey", "customer", "c_custkey"),
+        ("line_order", "lines", "l_orderkey", "orders", "o_orderkey"),
+        ("line_part", "lines", "l_partkey", "part", "p_partkey"),
+        ("line_supplier", "lines", "l_suppkey", "supplier", "s_suppkey"),
+        ("transaction_customer", "transactions", "customer_id", "customers_left", "customer_id"),
+        ("transaction_merchant", "transactions", "merchant_id", "merchants_left", "merchant_id"),
+        ("transaction_device", "transactions", "device_id", "devices_left", "device_id"),
+        ("device_customer", "devices", "customer_id", "customers_left", "customer_id"),
+        ("label_document", "documents", "doc_id", "labels", "doc_id"),
+    ])
 
 
 @query
@@ -409,6 +451,34 @@ def promotion_gate(w):
     return registry.promotion_gate(w.runs.select("name", "run_id", "val_pr_auc"), current)
 
 
+@query
+def trained_runs(w):
+    """Runs of the four trained candidates, each judged on every day of the validation span."""
+    return w.trained_runs.select(
+        "name", "run_id", "start_time", F.col("val_pr_auc").between(0, 1).alias("in_range"))
+
+
+@query
+def trained_comparison(w):
+    """Newest run of each trained candidate; the one to deploy has the best figure of all."""
+    listed = registry.candidate_comparison(w.trained_runs, model.CANDIDATES)
+    best = listed.agg(F.max("val_pr_auc")).scalar()
+    return listed.agg(
+        F.count("*").alias("candidates"), F.count_if("is_deployed").alias("deployed"),
+        F.count_if(F.col("is_deployed") & (F.col("val_pr_auc") == best)).alias("deployed_is_best"),
+        F.max(F.substring_index("run_id", "-", -1)).alias("newest_day"), F.min(F.substring_index("run_id", "-", -1)).alias("oldest_day"))
+
+
+@query
+def trained_gate(w):
+    """Every trained run before the gate, with the newest baseline in force: who may replace it."""
+    current = registry.newest_runs(w.trained_runs).where("name = 'baseline'")
+    judged = registry.promotion_gate(w.trained_runs, current)
+    bar = current.select("val_pr_auc").scalar()
+    return judged.groupBy("name").agg(
+        F.count("*").alias("runs"), F.count_if(F.col("may_promote") == (F.col("val_pr_auc") >= bar)).alias("judged_right"))
+
+
 # ---------------------------------------------------------------- policy and rules
 
 @query
@@ -520,6 +590,35 @@ def kpi_cards(w):
     return decisions.kpi_cards(w.decisions, AS_OF)
 
 
+@query
+def log_page(w):
+    """The same page from the compacted log, part of which is not compacted yet."""
+    middle = w.transaction_count // 2
+    return w.log_store.page(50, middle, "review").select("id", "transaction_id", "decision", "next_cursor")
+
+
+@query
+def log_newest_page(w):
+    return w.log_store.page(100).select("id", "transaction_id", "next_cursor")
+
+
+@query
+def log_rows(w):
+    """All rows of the compacted log and its open batches, one of which was written twice."""
+    return w.log_store.read().select("id", "transaction_id", "decision", "model_score", "created_at")
+
+
+@query
+def log_files(w):
+    """What the manifest says about the compacted files, against the rows of the log."""
+    store = w.log_store
+    return store.manifest().agg(
+        F.sum("rows").alias("rows"), F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"),
+        F.sum("review_rows").alias("review_rows"),
+        F.count_if(F.col("last_id") - F.col("first_id") + 1 != F.col("rows")).alias("files_with_gaps"),
+        (F.max(F.lit(len(store.page_files(50, w.transaction_count // 2)))) <= 4).alias("few_files_for_a_page"))
+
+
 @query
 def latest_decision(w):
     """A log in which transactions recur: the same customer's decisions under one key."""

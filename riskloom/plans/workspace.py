@@ -15,6 +15,7 @@ from riskloom.operators import attribution, decisions, features, metrics, model,
 from riskloom.plans import training
 from riskloom.session import durable, new_shared_path
 from riskloom.sources.canonical import Tables
+from riskloom.sources.log_store import LogStore
 from riskloom.sources.sinks import publish_files
 from riskloom.sources.tables import read_file_stream
 from riskloom.streaming import rollup, scoring
@@ -92,7 +93,8 @@ class Workspace(Tables):
 
     @cached_property
     def runs(self) -> DataFrame:
-        """The run log: candidate runs found in the data.
+        """A run log found in the data, so that all of its figures have SQL: score columns under the
+        names of candidates. ``trained_runs`` has those of trained models.
 
         Every candidate is one score column, every day of the validation span one run of
         it, judged by its average precision on that day.
@@ -117,6 +119,34 @@ class Workspace(Tables):
             F.concat_ws("-", "name", F.date_format("start_time", "yyyyMMdd")).alias("run_id"),
             F.round("average_precision", 6).alias("val_pr_auc")))
 
+    @cached_property
+    def trained_runs(self) -> DataFrame:
+        """The run log of the trained candidates: each judged on every day of the validation span."""
+        run, days = self.full_run, self.features.select(
+            "transaction_id", F.date_trunc("day", "timestamp").cast("timestamp_ntz").alias("start_time"))
+        scored = None
+        for name in run.candidates:
+            part = model.with_probability(run.classifier(name), run.part("val")).select(
+                "transaction_id", "fraud_label", "model_score", F.lit(name).alias("name"))
+            scored = part if scored is None else scored.unionByName(part)
+        judged = metrics.average_precision(
+            scored.join(days, "transaction_id"), ["name", "start_time"], rows_bound=self.event_count)
+        return durable(judged.select(
+            "name", "start_time", F.concat_ws("-", "name", F.date_format("start_time", "yyyyMMdd")).alias("run_id"),
+            F.round("average_precision", 6).alias("val_pr_auc")))
+
+    @cached_property
+    def log_store(self) -> LogStore:
+        """The decision log in eight batches, six of them compacted in two steps, one written twice."""
+        store = LogStore(self.spark, new_shared_path(self.spark, "log-store"), file_rows=max(100, self.transaction_count // 10))
+        batch = F.floor(F.col("id") * 8 / self.transaction_count)
+        for number in (0, 1, 2, None, 3, 4, 5, None, 6, 7, 7, 2):
+            if number is None:
+                store.compact()
+            else:
+                store.append(self.decisions.where(batch == number), "demo", number)
+        return store
+
     @cached_property
     def background(self) -> DataFrame:
         """One row with the means of the train split, which is all that attribution needs."""

@@ -138,3 +138,16 @@ def test_nan_is_missing(spark):
     checks = [quality._not_null("amount", True), quality._above("amount", 0), quality._between("amount", 0, 1)]
     got = {r["check"]: r["failures"] for r in quality.column_checks(rows, checks).collect()}
     assert got == {"not_nullable": 2, "greater_than(0)": 1, "in_range(0, 1)": 2}
+
+
+def test_orphans_of_many_references_in_one_grouping(spark):
+    left = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "c"), (3, "a")], "k int, s string")
+    right = spark.createDataFrame([(1, "a"), (None, "z")], "id bigint, name string")
+    tables = {"left": left, "right": right, "none": left.limit(0)}
+    references = [("k", "left", "k", "right", "id"), ("s", "left", "s", "right", "name"), ("back", "right", "id", "left", "k"),
+                  ("all", "left", "k", "none", "k"), ("empty", "none", "k", "right", "id")]
+    got = {r.reference: r.orphans for r in quality.orphan_counts(tables, references).collect()}
+    assert got == {"k": 3, "s": 3, "back": 1, "all": 5, "empty": 0}
+    for name, child, column, parent, key in references:
+        rows = tables[child].select(F.col(column).cast("string").alias("key"))
+        assert got[name] == quality.orphans(rows, tables[parent].select(F.col(key).cast("string").alias("key")), "key").count()
