@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from riskloom.operators.ordered import exact_quantiles
+
 # Forest settings.
 TREES = 100
 SAMPLE_ROWS = 256
@@ -121,3 +123,20 @@ def score(rows: DataFrame, forest: DataFrame, inputs: list[str],
 
     x = F.array(*[F.col(c).cast("double") for c in inputs])
     return rows.withColumn(output, strangeness(x))
+
+
+# Fixed value: the share of training rows taken for anomalies.
+CONTAMINATION = 0.02
+
+
+def cut_off(scored: DataFrame, contamination: float = CONTAMINATION, score: str = "anomaly_score", **options) -> float | None:
+    """The score above which ``contamination`` of the scored rows lie, interpolated between ranks;
+    None without rows."""
+    found = exact_quantiles(scored, [], score, [1 - contamination], **options).first()
+    return None if found is None else found["quantile"]
+
+
+def flagged(scored: DataFrame, cut: float | None, score: str = "anomaly_score") -> DataFrame:
+    """Add ``is_anomaly``: 1 where the score is above the cut-off, 0 elsewhere and without one."""
+    above = F.lit(False) if cut is None else F.col(score) > cut
+    return scored.withColumn("is_anomaly", F.coalesce(above, F.lit(False)).cast("int"))

@@ -859,10 +859,10 @@ _oracle("tree_decisions", ["f"], """select count(*) as "rows", count(*) as expla
 _DAYS = """select name, date_trunc('day', timestamp) as start_time, sum(fraud_label) as frauds
   from sp, (values ('baseline'), ('random_forest'), ('xgboost'), ('lightgbm')) v(name) where split = 'val' group by all"""
 _oracle("trained_runs", ["sp"], f"""select name, concat_ws('-', name, strftime(start_time, '%Y%m%d')) as run_id, start_time,
-  case when frauds > 0 then true end as in_range from ({_DAYS})""")
+  true as in_range from ({_DAYS})""")
 _oracle("trained_comparison", ["sp"], f"""select count(distinct name) as candidates, 1::bigint as deployed, 1::bigint as deployed_is_best,
   strftime(max(start_time), '%Y%m%d') as newest_day, strftime(max(start_time), '%Y%m%d') as oldest_day from ({_DAYS})""")
-_oracle("trained_gate", ["sp"], f"""select name, count(*) as runs, count(*) filter (where frauds > 0) as judged_right
+_oracle("trained_gate", ["sp"], f"""select name, count(*) as runs, count(*) as judged_right
   from ({_DAYS}) group by name""")
 ORACLES["trained_choice"] = """select 4::bigint as candidates, 1::bigint as deployed_is_best,
   1::bigint as boosted_is_best"""
@@ -881,6 +881,10 @@ ORACLES["isotonic_map_blocks"] = ORACLES["isotonic_map"]
 _oracle("baseline_residual", ["sp"], """select 0.5::double as weighted_positives, 0.5::double as weighted_scores
   from sp where split = 'train' having count(*) > 0""")
 ORACLES["stored_model_again"] = "select 1::bigint as figures, 2::bigint as better_than_chance"
+_oracle("anomaly_flags", ["sp"], """select count(*) as "rows", true as share_kept, 0::bigint as flagged_below,
+  true as some_flagged from sp where split = 'train'""")
+_oracle("deployed_comparison", ["sp"], """select least(100, count(*) filter (where split = 'train')) as background_rows,
+  16::bigint as importances, true as largest_first, true as curve_covers_test, true as same_validation from sp""")
 _oracle("anomaly_mean", ["sp"], """select count(*) as "rows", count(*) as inside, 0::bigint as missing
   from sp where split = 'test'""")
 _oracle("json_array_source", ["f"], """select transaction_id, txn_count_24h,

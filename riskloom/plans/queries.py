@@ -994,6 +994,37 @@ def anomaly_mean(w):
         F.count_if(F.col("anomaly_score").isNull()).alias("missing"))
 
 
+@query
+def anomaly_flags(w):
+    """Training rows beyond the cut-off that leaves the given share of them above it."""
+    run = w.training_run
+    scored = durable(anomaly.score(run.part("train"), run.forest, run.inputs).select("transaction_id", "anomaly_score"))
+    cut = anomaly.cut_off(scored, rows_bound=w.event_count)
+    out = anomaly.flagged(scored, cut)
+    return out.agg(
+        F.count("*").alias("rows"), (F.sum("is_anomaly") <= F.ceil(anomaly.CONTAMINATION * F.count("*"))).alias("share_kept"),
+        F.count_if((F.col("is_anomaly") == 1) & (F.col("anomaly_score") <= cut)).alias("flagged_below"),
+        (F.sum("is_anomaly") > 0).alias("some_flagged"))
+
+
+@query
+def deployed_comparison(w):
+    """What is stored beside the deployed model for later comparisons, read back."""
+    path = new_shared_path(w.spark, "model")
+    run = w.training_run
+    run.deployed.save(path)
+    document = training.enrich(path, run.matrix)
+    then = metrics.evaluate(run.deployed.score(run.part("val")).select("model_score", "fraud_label")).select("pr_auc").scalar()
+    test_rows = run.part("test").agg(F.count("*")).scalar()
+    values = F.transform("importances", lambda x: x["mean_abs_contribution"])
+    return document.select(
+        w.spark.read.parquet(f"{path}/background").agg(F.count("*")).scalar().alias("background_rows"),
+        F.size("importances").cast("bigint").alias("importances"),
+        (values == F.reverse(F.array_sort(values))).alias("largest_first"),
+        (F.aggregate("calibration_curve", F.lit(0).cast("bigint"), lambda n, x: n + x["rows"]) == test_rows).alias("curve_covers_test"),
+        (F.abs(F.col("val_pr_auc") - then) < 1e-9).alias("same_validation"))
+
+
 @query
 def json_array_source(w):
     """All feature rows written as documents of one JSON array each, and read back."""

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators import (
-    anomaly, attribution, metrics, model, policy, registry, splits,
+    anomaly, attribution, decisions, metrics, model, policy, registry, splits,
 )
 from riskloom.session import durable
+from riskloom.sources import sinks
 
 
 class TrainingRun:
@@ -142,6 +143,26 @@ def re_evaluate(path: str, matrix: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def enrich(path: str, matrix: DataFrame, sample: int = 100) -> DataFrame:
+    """Store beside a saved model what explaining and comparing it later needs: ``background``, at
+    most ``sample`` training rows, and ``comparison``, one JSON document with the calibration
+    curve, the importances (largest first) and the validation figure. Returns the document."""
+    spark, figures = matrix.sparkSession, re_evaluate(path, matrix)
+    background = decisions.sample_rows(matrix.where("split = 'train'"), sample).select(*inputs_of(matrix))
+    sinks.write_parquet(background.coalesce(1), f"{path}/background")
+    curve = figures["calibration_curve"].agg(F.array_sort(F.collect_list(
+        F.struct("bin", "mean_predicted", "fraction_positive", "rows"))).alias("calibration_curve"))
+    # One row per input.
+    ranked = figures["importances"].agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("mean_abs_contribution")).alias("place"), "feature", "mean_abs_contribution"))).alias("r"))
+    importances_ = ranked.select(F.transform("r", lambda x: F.struct(x["feature"], x["mean_abs_contribution"])).alias("importances"))
+    document = durable(curve.select(
+        "calibration_curve", importances_.scalar().alias("importances"),
+        figures["validation"].select("pr_auc").scalar().alias("val_pr_auc")))
+    sinks.write_json(document, f"{path}/comparison")
+    return spark.read.schema(document.schema).json(f"{path}/comparison")
+
+
 def choose_policy(path: str, matrix: DataFrame, amounts: DataFrame, model_run_id: str) -> DataFrame:
     """Cost-optimal thresholds of a stored model on the validation rows, as a document."""
     scored = model.CalibratedModel.load(path).score(matrix.where("split = 'val'"))

@@ -228,3 +228,26 @@ def test_fingerprint_ignores_order_but_not_content(spark):
     c = spark.createDataFrame([("y", 2), ("x", 2)], "k string, v int")
     assert risk.fingerprint(a).first() == risk.fingerprint(b).first()
     assert risk.fingerprint(a).first() != risk.fingerprint(c).first()
+
+
+def test_cut_off_leaves_the_share_above(spark):
+    scores = np.random.default_rng(9).random(501)
+    rows = spark.createDataFrame([(float(v),) for v in [*scores, 0.5]], "anomaly_score double").union(
+        spark.createDataFrame([(None,)], "anomaly_score double"))
+    cut = anomaly.cut_off(rows, 0.1)
+    assert cut == pytest.approx(np.quantile([*scores, 0.5], 0.9))
+    got = [r.is_anomaly for r in anomaly.flagged(rows, cut).collect()]
+    assert sum(got) == (np.array([*scores, 0.5]) > cut).sum() and got[-1] == 0
+    assert anomaly.cut_off(rows.limit(0)) is None
+    assert [r.is_anomaly for r in anomaly.flagged(rows.limit(2), None).collect()] == [0, 0]
+
+
+def test_enriched_model_keeps_what_comparisons_need(spark, tmp_path):
+    matrix, _, _ = _matrix(spark)
+    run = training.run(matrix, candidates=["baseline"])
+    path = str(tmp_path / "m")
+    run.deployed.save(path)
+    document = training.enrich(path, matrix, sample=20).first()
+    assert [i.feature for i in document.importances][0] == "a" and len(document.importances) == 3
+    assert sum(b.rows for b in document.calibration_curve) == 120 and 0 < document.val_pr_auc <= 1
+    assert spark.read.parquet(f"{path}/background").count() == 20
