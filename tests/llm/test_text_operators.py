@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -310,39 +311,109 @@ def test_secrets_without_candidates(empty):
 
 # Paragraphs
 
-def test_paragraphs_against_all_pairs(documents):
-    got = {(r.doc_id, r.start) for r in paragraphs.repeated(documents).collect()}
-    rows = documents.select("doc_id", "text").toPandas()
-    cut = paragraphs.Cut(rows.text.tolist())
-    shingles = cut.shingles()
-    keys = cut.key.tolist()
-    sets = {k: frozenset(shingles[a:a + n - 4].tolist()) for k, a, n in zip(keys, cut.first.tolist(), cut.words.tolist())}
-    holders = {}
-    for k, s in sets.items():
+def plain_lines(text):
+    """(start, stop, words) of the lines of a text, short ones next to each other joined."""
+    lines = []
+    at = 0
+    for line in text.split("\n"):
+        found = [(at + m.start(), at + m.end(), m.group().lower()) for m in re.finditer(r"[^\W_]+", line)]
+        at += len(line) + 1
+        if found:
+            lines.append(found)
+    out = []
+    for line in lines:
+        if out and len(line) < paragraphs.LEAST_WORDS and out[-1][1]:
+            out[-1][0].extend(line)
+        else:
+            out.append(([*line], len(line) < paragraphs.LEAST_WORDS))
+    return [(words[0][0], words[-1][1], [w for _, _, w in words]) for words, _ in out]
+
+
+def sets_of(words):
+    return frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+
+
+def clusters_of(sets):
+    """The cluster of each set, by comparing all that share a member."""
+    holders, parent = {}, list(range(len(sets)))
+    for i, s in enumerate(sets):
         for x in s:
-            holders.setdefault(x, []).append(k)
-    parent = {k: k for k in sets}
+            holders.setdefault(x, []).append(i)
 
-    def root(k):
-        while parent[k] != k:
-            k = parent[k]
-        return k
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
 
     for same in holders.values():
-        for a in same:
-            for b in same:
-                if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                    parent[root(a)] = root(b)
-    size = Counter(root(k) for k in keys)
-    runs = []
-    for t, start, word, words, key in sorted(zip(cut.text.tolist(), cut.start.tolist(), cut.word.tolist(), cut.words.tolist(), keys)):
-        if size[root(key)] > 1:
-            if runs and runs[-1][-1][0] == t and word - runs[-1][-1][2] - runs[-1][-1][3] < 2 * paragraphs.LEAST_WORDS:
-                runs[-1].append((t, start, word, words))
-            else:
-                runs.append([(t, start, word, words)])
-    want = {(int(rows.doc_id[x[0]]), x[1]) for r in runs if sum(y[3] for y in r) >= paragraphs.LEAST_PASSAGE for x in r}
-    assert got <= want and len(got) >= 0.97 * len(want)
+        for x, a in enumerate(same):
+            for b in same[x + 1:]:
+                if root(a) != root(b) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    parent[root(b)] = root(a)
+    return [root(i) for i in range(len(sets))]
+
+
+def test_lines_against_all_pairs(documents):
+    """Without any of the operator's own cuts."""
+    got = {(r.doc_id, r.start): r.kept for r in paragraphs.repeated(documents).where("kind = 0").collect()}
+    rows = sorted((r.doc_id, r.text or "") for r in documents.select("doc_id", "text").collect())
+    lines = [(d, a, b, w) for d, t in rows for a, b, w in plain_lines(t) if paragraphs.LEAST_PARAGRAPH <= len(w) <= paragraphs.WHOLE_LINE]
+    root = clusters_of([sets_of(w) for *_, w in lines])
+    size, first = Counter(root), {}
+    want = {}
+    for (d, a, b, _), r in zip(lines, root):
+        if size[r] > 1:
+            want[d, a] = (d, a) == first.setdefault(r, (d, a))
+    assert set(got) <= set(want) and len(got) >= 0.97 * len(want) and len(want) > 40
+    assert sum(got[k] == want[k] for k in got) >= 0.97 * len(got)
+
+
+def test_changed_lines_are_found(spark):
+    """Lines of 30 to 200 words with replaced words, at a similarity of 0.8 or more, by bands alone."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    rows, want = [], {}
+    for k in range(150):
+        line = [word() for _ in range(int(rng.integers(30, 201)))]
+        changed, most = list(line), 0.05
+        while True:
+            more = list(changed)
+            more[int(rng.integers(len(line)))] = word()
+            a, b = sets_of(line), sets_of(more)
+            if len(a & b) < 0.8 * len(a | b) or rng.random() < most:
+                break
+            changed = more
+        if changed == line:
+            changed[3] = word()
+        rows += [(2 * k, f"first words {word()}\n{' '.join(line)}"), (2 * k + 1, f"{' '.join(changed)}\nlast words {word()}")]
+        want[2 * k + 1] = len(changed) if len(sets_of(line) & sets_of(changed)) >= 0.8 * len(sets_of(line) | sets_of(changed)) else None
+    want = {k: n for k, n in want.items() if n}
+    got = {r.doc_id: r.removed_words for r in paragraphs.repeated_by_document(
+        spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(want) > 130 and sum(got.get(k, 0) >= 0.9 * n for k, n in want.items()) >= 0.95 * len(want)
+
+
+def test_windows_of_long_lines_and_what_stays(spark):
+    """A part that two long lines share goes once; of everything, one place stays."""
+    rng = np.random.default_rng(22)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    shared, line = prose(400), prose(60)
+    near = line.split()
+    near[30] = word()
+    rows = [(1, f"{prose(300)} {shared} {prose(200)}"), (2, f"{prose(250)} {shared} {prose(300)}"),
+            (3, line), (4, " ".join(near)), (5, f"{prose(120)} {' '.join(near[31:])} {prose(80)}"), (6, f"{prose(90)} {' '.join(near[31:])} {prose(30)}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = paragraphs.repeated(docs).collect()
+    gone = {d: sorted((r.start, r.stop) for r in spans if r.doc_id == d and not r.kept) for d in range(1, 7)}
+    assert not gone[1] and not gone[3] and gone[4] == [(0, len(" ".join(near)))]
+    assert all(a[1] <= b[0] for g in gone.values() for a, b in zip(g, g[1:]))
+    found = sum(len(rows[1][1][a:b].split()) for a, b in gone[2])
+    assert found >= 0.8 * 400 and any(r.kind == paragraphs.WINDOW for r in spans)
+    # What was only left in a removed line is left in one place at least.
+    rest = {r.doc_id: r.text for r in paragraphs.without_repeats(docs).collect()}
+    for part in [line, shared, " ".join(near[40:50])]:
+        assert any(part in t for t in rest.values())
 
 
 def test_pasted_passage_is_found_wherever_it_stands(spark):
