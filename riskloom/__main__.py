@@ -6,7 +6,8 @@
     stream      --data-dir D --model-dir M --thresholds P --run-id R --log L --rejected R
                 --checkpoint C (--topic-dir T | --kafka SERVERS --topic NAME)
     check-log   --log L [--limit N]          exit status 1 when a check fails
-    drift       --data-dir D --log L [--limit N]
+    drift       --data-dir D --log L [--limit N] [--mode auto|p_value|distance]
+    compact     --store S [--file-rows N]
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.operators import drift, features, quality, splits
+from riskloom.operators import drift, drift_tests, features, quality, splits
 from riskloom.operators.model import BOOSTING_ROUNDS, TREES, CalibratedModel
 from riskloom.plans import training
 from riskloom.session import durable, prepare, release_copies
 from riskloom.sources import sinks, tables
+from riskloom.sources.log_store import FILE_ROWS, LogStore
 from riskloom.streaming import scoring
 
 
@@ -45,6 +47,7 @@ def build_features(spark: SparkSession, a: argparse.Namespace) -> None:
 def train(spark: SparkSession, a: argparse.Namespace) -> None:
     run = training.run(_matrix(spark, a.data_dir), rounds=a.rounds, trees=a.trees)
     run.deployed.save(a.model_dir)
+    training.enrich(a.model_dir, run.matrix)
     report = f"{a.model_dir}/report"
     sinks.write_json(run.validation_metrics, f"{report}/validation")
     sinks.write_json(run.test_metrics, f"{report}/test")
@@ -99,10 +102,19 @@ def drift_report(spark: SparkSession, a: argparse.Namespace) -> None:
     report = drift.drift_report(reference, current)
     report.orderBy(F.desc("distance")).show(truncate=False)
     drift.drift_summary(report, current).show()
+    tests = durable(drift_tests.column_tests(reference, current, mode=a.mode))
+    tests.orderBy("column").show(truncate=False)
+    drift_tests.tests_summary(tests, current).show()
+
+
+def compact(spark: SparkSession, a: argparse.Namespace) -> None:
+    store = LogStore(spark, a.store, a.file_rows)
+    done = store.compact()
+    print(f"generation {store.generation()}{'' if done else ', nothing new'}")
 
 
 JOBS = {"features": build_features, "train": train, "thresholds": thresholds, "stream": stream,
-        "check-log": check_log, "drift": drift_report}
+        "check-log": check_log, "drift": drift_report, "compact": compact}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -124,7 +136,8 @@ def parser() -> argparse.ArgumentParser:
     job("stream", "data-dir", "model-dir", "thresholds", "run-id", "log", "rejected",
         "checkpoint", topic_dir=None, kafka=None, topic="transactions")
     job("check-log", "log", limit=500)
-    job("drift", "data-dir", "log", limit=500)
+    job("drift", "data-dir", "log", limit=500, mode="auto")
+    job("compact", "store", file_rows=FILE_ROWS)
     return top
 
 

@@ -881,6 +881,8 @@ ORACLES["isotonic_map_blocks"] = ORACLES["isotonic_map"]
 _oracle("baseline_residual", ["sp"], """select 0.5::double as weighted_positives, 0.5::double as weighted_scores
   from sp where split = 'train' having count(*) > 0""")
 ORACLES["stored_model_again"] = "select 1::bigint as figures, 2::bigint as better_than_chance"
+_oracle("stored_policy", ["sp"], """select count(*) as "rows", true as cost_of_its_thresholds, true as none_cheaper,
+  true as in_order from sp where split = 'val'""")
 _oracle("anomaly_flags", ["sp"], """select count(*) as "rows", true as share_kept, 0::bigint as flagged_below,
   true as some_flagged from sp where split = 'train'""")
 _oracle("deployed_comparison", ["sp"], """select least(100, count(*) filter (where split = 'train')) as background_rows,

@@ -7,6 +7,7 @@ joined into text where a result is compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -841,6 +842,25 @@ def baseline_policy(w):
                            F.size("cost_curve").alias("points"))
 
 
+@query
+def stored_policy(w):
+    """What must hold of the policy of a stored model: its cost is what its thresholds cost on the
+    validation rows, and no other pair of a coarse grid costs less."""
+    path = new_shared_path(w.spark, "model")
+    w.training_run.deployed.save(path)
+    amounts = w.features.select("transaction_id", "amount")
+    chosen = training.choose_policy(path, w.matrix(), amounts, "run-baseline").first()
+    scored = durable(model.CalibratedModel.load(path).score(w.matrix().where("split = 'val'")).select(
+        "transaction_id", "fraud_label", "model_score").join(amounts, "transaction_id"))
+    again = policy.total_cost(scored, chosen["t_review"], chosen["t_block"]).select("total_cost").scalar()
+    others = [policy.total_cost(scored, a / 10, b / 10).select("total_cost") for a in range(0, 10, 3) for b in range(a + 1, 11, 3)]
+    cheapest = reduce(DataFrame.unionByName, others).agg(F.min("total_cost")).scalar()
+    return scored.agg(
+        F.count("*").alias("rows"), (F.max(again) == chosen["total_cost"]).alias("cost_of_its_thresholds"),
+        (F.max(cheapest) >= chosen["total_cost"]).alias("none_cheaper"),
+        F.lit(chosen["t_review"] < chosen["t_block"]).alias("in_order"))
+
+
 def _test_scores(w, name: str) -> DataFrame:
     run = w.full_run
     return model.with_probability(run.classifier(name), run.part("test")).select(

@@ -45,7 +45,14 @@ def test_jobs_end_to_end(spark, small, stored, capsys):
     main(["check-log", "--log", f"{d}/log"], spark)
     assert "checked 500 rows: passed" in capsys.readouterr().out
     main(["drift", "--data-dir", d, "--log", f"{d}/log"], spark)
-    assert "wasserstein" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "wasserstein" in printed and "kolmogorov_smirnov" in printed
+    assert spark.read.parquet(f"{d}/model/background").count() == 100
+    for batch in range(2):
+        sinks.append_batch(log.where(F.col("id") % 2 == batch).drop("stream", "batch_id"), f"{d}/store/batches", "s", batch)
+    for said in ("generation 1\n", "generation 1, nothing new\n"):
+        main(["compact", "--store", f"{d}/store"], spark)
+        assert capsys.readouterr().out == said
 
 
 def test_check_log_fails_on_bad_rows(spark, tmp_path, capsys):
