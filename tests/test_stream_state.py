@@ -125,7 +125,9 @@ def test_minute_counts_leave_the_state(spark, tmp_path):
     assert velocity.late_rows(run()) == 0
     minutes(spark, 3, 5).union(minutes(spark, 1, 299)).write.mode("append").parquet(source)
     late = run()
-    assert velocity.late_rows(late) == 3 and velocity.state_rows(late) < 40 < full
+    # Every decision is a group of its own here, or one of few; the state holds the last ten minutes.
+    assert velocity.late_rows(late) == 3
+    assert max(full, velocity.state_rows(late)) < decisions.by_minute(everything).count() / 5
     got = rollup.read_counts(spark, out)
     assert got.exceptAll(decisions.by_minute(everything.union(minutes(spark, 1, 299)))).count() == 0
     assert got.agg(F.sum("count")).first()[0] == 301
