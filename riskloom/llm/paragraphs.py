@@ -54,6 +54,8 @@ WINDOW_REACH = 24
 BAND_ROWS, BAND_RECALL = 4, 0.99
 #: Paragraphs of one band that are compared in one piece.
 TILE = 512
+#: Numbers in the matrix of two tiles' shingles.
+_CELLS = 4_000_000
 #: Numbers in a list that is broadcast; longer ones are joined by the optimiser's choice.
 BROADCAST_NUMBERS = 2_000_000
 _BATCH_CHARS = 500_000
@@ -253,19 +255,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["key", "shingles"])
 
 
-def similar(left: list[list[int]], right: list[list[int]], threshold: float = THRESHOLD) -> np.ndarray:
+def similar(left: list, right: list, threshold: float = THRESHOLD) -> np.ndarray:
     """Which sets have at least that Jaccard similarity: a matrix of left by right."""
-    known: dict[int, int] = {}
-    rows = [[known.setdefault(s, len(known)) for s in x] for x in left + right]
-    there = np.zeros((len(rows), len(known)), dtype=np.float32)
-    for i, r in enumerate(rows):
-        there[i, r] = 1
-    a, b = there[:len(left)], there[len(left):]
-    common = a @ b.T
-    either = a.sum(axis=1)[:, None] + b.sum(axis=1)[None, :] - common
+    rows = [np.asarray(x, dtype=np.int64) for x in left + right]
+    sizes = np.array([len(r) for r in rows], dtype=np.float32)
+    _, member, counts = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    # What only one set has is in no intersection.
+    shared = counts > 1
+    column = np.cumsum(shared) - 1
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    use = shared[member]
+    there = np.zeros((len(rows), int(shared.sum())), dtype=np.float32)
+    there[row[use], column[member[use]]] = 1
+    n = len(left)
+    common = there[:n] @ there[n:].T
+    either = sizes[:n, None] + sizes[None, n:] - common
     return common >= threshold * either - 1e-6
 
 
+def _tile(sets: list) -> int:
+    """Sets that are compared at a time, so that their matrix stays within some tens of MB."""
+    mean = sum(map(len, sets)) / max(len(sets), 1)
+    return max(1, min(TILE, int(math.sqrt(_CELLS / max(mean, 1)))))
+
+
 def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Links of the groups (band, left, right), rows of which follow each other."""
     held: list[tuple] = []
@@ -276,9 +289,10 @@ def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
         _, left, right, _, _, _ = held[0]
         ours = [r for r in held if r[3] == left]
         theirs = ours if left == right else [r for r in held if r[3] == right]
-        for p in range(0, len(ours), TILE):
-            for q in range(p if left == right else 0, len(theirs), TILE):
-                x, y = ours[p:p + TILE], theirs[q:q + TILE]
+        size = _tile([r[5] for r in held])
+        for p in range(0, len(ours), size):
+            for q in range(p if left == right else 0, len(theirs), size):
+                x, y = ours[p:p + size], theirs[q:q + size]
                 near = similar([r[5] for r in x], [r[5] for r in y], threshold)
                 kx, ky = np.array([r[4] for r in x], dtype=np.int64), np.array([r[4] for r in y], dtype=np.int64)
                 for own, to in zip((kx, ky), _spread(near, kx, ky)):
@@ -294,7 +308,7 @@ def _links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
         return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1])], names=["a", "b"])
 
     for rows in batches:
-        for r in zip(*(rows.column(i).to_pylist() for i in range(6))):
+        for r in zip(*(rows.column(i).to_pylist() for i in range(5)), (x.values.to_numpy() for x in rows.column(5))):
             if held and held[0][:3] != r[:3]:
                 close()
             held.append(r)
