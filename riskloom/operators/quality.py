@@ -204,18 +204,28 @@ def orphan_counts(tables: dict[str, DataFrame], references: list[tuple[str, str,
     frequent key nor a large parent is joined. A missing key refers to nothing and counts as an orphan;
     a reference without orphans has 0.
     """
-    marks = None
-    for table, rows in tables.items():
-        uses = [(name, column, 0) for name, child, column, _, _ in references if child == table]
-        uses += [(name, column, 1) for name, _, _, parent, column in references if parent == table]
-        if uses:
-            cells = F.array(*[F.struct(F.lit(name).alias("reference"), F.col(column).cast("string").alias("key"), F.lit(parent).alias("parent"))
-                              for name, column, parent in uses])
-            part = rows.select(F.inline(cells))
-            marks = part if marks is None else marks.unionByName(part)
+    def whole(table: str, column: str) -> bool:
+        return isinstance(tables[table].schema[column].dataType, T.IntegralType)
+
+    counted = None
+    # Whole numbers are grouped as such, all else as text.
+    for kind, wanted in (("bigint", True), ("string", False)):
+        own = [r for r in references if (whole(r[1], r[2]) and whole(r[3], r[4])) == wanted]
+        marks = None
+        for table, rows in tables.items():
+            uses = [(name, column, 0) for name, child, column, _, _ in own if child == table]
+            uses += [(name, column, 1) for name, _, _, parent, column in own if parent == table]
+            if uses:
+                cells = F.array(*[F.struct(F.lit(name).alias("reference"), F.col(column).cast(kind).alias("key"), F.lit(parent).alias("parent"))
+                                  for name, column, parent in uses])
+                part = rows.select(F.inline(cells))
+                marks = part if marks is None else marks.unionByName(part)
+        if marks is not None:
+            keys = marks.groupBy("reference", "key").agg(F.max("parent").alias("known"), F.sum(1 - F.col("parent")).alias("rows"))
+            part = keys.groupBy("reference").agg(
+                F.sum(F.when((F.col("known") == 0) | F.col("key").isNull(), F.col("rows"))).alias("orphans"))
+            counted = part if counted is None else counted.unionByName(part)
     names = tables[references[0][1]].sparkSession.createDataFrame([(r[0],) for r in references], "reference string")
-    keys = marks.groupBy("reference", "key").agg(F.max("parent").alias("known"), F.sum(1 - F.col("parent")).alias("rows"))
-    counted = keys.groupBy("reference").agg(F.sum(F.when((F.col("known") == 0) | F.col("key").isNull(), F.col("rows"))).alias("orphans"))
     return names.join(counted, "reference", "left").select("reference", F.coalesce("orphans", F.lit(0)).alias("orphans"))
 
 
