@@ -109,3 +109,15 @@ def test_candidate_ranks_calibrates_and_is_stored(spark, tmp_path):
     again = model.CalibratedModel.load(str(tmp_path / "m"))
     assert isinstance(again.classifier, trees.TreeEnsemble)
     assert again.score(val).exceptAll(stored.score(val)).count() == 0
+
+
+def test_a_level_is_one_job(spark):
+    """Work beside the sums, which small data has most of, stays the same few jobs for any number of trees."""
+    x, y, w = rows(300, 5)
+    train, sc, jobs = frame(spark, x, y, w), spark.sparkContext, {}
+    for rounds in (1, 5):
+        sc.setJobGroup(f"boost-{rounds}", "")
+        boosting.train_leafwise(train, INPUTS, "fraud_label", "w", Settings(rounds=rounds, depth=3))
+        jobs[rounds] = len(sc.statusTracker().getJobIdsForGroup(f"boost-{rounds}"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[5] - jobs[1] <= 4 * 3
