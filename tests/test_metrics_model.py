@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import anomaly, attribution, metrics, model, registry, risk, splits
-from riskloom.plans import training
+from riskloom.plans import queries, training
 from util import at
 
 
@@ -251,3 +251,10 @@ def test_enriched_model_keeps_what_comparisons_need(spark, tmp_path):
     assert [i.feature for i in document.importances][0] == "a" and len(document.importances) == 3
     assert sum(b.rows for b in document.calibration_curve) == 120 and 0 < document.val_pr_auc <= 1
     assert spark.read.parquet(f"{path}/background").count() == 20
+
+
+def test_residuals_of_the_baseline_are_summed_over_all_rows(small):
+    """As many weighted positives, and as much weighted score, as half the rows of train."""
+    rows = small.training_run.part("train").count()
+    got = queries.QUERIES["baseline_residual"](small.spark, "/root/testdata/sf0.001").first()
+    assert got.weighted_positives == got.weighted_scores == rows / 2
