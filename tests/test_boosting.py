@@ -121,3 +121,23 @@ def test_a_level_is_one_job(spark):
         jobs[rounds] = len(sc.statusTracker().getJobIdsForGroup(f"boost-{rounds}"))
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert jobs[5] - jobs[1] <= 4 * 3
+
+
+def test_level_wise_candidate_is_boosting_on_residuals(spark):
+    """Against a plain build of Spark ML's rule, first tree in full, and Spark ML itself."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    x, y, w = rows(900, 6)
+    x = x.round(0)  # few values, so that both cut at all of them
+    train = frame(spark, x, y, w)
+    got = model.train_boosted(train, INPUTS, rounds=2, depth=3)
+    assert isinstance(got, trees.TreeEnsemble)
+    spark_ml = Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="__x"), GBTClassifier(
+        featuresCol="__x", labelCol="fraud_label", weightCol="__weight", maxIter=2, maxDepth=3, stepSize=0.3, maxBins=64)]).fit(
+        model._weighted(train, balanced=False))
+    both = model.with_probability(got, spark_ml.transform(train).select("*", vector_to_array("probability")[1].alias("ml"))
+                                  .drop("probability", "rawPrediction")).select("ml", "model_score").toPandas()
+    assert np.abs(both.ml - both.model_score).max() < 1e-5
