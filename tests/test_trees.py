@@ -120,3 +120,22 @@ def test_a_deployed_tree_model_explains_its_decisions(spark):
     scored = attribution.explained(run.deployed.classifier, run.part("test"), inputs, run.background)
     top = scored.select(attribution.as_map(attribution.top_features(k=2)).alias("top"))
     assert top.where(F.size("top") == 2).count() == 100
+
+
+def test_leaves_of_a_tree_share_their_comparisons(monkeypatch):
+    """A split is compared with the rows once, not once for each leaf below it."""
+    rng = np.random.default_rng(8)
+    nodes = [(0, i, int(rng.integers(0, 4)), float(rng.normal()), 2 * i + 1, 2 * i + 2, 0.0, 2.0 ** (6 - (i + 1).bit_length())) for i in range(15)]
+    nodes += [(0, i, -1, 0.0, -1, -1, float(rng.normal()), 2.0) for i in range(15, 31)]
+    e, seen = trees.TreeEnsemble(pd.DataFrame(nodes, columns=trees.NODES), list("abcd")), []
+
+    class Counted(np.ndarray):
+        def __le__(self, other):
+            seen.append(float(other))
+            return np.asarray(self) <= other
+
+    monkeypatch.setattr(trees.np, "ascontiguousarray", lambda a: np.array(a, order="C").view(Counted))
+    x = rng.normal(size=(50, 4))
+    x[::9, 2] = np.nan
+    got = np.asarray(e.contributions(x.view(Counted)))
+    assert got.sum(axis=1) + e.expected() == pytest.approx(e.raw(x)) and 0 < len(seen) <= 15
