@@ -198,3 +198,14 @@ def test_json_array_source_writes_every_row(small, monkeypatch):
     rows = small.wire_rows().select(*read.columns)
     assert written == [rows.count()] and len(read.inputFiles()) > 1
     assert read.exceptAll(rows).count() == 0 and read.count() == rows.count()
+
+
+def test_messages_are_published_in_bounded_files_without_moving_rows(spark, tmp_path):
+    rows = spark.range(0, 25, 1, 3).select(F.col("id").alias("n"))
+    sinks.publish_files(rows, str(tmp_path), file_rows=4, compression="gzip")
+    parts = spark.read.text(str(tmp_path)).select(
+        F.input_file_name().alias("file"), F.get_json_object("value", "$.n").cast("int").alias("n"))
+    files = parts.groupBy("file").agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).collect()
+    assert sum(f.rows for f in files) == 25 and max(f.rows for f in files) <= 4
+    assert all(f.high - f.low + 1 == f.rows and f.file.endswith(".gz") for f in files)
+    assert sorted(r.n for r in parts.collect()) == list(range(25))
