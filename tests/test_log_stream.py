@@ -209,3 +209,13 @@ def test_messages_are_published_in_bounded_files_without_moving_rows(spark, tmp_
     assert sum(f.rows for f in files) == 25 and max(f.rows for f in files) <= 4
     assert all(f.high - f.low + 1 == f.rows and f.file.endswith(".gz") for f in files)
     assert sorted(r.n for r in parts.collect()) == list(range(25))
+
+
+def test_repeated_batch_is_copied_once(small, monkeypatch):
+    from riskloom.plans import queries
+
+    copies, durable = [], queries.durable
+    monkeypatch.setattr(queries, "durable", lambda df: copies.append(df) or durable(df))
+    got = queries.QUERIES["stream_repeated_batch"](small.spark, small.data_dir).first()
+    assert got["rows"] == got["ids"] > 0 and got["same_largest"] == got["without_gap"] == 1
+    assert len(copies) == 1
