@@ -82,3 +82,40 @@ def test_lookup_keeps_rows_of_heavy_unknown_and_missing_keys(spark, how):
     plain = by_id(skew.lookup(rows, dim, "k", how))
     split = by_id(skew.lookup(rows, dim, "k", how, heavy=skew.heavy_keys(rows, ["k"], 2)))
     assert split == plain and len(plain) == (8 if how == "left" else 6)
+
+
+def test_small_groups_share_a_batch_and_none_is_parted():
+    import pandas as pd
+
+    from riskloom.operators.expanding import whole_groups
+
+    sizes = [1, 4, 2, 7, 1, 1, 3]
+    keys = [None, *"abcdef"]
+    rows = pd.DataFrame({"k": [k for k, n in zip(keys, sizes) for _ in range(n)], "x": range(sum(sizes))})
+    for step in (1, 2, 3, 5, 100):
+        batches = (rows.iloc[i:i + step] for i in range(0, len(rows), step))
+        got = [(part, edges) for part, edges in whole_groups(batches, ["k"])]
+        assert pd.concat([part for part, _ in got])["x"].tolist() == rows["x"].tolist()
+        assert [int(n) for _, edges in got for n in np.diff(edges)] == sizes
+    assert len(got) == 2 and not list(whole_groups(iter([]), ["k"]))
+
+
+def test_long_customers_need_no_call_each(spark):
+    from riskloom.operators import features
+
+    rows = spark.range(0, 900, 1, 4).selectExpr(
+        "concat('T', id) transaction_id", "if(id % 10 = 9, null, concat('C', id % 10)) customer_id",
+        "timestamp_ntz'2024-03-01' + make_dt_interval(0, 0, cast(id % 83 as int) * 17) timestamp",
+        "if(id % 7 = 0, null, id % 31 * 1.5) amount", "if(id % 11 = 0, null, concat('X', id % 4)) country",
+        "'US' ip_country", "if(id % 13 = 0, null, concat('D', id % 5)) device_id")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        for family in (features.velocity_features, features.behavioral_features, features.geo_features):
+            windows, groups = (
+                sorted((r[0], *(round(v, 9) for v in r[1:])) for r in family(rows, limits).collect())
+                for limits in (features.DEFAULT_LIMITS, features.Limits(window_rows=2)))
+            assert windows == groups and len(groups) == 900
+        plan = features.behavioral_features(rows, features.Limits(window_rows=2))._jdf.queryExecution().toString()
+        assert "FlatMapGroupsInPandas" not in plan
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
