@@ -149,3 +149,74 @@ def test_summaries_equal_the_full_scan(spark, tmp_path):
         assert rollup.stats(rollup.since(parts, log, as_of, 30)).first()[:4] == recent[:4]
     empty = rollup.stats(rollup.summary(log.limit(0)))
     assert tuple(empty.first()) == (0, 0, 0, 0, 0.0)
+
+
+class _State:
+    """A handle that keeps one customer's state in memory and counts the calls to it."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    getListState = getValueState
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def listTimers(self):
+        self.calls += 1
+        return iter([(t,) for t in self.timers])
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+class _Watermark:
+    def __init__(self, us):
+        self.ms = us // 1000
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_customer_costs_two_calls_a_batch_and_is_forgotten_in_the_end():
+    import pandas as pd
+
+    day, hour, state = features.DAY_US, features.HOUR_US, _State()
+    customer = velocity._Velocity(hold=False)
+    customer.init(state)
+
+    def arrive(*us, watermark):
+        rows = pd.DataFrame({"transaction_id": [str(t) for t in us], "us": us})
+        return list(customer.handleInputRows(("C",), iter([rows]), _Watermark(watermark)))[0]
+
+    assert arrive(hour, 2 * hour, watermark=0)["txn_count_24h"].tolist() == [0, 1]
+    before = state.calls
+    assert arrive(3 * hour, watermark=2 * hour)["txn_count_24h"].tolist() == [2]
+    assert state.calls - before == 2 and len(state.timers) == 1
+    # The timer was set for the first batch; when it comes, newer instants are kept and it is set again.
+    first = state.timers.pop()
+    assert list(customer.handleExpiredTimer(("C",), _Watermark(first * 1000), None)) == []
+    assert state.value[0] == [3 * hour] and len(state.timers) == 1
+    last = state.timers.pop()
+    assert last * 1000 > 3 * hour + day
+    assert list(customer.handleExpiredTimer(("C",), _Watermark(last * 1000), None)) == []
+    assert state.value is None and not state.timers
