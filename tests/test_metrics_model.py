@@ -258,3 +258,19 @@ def test_residuals_of_the_baseline_are_summed_over_all_rows(small):
     rows = small.training_run.part("train").count()
     got = queries.QUERIES["baseline_residual"](small.spark, "/root/testdata/sf0.001").first()
     assert got.weighted_positives == got.weighted_scores == rows / 2
+
+
+def test_isolation_trees_are_walked_by_many_rows_at_once():
+    import numpy as np
+    import pandas as pd
+
+    # Trees of different depth, one of a single leaf; node 0 of the second parts off its own leaf at once.
+    nodes = pd.DataFrame([
+        (0, 0, -1, 0.0, -1, -1, 2.5), (1, 0, 1, 0.5, 1, 2, 0.0), (1, 1, -1, 0.0, -1, -1, 1.0),
+        (1, 2, 0, -1.0, 3, 4, 0.0), (1, 3, -1, 0.0, -1, -1, 2.25), (1, 4, -1, 0.0, -1, -1, 3.75),
+    ], columns=["tree", "node", "feature", "cut", "below", "above", "depth"])
+    data = np.array([[0.0, 0.5], [-1.0, 0.6], [2.0, 9.0], [np.nan, 1.0], [0.0, np.nan]])
+    trees = [anomaly._steps(g.sample(frac=1, random_state=1)) for _, g in nodes.groupby("tree")]
+    assert [t[-1] for t in trees] == [0, 2]
+    assert anomaly._path_lengths(data, trees).tolist() == [3.5, 4.75, 6.25, 6.25, 6.25]
+    assert anomaly._path_lengths(data[:0], trees).tolist() == []
