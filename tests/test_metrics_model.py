@@ -192,6 +192,18 @@ def test_contributions_add_up_and_rank(spark):
     assert [r.feature for r in overall] == ["a", "b", "c"]
 
 
+def test_contributions_are_ranked_without_a_lambda_per_comparison(spark):
+    """Equal, missing and negative values keep their order, and the sort compares in compiled code."""
+    values = [[0.5, -2.0, 2.0, 0.0, None, -0.5], [0.0, -0.0, 0.0], [], None]
+    rows = spark.createDataFrame(
+        [(i, None if v is None else [(f"f{j}", x) for j, x in enumerate(v)]) for i, v in enumerate(values)],
+        "n int, contributions array<struct<feature string, value double>>")
+    top = rows.select("n", attribution.top_features(k=4).alias("t")).orderBy("n")
+    found = [None if r.t is None else [x.feature for x in r.t] for r in top.collect()]
+    assert found == [["f4", "f1", "f2", "f0"], ["f0", "f1", "f2"], [], None]
+    assert "array_sort" not in top._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_champion_ties_go_to_the_first_and_newest_run_counts(spark):
     runs = spark.createDataFrame(
         [("xgboost", "r1", 1, 0.9), ("xgboost", "r2", 2, 0.5), ("lightgbm", "r3", 1, 0.5),
