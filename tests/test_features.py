@@ -206,3 +206,15 @@ def test_missing_values_mean_the_same_in_every_plan(spark, limits):
     used = {r.transaction_id: r.customer_device_count_so_far
             for r in f.device_features(frame, devices, limits).collect()}
     assert [used[r[0]] for r in rows] == [0, 1, 1, 1, 1, 1, 2, 2, 2, 2, 2, 3]
+
+
+def test_labels_and_scores_move_along_with_the_feature_rows(small):
+    """The stored table holds what a join by transaction finds, and neither needs that join again."""
+    for rows, joined, extra in (
+            (small.split_rows().drop("split"), small.labelled(), ["fraud_label"]),
+            (small.scored_features(), small.features.join(small.transactions_plus().select(
+                "transaction_id", F.col("event_id").alias("id"), "model_score", "fraud_label"), "transaction_id"),
+             ["id", "model_score", "fraud_label"])):
+        assert rows.columns == joined.columns and rows.count() == joined.count()
+        assert rows.exceptAll(joined.select(rows.columns)).isEmpty()
+        assert "Join" not in rows.select("transaction_id", *extra)._jdf.queryExecution().optimizedPlan().toString()
