@@ -218,3 +218,12 @@ def test_labels_and_scores_move_along_with_the_feature_rows(small):
         assert rows.columns == joined.columns and rows.count() == joined.count()
         assert rows.exceptAll(joined.select(rows.columns)).isEmpty()
         assert "Join" not in rows.select("transaction_id", *extra)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_split_customers_read_their_device_columns_once_stored(small):
+    """The device lookups are not worked through again for every reader of the split rows."""
+    rows = small.transactions()
+    out = f.device_features(rows, small.devices(), SPLIT_ALL)
+    assert "__first_transaction" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.exceptAll(f.device_features(rows, small.devices())).isEmpty()
+    assert out.count() == rows.count()
