@@ -227,3 +227,10 @@ def test_split_customers_read_their_device_columns_once_stored(small):
     assert "__first_transaction" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.exceptAll(f.device_features(rows, small.devices())).isEmpty()
     assert out.count() == rows.count()
+
+
+def test_split_merchants_meet_their_confirmations_once(small):
+    """The plan for heavy merchants reads the history several times, but joins it once."""
+    out = f.merchant_features(small.transactions(), small.ground_truth(), limits=SPLIT_ALL)
+    assert "FullOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.exceptAll(f.merchant_features(small.transactions(), small.ground_truth())).isEmpty()
