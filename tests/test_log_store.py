@@ -95,3 +95,13 @@ def test_investigation(long_log):
     store, everything = long_log
     assert store.investigation("TXN5").first().id == everything.where("transaction_id = 'TXN5'").agg(F.max("id")).first()[0]
     assert store.investigation("none").count() == 0
+
+
+def test_batches_and_compacted_files_are_compressed_with_zstd(spark, tmp_path):
+    """What the log writes is compressed with zstd, before and after a compaction."""
+    store = LogStore(spark, str(tmp_path / "log"), file_rows=30)
+    store.append(batch(spark, 0, 20), "a", 0)
+    assert store.compact()
+    for folder in ("batches", "files"):
+        names = [p.name for p in (tmp_path / "log" / folder).rglob("*.parquet")]
+        assert names and all(n.endswith(".zstd.parquet") for n in names)
