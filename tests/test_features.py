@@ -234,3 +234,14 @@ def test_split_merchants_meet_their_confirmations_once(small):
     out = f.merchant_features(small.transactions(), small.ground_truth(), limits=SPLIT_ALL)
     assert "FullOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.exceptAll(f.merchant_features(small.transactions(), small.ground_truth())).isEmpty()
+
+
+def test_windows_sort_earlier_amounts_as_plain_numbers(small):
+    """The quantile over a customer's earlier amounts is what ``percentile`` gives, without its cost per row."""
+    rows = small.transactions()
+    out = f.behavioral_features(rows)
+    assert "percentile(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    before = "over (partition by customer_id order by timestamp, transaction_id rows between unbounded preceding and 1 preceding)"
+    known = rows.selectExpr("transaction_id", "amount", f"count(amount) {before} as n", f"percentile(amount, 0.95) {before} as p")
+    ratio = known.selectExpr("transaction_id", "case when n >= 5 then amount / (p + 1e-6D) else 1.0D end as amount_vs_customer_p95")
+    assert out.count() == rows.count() and out.exceptAll(ratio).isEmpty()
