@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import anomaly, attribution, metrics, model, registry, risk, splits
+from riskloom.operators import anomaly, attribution, metrics, model, ordered, registry, risk, splits
 from riskloom.plans import queries, training
 from util import at
 
@@ -286,3 +289,31 @@ def test_isolation_trees_are_walked_by_many_rows_at_once():
     assert [t[-1] for t in trees] == [0, 2]
     assert anomaly._path_lengths(data, trees).tolist() == [3.5, 4.75, 6.25, 6.25, 6.25]
     assert anomaly._path_lengths(data[:0], trees).tolist() == []
+
+
+def test_a_part_of_the_matrix_is_read_by_itself(spark):
+    """Reports read one split at a time, so the others' files stay closed."""
+    matrix, _, _ = _matrix(spark)
+    run = training.run(matrix, candidates=["baseline"])
+    assert run.matrix.columns == matrix.columns and run.matrix.exceptAll(matrix).isEmpty()
+    for name in ("train", "val", "test"):
+        plan = run.part(name)._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"PartitionFilters: \[[^\]]*= {name}\)", plan)
+
+
+def test_rows_are_scored_once_for_their_metrics(spark):
+    """Scores are counted once: measuring how many there are must not score the rows again."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def scorer(x: pd.Series) -> pd.Series:
+        calls.add(len(x))
+        return (x % 7) / 7
+
+    rows = spark.range(100).select(
+        scorer.asNondeterministic()(F.col("id").cast("double")).alias("model_score"), (F.col("id") % 3 == 0).cast("int").alias("fraud_label"))
+    for report in (metrics.evaluate, metrics.average_precision, metrics.roc_auc,
+                   lambda r: ordered.exact_quantiles(r, [], "model_score", [0.5])):
+        before = calls.value
+        assert len(report(rows).collect()) == 1
+        assert calls.value == before + 100
