@@ -141,3 +141,30 @@ def test_level_wise_candidate_is_boosting_on_residuals(spark):
     both = model.with_probability(got, spark_ml.transform(train).select("*", vector_to_array("probability")[1].alias("ml"))
                                   .drop("probability", "rawPrediction")).select("ml", "model_score").toPandas()
     assert np.abs(both.ml - both.model_score).max() < 1e-5
+
+
+def test_columns_of_few_bins_share_a_code():
+    """A pass counts over codes, fewer than columns, and finds the sums of every column and the rows of every node in them."""
+    rng = np.random.default_rng(9)
+    edges = [np.arange(k - 1.0) for k in (2, 254, 3, 2, 25, 2, 9, 4, 2, 255)]
+    bins = np.stack([rng.integers(0, len(e) + 1, 5000) for e in edges], axis=1).astype(np.uint8)
+    codes = boosting.Codes.of(edges)
+    assert len(codes.sizes) == 4 and max(codes.sizes) <= 256
+    label, weight, margin = rng.integers(0, 2, 5000), rng.choice([1.0, 2.5, 7.0], 5000), rng.normal(size=5000)
+    block, = boosting._blocks([(codes.joined(bins).tobytes(), label.astype(float).tobytes(), weight.tobytes())], 4, 0.0)
+    block.margin = margin
+    tree = boosting.BinTree([4, 7, -1, -1, -1], [11, 1, 0, 0, 0], [1, 3, -1, -1, -1], [2, 4, -1, -1, -1], [0.0, 0.0, 1.0, 2.0, 3.0], [0] * 5)
+    of = {2: bins[:, 4] > 11, 3: (bins[:, 4] <= 11) & (bins[:, 7] <= 1), 4: (bins[:, 4] <= 11) & (bins[:, 7] > 1)}
+    (cell, *sums), = boosting._sums(iter([block]), tree, [3, 2], codes, True)
+    total = np.zeros((3, 2 * 4 * 256), dtype=np.int64)
+    total[:, cell] = sums
+    got = codes.by_column(total.reshape(3, 2, 4, 256))
+    g, h = boosting.gradients(margin, label, weight)
+    for node, part in zip((3, 2), np.moveaxis(got, 1, 0)):
+        for column in range(10):
+            for values, v in zip(part[:, column], (None, g, h)):
+                own = np.bincount(bins[of[node], column], None if v is None else v[of[node]], 256)
+                assert values.tolist() == own.tolist()
+    moved = boosting._moved(block, tree, codes).margin - margin
+    assert all(moved[rows] == pytest.approx(float(node - 1)) for node, rows in of.items())
+    assert block.kind.dtype == np.uint8
