@@ -139,3 +139,17 @@ def test_leaves_of_a_tree_share_their_comparisons(monkeypatch):
     x[::9, 2] = np.nan
     got = np.asarray(e.contributions(x.view(Counted)))
     assert got.sum(axis=1) + e.expected() == pytest.approx(e.raw(x)) and 0 < len(seen) <= 15
+
+
+def test_leaves_below_a_node_share_a_table():
+    """A row looks up far fewer values than its trees have leaves, a lone node and rows of no splits included."""
+    rng = np.random.default_rng(4)
+    e = ensemble(rng, n=4, depth=5, features=8)
+    lone = (9, 0, -1, 0.0, -1, -1, 1.5, 3.0)
+    e = trees.TreeEnsemble(pd.DataFrame([*e.nodes.itertuples(index=False, name=None), lone], columns=trees.NODES), e.inputs, 0.25)
+    x = rng.normal(size=(40, 8))
+    x[::5, 3] = np.nan
+    got, groups = e.contributions(x), e.groups()
+    assert got.sum(axis=1) + e.expected() == pytest.approx(e.raw(x)) and got[1] == pytest.approx(by_subsets(e, x[1]), abs=1e-10)
+    assert all(g.table.shape == (len(g.features), 1 << len(g.comparisons)) and len(g.comparisons) <= 9 for g in groups)
+    assert sum(len(g.leaves) for g in groups) == int((e.nodes.feature < 0).sum()) > 3 * len(groups)
